@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bpe, hash_tree, mixing, rules
+from cohortica.llm import bpe, chat, hash_tree, mixing, rules
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,16 @@ def op3_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, whose texts look like control strings of a template."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    out = chat.read_back(chat.format_windows(rows.unionByName(added)))
+    joined = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
@@ -37,7 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_hash_tree, op7_mixing, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op3_hash_tree, op5_chat_windows, op7_mixing, op8_quality_rules, op10_byte_bpe)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
