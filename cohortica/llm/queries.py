@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bpe, chat, hash_tree, mixing, rules
+from cohortica.llm import bpe, chat, hash_tree, mixing, ppm, rules
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = ppm.is_held_out(F.col("doc_id"))
+    out = ppm.score(docs, docs.where(~held_out))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards: three regions of two racks of four. Law `key`; a 25th shard opens a region of its own."""
     out = hash_tree.assign(table(spark, sf_dir, "documents"), shards=24, grown=25)
@@ -47,7 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_hash_tree, op5_chat_windows, op7_mixing, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_ppm, op3_hash_tree, op5_chat_windows, op7_mixing, op8_quality_rules, op10_byte_bpe)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
