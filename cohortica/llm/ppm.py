@@ -110,7 +110,7 @@ def word_keys(words: pa.Array) -> np.ndarray:
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
+    if not sum(map(len, keys)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
