@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bpe, chat, hash_tree, mixing, ppm, rules
+from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, ppm, rules
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,12 @@ def op3_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, table(spark, sf_dir, "labels"))
+    return ordinal.classify(docs, model).select("doc_id", "expected_grade", "tail_probability", F.col("quality_kept").alias("kept"))
+
+
 def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, whose texts look like control strings of a template."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -47,6 +53,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *[q[k].alias(k) for k in named])
 
 
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_shingles")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,7 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ppm, op3_hash_tree, op5_chat_windows, op7_mixing, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
