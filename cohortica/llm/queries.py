@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, ppm, rules
+from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, pii, ppm, rules
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count(k) for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
 def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = ppm.is_held_out(F.col("doc_id"))
@@ -64,7 +73,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_weak_supervision_pii, op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
