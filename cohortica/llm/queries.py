@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, pii, ppm, rules
+from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, pii, ppm, rules, spotsigs
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -51,6 +51,11 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = spotsigs.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "size_partition")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
@@ -73,7 +78,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_weak_supervision_pii, op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_weak_supervision_pii, op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op6_spotsigs, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
