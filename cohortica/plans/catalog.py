@@ -1,13 +1,762 @@
-"""Registered queries of the segmentation engine with their SQL."""
+"""Registered queries of the segmentation engine, each with DuckDB SQL where SQL can say the same.
 
+The respondent table is each customer with what their orders say; a segment is
+a customer's market segment. Results are rounded, so that sums in another order
+of rows agree.
+"""
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_mktsegment").count()
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortica import config
+from cohortica.functions import stats
+from cohortica.operators import audit, clean, cluster, distance, features, profile, rules, selection, validity
+from cohortica.streaming import behaviour
 
-def oracle_sql():
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+NUMERIC = ["balance", "n_orders", "spend", "mean_order", "largest_order"]
+CATEGORICAL = ["nation", "channel", "urgent"]
+GROUPS = {"balance": "wealth", "n_orders": "activity", "spend": "activity", "mean_order": "value", "largest_order": "value"}
+
+_RESPONDENTS = """
+r0 AS (SELECT c_custkey AS respondent_id, any_value(c_mktsegment) AS segment, any_value(CAST(c_nationkey AS VARCHAR)) AS nation, any_value(c_acctbal) AS acctbal,
+  CAST(count(o_orderkey) AS DOUBLE) AS n_orders, sum(o_totalprice) AS spend, avg(o_totalprice) AS mean_order, max(o_totalprice) AS largest_order,
+  min(o_orderpriority) AS channel, CASE WHEN count(*) FILTER (o_orderpriority = '1-URGENT') > 1 THEN 'Yes' ELSE 'no' END AS urgent
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey),
+r AS (SELECT respondent_id, segment, nation, CASE WHEN acctbal >= 0 THEN acctbal END AS balance, n_orders, spend, mean_order, largest_order, channel, urgent FROM r0)"""
+
+
+def respondents(spark: SparkSession, sf: str) -> DataFrame:
+    """respondent_id, segment, nation, balance (null if negative), n_orders, spend, mean_order, largest_order, channel, urgent."""
+    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey", "o_totalprice", "o_orderpriority")
+    # orders are summed before the join: it moves one row per customer
+    by = o.groupBy("o_custkey").agg(F.count("*").cast("double").alias("n"), F.sum("o_totalprice").alias("spend"), F.avg("o_totalprice").alias("mean_order"), F.max("o_totalprice").alias("largest_order"), F.min("o_orderpriority").alias("channel"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("u"))
+    return c.join(by, c["c_custkey"] == by["o_custkey"], "left").select(
+        F.col("c_custkey").alias("respondent_id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"),
+        F.coalesce("n", F.lit(0.0)).alias("n_orders"), "spend", "mean_order", "largest_order", "channel", F.when(F.col("u") > 1, "Yes").otherwise("no").alias("urgent"),
+    )
+
+
+def rounded(df: DataFrame, digits: int = 5) -> DataFrame:
+    return df.select(*[F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c).cast("long").alias(c) if t in ("int", "smallint") else F.col(c) for c, t in df.dtypes])
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name. sql: a SELECT over the tables and r, the respondents."""
+
+    def add(f: Query) -> Query:
+        key = name or f.__name__
+        _QUERIES[key] = f
+        if sql:
+            body = sql.strip()
+            _SQL[key] = f"WITH {_RESPONDENTS.strip()}" + (f",\n{body[5:]}" if body.upper().startswith("WITH ") else f"\n{body}")
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _r(*exprs: str) -> str:
+    return ", ".join(f"round({e.rpartition(' AS ')[0]}, 5) AS {e.rpartition(' AS ')[2]}" for e in exprs)
+
+
+def _unpivot(cols: list[str], keep: str = "", text: bool = False, of: str = "r") -> str:
+    k = f"{keep}, " if keep else ""
+    cast = "VARCHAR" if text else "DOUBLE"
+    return " UNION ALL ".join(f"SELECT {k}'{c}' AS variable, CAST({c} AS {cast}) AS value FROM {of}" for c in cols)
+
+
+# ---- audit ----
+
+_COUNTS = f"""
+x AS ({_unpivot([*NUMERIC, *CATEGORICAL], text=True)}),
+c AS (SELECT variable, CASE WHEN variable IN ({', '.join(repr(v) for v in NUMERIC)}) THEN 'numeric' ELSE 'character' END AS variable_type, count(*) - count(value) AS n_missing,
+  100.0::DOUBLE * (count(*) - count(value)) / count(*) AS pct_missing, count(value) AS n_non_missing, count(DISTINCT value) AS n_unique, 100.0::DOUBLE * count(DISTINCT value) / nullif(count(value), 0) AS pct_unique_non_missing FROM x GROUP BY variable)"""
+_SUMMARY = f"""
+v AS ({_unpivot(NUMERIC)}),
+s AS (SELECT variable, {_r('min(value) AS minimum', 'quantile_cont(value, 0.25) AS first_quartile', 'median(value) AS median', 'avg(value) AS mean', 'quantile_cont(value, 0.75) AS third_quartile', 'max(value) AS maximum', 'stddev_samp(value) AS standard_deviation')} FROM v GROUP BY variable)"""
+_ROLE = """CASE WHEN regexp_matches(lower(variable), '(^id$|_id$|^id_|respondent|participant|transaction|case_number)') THEN 'Potential identifier'
+  WHEN pct_unique_non_missing >= 95 AND n_unique > 20 THEN 'Potential identifier' WHEN pct_missing >= 50 THEN 'High-missingness variable'
+  WHEN variable_type = 'numeric' AND n_unique = 2 THEN 'Binary numeric' WHEN variable_type = 'numeric' AND n_unique <= 10 THEN 'Ordinal or categorical numeric' WHEN variable_type = 'numeric' THEN 'Continuous numeric'
+  WHEN n_unique = 2 THEN 'Binary categorical' WHEN n_unique <= 20 THEN 'Categorical' ELSE 'High-cardinality categorical' END"""
+
+
+@query(f"WITH {_COUNTS}, {_SUMMARY} SELECT c.variable, variable_type, n_missing, round(pct_missing, 5) AS pct_missing, n_non_missing, n_unique, round(pct_unique_non_missing, 5) AS pct_unique_non_missing, n_unique <= 1 AS constant_variable, {_ROLE} AS suggested_role, minimum, first_quartile, median, mean, third_quartile, maximum, standard_deviation FROM c LEFT JOIN s USING (variable)")
+def variable_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.variable_audit(respondents(spark, sf), [*NUMERIC, *CATEGORICAL]))
+
+
+@query(f"WITH {_SUMMARY} SELECT * FROM s")
+def numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.numeric_summary(respondents(spark, sf), NUMERIC))
+
+
+@query(f"WITH {_COUNTS} SELECT variable, {_ROLE} AS suggested_role FROM c")
+def variable_role(spark: SparkSession, sf: str) -> DataFrame:
+    c = audit.variable_counts(respondents(spark, sf), [*NUMERIC, *CATEGORICAL])
+    return c.select("variable", audit.role_of(F.col("variable"), F.col("variable_type"), F.col("n_unique"), F.col("pct_unique_non_missing"), F.col("pct_missing")).alias("suggested_role"))
+
+
+@query("""WITH t AS (SELECT event_type, user_id FROM events), g AS (SELECT *, count(*) AS n FROM t GROUP BY ALL)
+SELECT unnest(['rows', 'columns', 'missing_values', 'missing_pct', 'duplicate_rows']) AS metric, unnest([sum(n), 2, 0, 0, sum(n - 1)])::DOUBLE AS value FROM g""")
+def dataset_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dataset_summary(spark.read.parquet(f"{sf}/events.parquet").select("event_type", "user_id"))
+
+
+@query("""WITH n AS (SELECT variable, value AS level, count(*) AS n FROM (SELECT 'nation' AS variable, nation AS value FROM r UNION ALL SELECT 'channel', channel FROM r UNION ALL SELECT 'urgent', urgent FROM r) GROUP BY ALL)
+SELECT variable, level, n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY variable), 5) AS pct FROM n""")
+def level_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.level_audit(respondents(spark, sf), CATEGORICAL))
+
+
+@query("SELECT user_id, event_type, count(*) AS copies FROM events GROUP BY ALL HAVING count(*) > 1")
+def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.duplicate_rows(spark.read.parquet(f"{sf}/events.parquet"), ["user_id", "event_type"])
+
+
+@query("""WITH d AS (SELECT quality, toxic, n_chars FROM documents LEFT JOIN labels USING (doc_id)),
+x AS (SELECT 'quality' AS variable, CAST(quality AS DOUBLE) AS value FROM d UNION ALL SELECT 'toxic', toxic FROM d UNION ALL SELECT 'n_chars', n_chars FROM d)
+SELECT variable, count(*) - count(value) AS n_missing, count(*) AS n_rows, round(100.0::DOUBLE * (count(*) - count(value)) / count(*), 5) AS pct_missing FROM x GROUP BY variable""")
+def missingness(spark: SparkSession, sf: str) -> DataFrame:
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "n_chars").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left")
+    return rounded(audit.missingness(d, ["quality", "toxic", "n_chars"]))
+
+
+@query("""WITH x AS (SELECT 'urgent' AS variable, urgent AS value FROM r UNION ALL SELECT 'channel', channel FROM r), b AS (SELECT variable, value, CASE WHEN lower(trim(value)) IN ('yes', 'y', 'true', '1', 'selected') THEN 1 WHEN lower(trim(value)) IN ('no', 'n', 'false', '0', 'not selected') THEN 0 END AS b FROM x)
+SELECT variable, count(*) FILTER (b = 0) AS n_zero, count(*) FILTER (b = 1) AS n_one, count(*) - count(value) AS n_missing, count(*) FILTER (value IS NOT NULL AND b IS NULL) AS n_unrecognised FROM b GROUP BY variable""")
+def binary_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.binary_summary(respondents(spark, sf), ["urgent", "channel"])
+
+
+@query("""SELECT 'p_size' AS variable, 5.0::DOUBLE AS scale_minimum, 45.0::DOUBLE AS scale_maximum, count(*) FILTER (p_size < 5) AS n_below, count(*) FILTER (p_size > 45) AS n_above, count(*) FILTER (p_size < 5 OR p_size > 45) AS n_invalid FROM part""")
+def ordinal_validation(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.ordinal_validation(spark.read.parquet(f"{sf}/part.parquet"), {"p_size": "5-45"})
+
+
+def _metadata(spark: SparkSession) -> DataFrame:
+    rows = [(c, "segmentation", GROUPS[c], True, c == "n_orders", c != "balance") for c in NUMERIC] + [(c, "profiling", "context", False, True, True) for c in CATEGORICAL]
+    return spark.createDataFrame(rows, "variable string, role string, group string, include_segmentation boolean, include_profiling boolean, allow_missing boolean")
+
+
+_METADATA = "m AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', 'segmentation', '{GROUPS[c]}', true, {str(c == 'n_orders').lower()}, {str(c != 'balance').lower()})" for c in NUMERIC) + ", " + ", ".join(f"('{c}', 'profiling', 'context', false, true, true)" for c in CATEGORICAL) + ') AS t(variable, role, "group", include_segmentation, include_profiling, allow_missing))'
+_DICTIONARY = f"""{_COUNTS}, {_METADATA}, d AS (SELECT m.*, n_missing, pct_missing, n_unique, CASE WHEN NOT allow_missing AND n_missing > 0 THEN 'Unexpected missing values' WHEN pct_missing >= 50 THEN 'High missingness' WHEN pct_missing > 0 THEN 'Missing values present' ELSE 'Complete' END AS missingness_status,
+  CASE WHEN include_segmentation AND include_profiling THEN 'Segmentation and profiling' WHEN include_segmentation THEN 'Segmentation' WHEN include_profiling THEN 'Profiling' ELSE 'Not included in analysis' END AS inclusion_status FROM m LEFT JOIN c USING (variable))"""
+
+
+def _dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dictionary(_metadata(spark), audit.variable_counts(respondents(spark, sf), [*NUMERIC, *CATEGORICAL]))
+
+
+@query(f"WITH {_DICTIONARY} SELECT * REPLACE (round(pct_missing, 5) AS pct_missing) FROM d")
+def dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_dictionary(spark, sf))
+
+
+@query(f"""WITH {_DICTIONARY} SELECT role, "group", count(*) AS n_variables, count(*) FILTER (include_segmentation) AS n_segmentation, count(*) FILTER (include_profiling) AS n_profiling, round(avg(pct_missing), 5) AS mean_missing_pct FROM d GROUP BY ALL""")
+def group_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.group_summary(_dictionary(spark, sf)))
+
+
+@query(f"""WITH {_DICTIONARY} SELECT unnest(['variables', 'role_metadata', 'role_segmentation', 'role_profiling', 'segmentation', 'profiling', 'with_missing', 'unexpected_missing']) AS metric,
+unnest([count(*), count(*) FILTER (role = 'metadata'), count(*) FILTER (role = 'segmentation'), count(*) FILTER (role = 'profiling'), count(*) FILTER (include_segmentation), count(*) FILTER (include_profiling), count(*) FILTER (n_missing > 0), count(*) FILTER (missingness_status = 'Unexpected missing values')]) AS value FROM d""")
+def dictionary_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dictionary_summary(_dictionary(spark, sf))
+
+
+@query("""WITH a AS (SELECT DISTINCT source AS variable FROM documents), b AS (SELECT 'src' || (n_nationkey) AS variable FROM nation)
+SELECT coalesce(a.variable, b.variable) AS variable, CASE WHEN a.variable IS NOT NULL AND b.variable IS NOT NULL THEN 'Matched' WHEN a.variable IS NOT NULL THEN 'Declared only' ELSE 'Observed only' END AS status FROM a FULL JOIN b USING (variable)""")
+def reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    a = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("source").alias("variable"))
+    b = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("variable"))
+    return audit.reconcile(a, b)
+
+
+# ---- cleaning ----
+
+
+@query("""SELECT conv_id, turn, CASE WHEN t NOT IN ('', 'NA', 'N/A', 'n/a', 'NULL', 'null', 'Missing', 'missing', 'Not stated', 'Prefer not to say') THEN t END AS text
+FROM (SELECT conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g'), ' ') AS t FROM conversations)""")
+def missing_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", clean.missing_tokens(F.col("text")).alias("text"))
+
+
+@query("SELECT respondent_id, CAST(CASE lower(urgent) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS BIGINT) AS urgent FROM r")
+def convert_binary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(respondents(spark, sf).select("respondent_id", clean.convert_binary(F.col("urgent")).alias("urgent")))
+
+
+@query("SELECT respondent_id, round(coalesce(balance, (SELECT median(balance) FROM r)), 5) AS balance FROM r")
+def median_impute(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(clean.median_impute(respondents(spark, sf).select("respondent_id", "balance"), ["balance"]))
+
+
+_Z = ", ".join(f"round((f.{c} - avg(f.{c}) OVER ()) / stddev_samp(f.{c}) OVER (), 5) AS {c}" for c in NUMERIC)
+_FILLED = "f AS (SELECT respondent_id, segment, " + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM r), 0) AS {c}" for c in NUMERIC) + " FROM r)"
+_SCALED = f"{_FILLED}, z AS (SELECT respondent_id, segment, " + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in NUMERIC) + " FROM f)"
+
+
+def filled(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.median_impute(respondents(spark, sf).select("respondent_id", "segment", *NUMERIC), NUMERIC)
+
+
+def scaled(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.standardise(filled(spark, sf), NUMERIC)
+
+
+@query(f"WITH {_FILLED} SELECT respondent_id, {_Z} FROM f")
+def standardise(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(scaled(spark, sf).drop("segment"))
+
+
+_SHARES = f"""n AS (SELECT variable, value, count(*) AS n FROM ({_unpivot([*NUMERIC, *CATEGORICAL], text=True)}) WHERE value IS NOT NULL GROUP BY ALL),
+p AS (SELECT variable, n / sum(n) OVER (PARTITION BY variable)::DOUBLE AS p FROM n),
+e AS (SELECT variable, CASE WHEN count(*) = 1 THEN 0.0 ELSE sum(-p * ln(p)) / ln(count(*)) END AS entropy, count(*) AS n_levels FROM p GROUP BY variable)"""
+
+
+@query(f"WITH {_SHARES} SELECT variable, round(entropy, 5) AS entropy, n_levels FROM e")
+def entropy(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.entropy(respondents(spark, sf), [*NUMERIC, *CATEGORICAL]))
+
+
+@query(f"""WITH {_SHARES}, v AS (SELECT * FROM ({_unpivot(NUMERIC)}) WHERE value IS NOT NULL),
+b AS (SELECT variable, avg(value) AS mean, stddev_samp(value) AS sd FROM v GROUP BY variable),
+k AS (SELECT variable, count(*) AS n, any_value(mean) AS mean, any_value(sd) AS sd, median(value) AS median, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr, avg(((value - mean) / sd) ** 3) AS skewness, avg(((value - mean) / sd) ** 4) - 3 AS kurtosis FROM v JOIN b USING (variable) GROUP BY variable)
+SELECT variable, n, {_r('mean AS mean', 'sd AS standard_deviation', 'median AS median', 'iqr AS iqr', 'skewness AS skewness', 'kurtosis AS kurtosis', 'entropy AS entropy')}, n_levels FROM k JOIN e USING (variable)""")
+def distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(audit.distribution(respondents(spark, sf), NUMERIC))
+
+
+# ---- features ----
+
+_QUALITY = f"""{_COUNTS}, {_SHARES}, {_SUMMARY}, q AS (SELECT c.variable, n_missing, pct_missing, n_unique, standard_deviation, entropy, pct_missing <= 40 AS missingness_pass, n_unique >= 2 AS uniqueness_pass, coalesce(standard_deviation > 1e-8, false) AS variance_pass FROM c JOIN s USING (variable) LEFT JOIN e USING (variable))"""
+
+
+@query(f"""WITH {_QUALITY} SELECT variable, n_missing, {_r('pct_missing AS pct_missing', 'standard_deviation AS standard_deviation', 'entropy AS entropy')}, n_unique, missingness_pass, uniqueness_pass, variance_pass, missingness_pass AND uniqueness_pass AND variance_pass AS initial_pass,
+CASE WHEN NOT missingness_pass THEN 'Missingness above threshold' WHEN NOT uniqueness_pass THEN 'Insufficient unique values' WHEN NOT variance_pass THEN 'Zero or near-zero variance' END AS exclusion_reason FROM q""")
+def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.quality_metrics(respondents(spark, sf), NUMERIC))
+
+
+@query(f"WITH {_COUNTS} SELECT variable, round(pct_missing, 5) AS pct_missing, n_unique, pct_missing <= 40 AND n_unique > 1 AS retained FROM c")
+def screen_features(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.screen_features(respondents(spark, sf), [*NUMERIC, *CATEGORICAL]))
+
+
+_PAIRS = " UNION ALL ".join(f"SELECT '{min(a, b)}' AS variable_1, '{max(a, b)}' AS variable_2, corr({a}, {b}) AS correlation FROM f" for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1 :])
+
+
+@query(f"WITH {_FILLED}, c AS ({_PAIRS}) SELECT variable_1, variable_2, round(correlation, 5) AS correlation, round(abs(correlation), 5) AS absolute_correlation FROM c")
+def correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.correlation_pairs(filled(spark, sf), NUMERIC))
+
+
+@query(f"WITH {_FILLED}, c AS ({_PAIRS}) SELECT variable_1, variable_2, round(correlation, 5) AS correlation, round(abs(correlation), 5) AS absolute_correlation FROM c WHERE abs(correlation) >= 0.3")
+def high_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.high_correlations(features.correlation_pairs(filled(spark, sf), NUMERIC), 0.3))
+
+
+@query()
+def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
+    return features.pca_variance(filled(spark, sf), NUMERIC)
+
+
+@query()
+def pca_loadings(spark: SparkSession, sf: str) -> DataFrame:
+    return features.pca_loadings(filled(spark, sf), NUMERIC)
+
+
+@query()
+def pca_importance(spark: SparkSession, sf: str) -> DataFrame:
+    values = features.pca_importance(features.gramian(filled(spark, sf), NUMERIC)[2])
+    return spark.createDataFrame([(c, float(v)) for c, v in zip(NUMERIC, values, strict=True)], "variable string, pca_importance double")
+
+
+@query()
+def redundancy(spark: SparkSession, sf: str) -> DataFrame:
+    """Which variables go for correlating at 0.3 or more, and for which they go."""
+    q = {r["variable"]: r.asDict() for r in features.quality_metrics(respondents(spark, sf), NUMERIC).collect()}
+    pairs = features.high_correlations(features.correlation_pairs(filled(spark, sf), NUMERIC), 0.3).collect()
+    gone = features.remove_redundant(q, GROUPS, [(r["variable_1"], r["variable_2"], r["absolute_correlation"]) for r in pairs])
+    return spark.createDataFrame(gone, "removed string, kept string")
+
+
+@query()
+def bootstrap_feature_stability(spark: SparkSession, sf: str) -> DataFrame:
+    z = scaled(spark, sf)
+    reference = features.pca_importance(features.gramian(z, NUMERIC)[2], scaled=False)
+    steady = features.stability(reference, features.bootstrap_importance(z, NUMERIC))
+    return spark.createDataFrame([(c, float(a), float(b)) for c, a, b in zip(NUMERIC, reference, steady, strict=True)], "variable string, pca_importance double, stability_score double")
+
+
+_METRICS = [("v1", "a", 0.9, 0.8, 1.0, 40), ("v2", "a", 0.7, 0.9, 0.6, 5), ("v3", "b", 0.4, 0.2, 0.9, 12), ("v4", "b", 0.4, 0.6, 0.3, 2), ("v5", "c", 0.1, 0.5, 0.0, 90), ("v6", "c", 0.2, None, 0.5, 7)]
+_METRICS_SQL = "t AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{g}', {b}::DOUBLE, {'NULL' if c is None else c}::DOUBLE, {d}::DOUBLE, {e}::BIGINT)" for a, g, b, c, d, e in _METRICS) + ') AS t(variable, "group", pca_importance, entropy, stability_score, n_unique))'
+
+
+def _norm(e: str) -> str:
+    return f"CASE WHEN min({e}) OVER () IS NULL THEN 0.0 WHEN max({e}) OVER () = min({e}) OVER () THEN 1.0 ELSE ({e} - min({e}) OVER ()) / (max({e}) OVER () - min({e}) OVER ()) END"
+
+
+def _feature_scores(spark: SparkSession) -> DataFrame:
+    return features.feature_score(spark.createDataFrame(_METRICS, "variable string, group string, pca_importance double, entropy double, stability_score double, n_unique long"))
+
+
+@query(f"""WITH {_METRICS_SQL}, u AS (SELECT *, {_norm('pca_importance')} AS pca_score, {_norm('entropy')} AS entropy_score, {_norm('ln(1 + n_unique)')} AS uniqueness_score FROM t),
+w AS (SELECT *, 0.5 * pca_score + 0.2 * entropy_score + 0.2 * stability_score + 0.1 * uniqueness_score AS combined_score FROM u)
+SELECT variable, "group", pca_importance, entropy, stability_score, n_unique, {_r('pca_score AS pca_score', 'entropy_score AS entropy_score', 'uniqueness_score AS uniqueness_score', 'combined_score AS combined_score')}, row_number() OVER (ORDER BY combined_score DESC NULLS LAST, variable) AS overall_rank FROM w""")
+def feature_score(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_feature_scores(spark))
+
+
+@query()
+def feature_sets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = [r.asDict() | {"combined_score": r["combined_score"] or 0.0} for r in _feature_scores(spark).collect()]
+    sets = {k: features.build_feature_set(k, rows) for k in (6, 5, 4, 3)}
+    return spark.createDataFrame([(f"set_{k}", v, i + 1) for k, vs in sets.items() for i, v in enumerate(vs)], "feature_set string, variable string, selection_order int")
+
+
+@query("""WITH s AS (SELECT c_mktsegment AS feature_set, c_nationkey AS "group" FROM customer WHERE c_acctbal > 5000), a AS (SELECT c_nationkey AS "group", count(*) AS n_available FROM customer GROUP BY ALL),
+g AS (SELECT feature_set, "group", count(*) AS n_selected FROM s GROUP BY ALL), e AS (SELECT * FROM (SELECT DISTINCT feature_set FROM s) CROSS JOIN a)
+SELECT feature_set, CAST(e."group" AS BIGINT) AS "group", coalesce(n_selected, 0) AS n_selected, n_available, round(100.0::DOUBLE * coalesce(n_selected, 0) / n_available, 1) AS retention_pct FROM e LEFT JOIN g USING (feature_set, "group")""")
+def group_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_mktsegment").alias("feature_set"), F.col("c_nationkey").alias("group"), F.col("c_custkey").alias("variable"), "c_acctbal")
+    return rounded(features.group_coverage(c.where("c_acctbal > 5000"), c))
+
+
+# ---- windows, ranks, pivots, joins ----
+
+
+@query(f"""SELECT respondent_id, {_r(f"{_norm('balance')} AS balance", f"{_norm('spend')} AS spend")} FROM r""")
+def normalise(spark: SparkSession, sf: str) -> DataFrame:
+    """Min-max scores of rows, by one row of bounds sent to each task."""
+    d = respondents(spark, sf).select("respondent_id", "balance", "spend")
+    b = F.broadcast(d.agg(*[f(c).alias(f"{n}_{c}") for c in ("balance", "spend") for n, f in (("lo", F.min), ("hi", F.max))]))
+    score = lambda c: F.when(F.col(f"lo_{c}").isNull(), 0.0).when(F.col(f"hi_{c}") == F.col(f"lo_{c}"), 1.0).otherwise((F.col(c) - F.col(f"lo_{c}")) / (F.col(f"hi_{c}") - F.col(f"lo_{c}")))
+    return rounded(d.join(b).select("respondent_id", score("balance").alias("balance"), score("spend").alias("spend")))
+
+
+@query("""SELECT segment, respondent_id, round(spend, 5) AS spend, rank FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY spend DESC NULLS LAST, respondent_id) AS rank FROM r) WHERE rank <= 4""")
+def topk_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    top = profile.top_per_group(respondents(spark, sf), "segment", F.col("spend").desc_nulls_last(), 4, "respondent_id")
+    return rounded(top.select("segment", "respondent_id", "spend", "rank"))
+
+
+@query("""SELECT segment, respondent_id, n_orders, rank FROM (SELECT *, rank() OVER (PARTITION BY segment ORDER BY n_orders DESC NULLS LAST) AS rank FROM r) WHERE rank <= 3""")
+def topk_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    top = profile.top_per_group(respondents(spark, sf), "segment", F.col("n_orders").desc_nulls_last(), 3, keep_ties=True)
+    return rounded(top.select("segment", "respondent_id", "n_orders", "rank"))
+
+
+@query("""SELECT segment, respondent_id, rank() OVER w + (count(*) OVER (PARTITION BY segment, n_orders) - 1) / 2.0::DOUBLE AS middle_rank FROM r WINDOW w AS (PARTITION BY segment ORDER BY n_orders)""")
+def middle_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    d = respondents(spark, sf)
+    rank = stats.middle_rank(Window.partitionBy("segment").orderBy("n_orders"), Window.partitionBy("segment", "n_orders"))
+    return d.select("segment", "respondent_id", rank.cast("double").alias("middle_rank"))
+
+
+@query(f"""WITH m AS (SELECT variable, segment, avg(value) AS mean FROM ({_unpivot(NUMERIC, 'segment')}) GROUP BY ALL)
+SELECT variable, {', '.join(f"round(any_value(mean) FILTER (segment = '{s}'), 5) AS {s.lower()}" for s in ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'))} FROM m GROUP BY variable""")
+def profile_wide(spark: SparkSession, sf: str) -> DataFrame:
+    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    wide = profile.profile_wide(profile.segment_profile(respondents(spark, sf), NUMERIC), names)
+    return rounded(wide.withColumnsRenamed({n: n.lower() for n in names}))
+
+
+@query("""SELECT c_custkey, c_nationkey, n_nationkey AS c_nationkey_profiling, n_name FROM (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer) LEFT JOIN (SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation) ON c_custkey = n_nationkey""")
+def profile_join(spark: SparkSession, sf: str) -> DataFrame:
+    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_nationkey")
+    n = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").cast("long").alias("c_custkey"), F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return rounded(profile.profile_join(c, n, "c_custkey"))
+
+
+# ---- statistics of segments ----
+
+
+@query("SELECT segment, count(*) AS n, round(count(*) / sum(count(*)) OVER ()::DOUBLE, 5) AS share, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS share_pct FROM r GROUP BY segment")
+def segment_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.segment_sizes(respondents(spark, sf)))
+
+
+_PROFILE = f"""v AS ({_unpivot(NUMERIC, 'segment')}), o AS (SELECT variable, avg(value) AS overall_mean, stddev_samp(value) AS overall_sd FROM v GROUP BY variable),
+g AS (SELECT segment, variable, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS sd, median(value) AS median, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM v GROUP BY ALL),
+pf AS (SELECT g.*, overall_mean, overall_sd, CASE WHEN overall_sd > 0 THEN (mean - overall_mean) / overall_sd ELSE 0.0 END AS standardised_mean FROM g JOIN o USING (variable))"""
+
+
+def _profile(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.segment_profile(respondents(spark, sf), NUMERIC)
+
+
+@query(f"WITH {_PROFILE} SELECT segment, variable, n, {_r(*[f'{c} AS {c}' for c in ('mean', 'sd', 'median', 'iqr', 'overall_mean', 'overall_sd', 'standardised_mean')])} FROM pf")
+def segment_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_profile(spark, sf))
+
+
+@query(f"WITH {_PROFILE} SELECT variable, round(max(standardised_mean) - min(standardised_mean), 5) AS profile_range, round(max(abs(standardised_mean)), 5) AS maximum_absolute FROM pf GROUP BY variable")
+def profile_distinctness(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.distinctness(_profile(spark, sf)))
+
+
+_CATEGORICAL = f"""x AS ({_unpivot(CATEGORICAL, 'segment', text=True)}), n AS (SELECT segment, variable, coalesce(value, 'Missing') AS level, count(*) AS n FROM x GROUP BY ALL),
+cp AS (SELECT *, CAST(sum(n) OVER (PARTITION BY segment, variable) AS BIGINT) AS segment_total FROM n)"""
+
+
+@query(f"WITH {_CATEGORICAL} SELECT segment, variable, level, n, segment_total, round(n / segment_total::DOUBLE, 5) AS within_segment_share, round(100.0::DOUBLE * (n / segment_total::DOUBLE), 1) AS within_segment_pct FROM cp")
+def categorical_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.categorical_profile(respondents(spark, sf), CATEGORICAL))
+
+
+_ETA = f"""v AS (SELECT * FROM ({_unpivot(NUMERIC, 'segment')}) WHERE value IS NOT NULL), o AS (SELECT variable, avg(value) AS m FROM v GROUP BY variable), g AS (SELECT segment, variable, count(*) AS n, avg(value) AS gm FROM v GROUP BY ALL),
+t AS (SELECT variable, sum((value - m) ** 2) AS total, sum((value - gm) ** 2) AS within_ss, count(*) AS n, count(DISTINCT segment) AS k FROM v JOIN o USING (variable) JOIN g USING (segment, variable) GROUP BY variable),
+eta AS (SELECT variable, t.n, k, total - within_ss AS between_ss, within_ss, (total - within_ss) / total AS eta_squared FROM t)"""
+
+
+@query(f"WITH {_ETA} SELECT variable, n, k, round(eta_squared, 5) AS eta_squared FROM eta")
+def eta_squared(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.eta_squared(respondents(spark, sf), NUMERIC).select("variable", "n", "k", "eta_squared"))
+
+
+@query(f"WITH {_ETA} SELECT variable, k - 1 AS df_between, n - k AS df_within, round((between_ss / (k - 1)) / (within_ss / (n - k)), 5) AS statistic, round(eta_squared, 5) AS eta_squared FROM eta")
+def anova(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.anova(respondents(spark, sf), NUMERIC))
+
+
+_CHI = f"""x AS (SELECT * FROM ({_unpivot(CATEGORICAL, 'segment', text=True)}) WHERE value IS NOT NULL), o AS (SELECT variable, segment, value, count(*) AS o FROM x GROUP BY ALL),
+rt AS (SELECT variable, segment, count(*) AS rn FROM x GROUP BY ALL), ct AS (SELECT variable, value, count(*) AS cn FROM x GROUP BY ALL), tt AS (SELECT variable, count(*) AS n FROM x GROUP BY ALL),
+cell AS (SELECT rt.variable, coalesce(o, 0) AS o, rn * cn / n::DOUBLE AS ex, n, rt.segment, ct.value FROM rt JOIN ct USING (variable) JOIN tt USING (variable) LEFT JOIN o ON o.variable = rt.variable AND o.segment = rt.segment AND o.value = ct.value),
+chi AS (SELECT variable, any_value(n) AS n, sum((o - ex) ** 2 / ex) AS statistic, (count(DISTINCT segment) - 1) * (count(DISTINCT value) - 1) AS df, least(count(DISTINCT segment), count(DISTINCT value)) - 1 AS m FROM cell GROUP BY variable)"""
+
+
+@query(f"WITH {_CHI} SELECT variable, n, round(statistic, 5) AS statistic, df, round(sqrt(statistic / (n * m)), 5) AS cramers_v FROM chi")
+def chi_square(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.chi_square(respondents(spark, sf), CATEGORICAL))
+
+
+@query(f"WITH {_CHI} SELECT variable, round(sqrt(statistic / (n * m)), 5) AS cramers_v FROM chi")
+def cramers_v(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.chi_square(respondents(spark, sf), CATEGORICAL).select("variable", "cramers_v"))
+
+
+@query()
+def difference_tests(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.difference_tests(respondents(spark, sf), NUMERIC, CATEGORICAL)
+
+
+@query(f"""WITH {_ETA}, {_CHI.replace('x AS', 'xc AS').replace('FROM x', 'FROM xc').replace('o AS (SELECT variable, segment, value', 'oc AS (SELECT variable, segment, value').replace('LEFT JOIN o ON o.variable = rt.variable AND o.segment = rt.segment AND o.value = ct.value', 'LEFT JOIN oc ON oc.variable = rt.variable AND oc.segment = rt.segment AND oc.value = ct.value')},
+u AS (SELECT variable, 'eta_squared' AS measure, eta_squared AS association FROM eta UNION ALL SELECT variable, 'cramers_v', sqrt(statistic / (n * m)) FROM chi)
+SELECT variable, measure, round(association, 5) AS association, row_number() OVER (ORDER BY association DESC NULLS LAST, variable) AS association_rank FROM u""")
+def profiling_associations(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.associations(respondents(spark, sf), NUMERIC, CATEGORICAL))
+
+
+_P = [("a", 0.01), ("b", 0.04), ("c", 0.03), ("d", 0.005), ("e", None), ("f", 0.9)]
+
+
+@query("WITH t AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', {'NULL' if b is None else b}::DOUBLE)" for a, b in _P) + """) AS t(variable, p_value)), k AS (SELECT *, row_number() OVER (ORDER BY p_value) AS i, count(*) OVER () AS m FROM t WHERE p_value IS NOT NULL),
+a AS (SELECT variable, round(least(1.0, min(p_value * m / i) OVER (ORDER BY i DESC ROWS UNBOUNDED PRECEDING)), 5) AS adjusted_p_value FROM k)
+SELECT t.variable, t.p_value, adjusted_p_value FROM t LEFT JOIN a USING (variable)""")
+def bh_adjust(spark: SparkSession, sf: str) -> DataFrame:
+    t = spark.createDataFrame(_P, "variable string, p_value double")
+    return rounded(t.withColumn("adjusted_p_value", stats.benjamini_hochberg("p_value")))
+
+
+# ---- validity of given segments ----
+
+_SIZES = "n AS (SELECT segment, count(*) AS n FROM r GROUP BY segment), s AS (SELECT *, n / sum(n) OVER ()::DOUBLE AS share FROM n)"
+
+
+@query(f"WITH {_SIZES} SELECT count(*) AS n_clusters, min(n) AS minimum_size, max(n) AS maximum_size, {_r('min(share) AS minimum_share', 'max(share) AS maximum_share', 'sum(-share * ln(share)) / ln(count(*)) AS size_entropy', 'max(n) / min(n)::DOUBLE AS size_ratio', '1 - (max(share) - min(share)) AS balance')} FROM s")
+def cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.cluster_sizes(respondents(spark, sf), "segment"))
+
+
+_SS = f"""{_SCALED}, cm AS (SELECT segment, count(*) AS n, {', '.join(f'avg({c}) AS {c}' for c in NUMERIC)} FROM z GROUP BY segment),
+ss AS (SELECT {' + '.join(f'sum((z.{c} - cm.{c}) ** 2)' for c in NUMERIC)} AS within_ss, {' + '.join(f'sum(z.{c} ** 2) - sum(z.{c}) ** 2 / count(*)' for c in NUMERIC)} AS total_ss, count(*) AS n, count(DISTINCT z.segment) AS k FROM z JOIN cm USING (segment))"""
+
+
+@query(f"WITH {_SS} SELECT {_r('total_ss AS total_ss', 'within_ss AS within_ss', 'total_ss - within_ss AS between_ss', '(total_ss - within_ss) / total_ss AS between_ratio', '((total_ss - within_ss) / (k - 1)) / (within_ss / (n - k)) AS calinski_harabasz')} FROM ss")
+def variance_separation(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.variance_separation(scaled(spark, sf), NUMERIC, "segment"))
+
+
+@query(f"WITH {_SS} SELECT round(((total_ss - within_ss) / (k - 1)) / (within_ss / (n - k)), 5) AS calinski_harabasz FROM ss")
+def calinski_harabasz(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.variance_separation(scaled(spark, sf), NUMERIC, "segment").select("calinski_harabasz"))
+
+
+_DIST = lambda a, b: "sqrt(" + " + ".join(f"({a}.{c} - {b}.{c}) ** 2" for c in NUMERIC) + ")"
+
+
+@query(f"""WITH {_SS}, sp AS (SELECT z.segment, avg({_DIST('z', 'cm')}) AS s FROM z JOIN cm USING (segment) GROUP BY z.segment), a AS (SELECT * FROM cm JOIN sp USING (segment)),
+w AS (SELECT x.segment, max((x.s + y.s) / {_DIST('x', 'y')}) AS m FROM a AS x JOIN a AS y ON x.segment <> y.segment GROUP BY x.segment) SELECT round(avg(m), 5) AS davies_bouldin FROM w""")
+def davies_bouldin(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.davies_bouldin(scaled(spark, sf), NUMERIC, "segment"))
+
+
+@query(f"""WITH {_SS}, d AS (SELECT z.respondent_id, cm.segment, {_DIST('z', 'cm')} AS d FROM z CROSS JOIN cm), k AS (SELECT *, row_number() OVER (PARTITION BY respondent_id ORDER BY d, segment) AS i FROM d) SELECT respondent_id, segment, round(d, 5) AS distance FROM k WHERE i = 1""")
+def nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
+    z = scaled(spark, sf)
+    return rounded(validity.nearest_centroid(z, validity.centroids(z, NUMERIC, "segment"), "respondent_id", NUMERIC, "segment"))
+
+
+_LABELS = "l AS (SELECT segment AS a, CASE WHEN spend >= 1500000 THEN 'high' WHEN spend >= 1000000 THEN 'middle' ELSE 'low' END AS b FROM r), t AS (SELECT a, b, count(*) AS n FROM l GROUP BY ALL)"
+
+
+def _two_labels(spark: SparkSession, sf: str) -> DataFrame:
+    band = F.when(F.col("spend") >= 1_500_000, "high").when(F.col("spend") >= 1_000_000, "middle").otherwise("low")
+    return respondents(spark, sf).select(F.col("respondent_id").alias("id"), F.col("segment").alias("a"), band.alias("b"))
+
+
+@query(f"WITH {_LABELS} SELECT a, b, round(n / (sum(n) OVER (PARTITION BY a) + sum(n) OVER (PARTITION BY b) - n)::DOUBLE, 5) AS jaccard FROM t")
+def jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.jaccard(_two_labels(spark, sf), "a", "b"))
+
+
+_ARI = f"""{_LABELS}, c AS (SELECT sum(n) AS n, sum(n * (n - 1) / 2.0) AS cells FROM t), ra AS (SELECT sum(n * (n - 1) / 2.0) AS p FROM (SELECT sum(n) AS n FROM t GROUP BY a)), rb AS (SELECT sum(n * (n - 1) / 2.0) AS q FROM (SELECT sum(n) AS n FROM t GROUP BY b)),
+ar AS (SELECT CAST(n AS BIGINT) AS n_compared, round((cells - p * q / (n * (n - 1) / 2.0)) / ((p + q) / 2.0 - p * q / (n * (n - 1) / 2.0)), 5) AS adjusted_rand_index FROM c, ra, rb)"""
+
+
+@query(f"WITH {_ARI} SELECT * FROM ar")
+def ari(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(validity.adjusted_rand(_two_labels(spark, sf), "a", "b"))
+
+
+@query(f"WITH {_ARI} SELECT 'a' AS model_1, 'b' AS model_2, * FROM ar UNION ALL SELECT 'b', 'a', * FROM ar UNION ALL SELECT m, m, n_compared, 1.0 FROM ar, (VALUES ('a'), ('b')) AS v(m)")
+def pairwise_ari(spark: SparkSession, sf: str) -> DataFrame:
+    d = _two_labels(spark, sf)
+    long = d.select("id", F.explode(F.array(*[F.struct(F.lit(m).alias("model_id"), F.col(m).alias("cluster")) for m in ("a", "b")])).alias("v")).select("id", "v.*")
+    return rounded(validity.pairwise_adjusted_rand(long))
+
+
+# ---- distances between embeddings ----
+
+
+def _vectors(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return e.select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(dims)])
+
+
+_X = [f"x{i}" for i in range(8)]
+_V = "v AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8)) + " FROM embeddings)"
+_SUM = lambda f: " + ".join(f.format(c=c) for c in _X)
+_D = {
+    "euclidean": f"sqrt({_SUM('(a.{c} - b.{c}) ** 2')})",
+    "manhattan": _SUM("abs(a.{c} - b.{c})"),
+    "gower": f"({_SUM('abs(a.{c} - b.{c}) / (SELECT max({c}) - min({c}) FROM v)')}) / 8",
+}
+_DISTRIBUTION = "count(*) AS n_pairs, " + _r("min(d) AS minimum", "quantile_cont(d, 0.25) AS first_quartile", "median(d) AS median", "avg(d) AS mean", "quantile_cont(d, 0.75) AS third_quartile", "max(d) AS maximum", "stddev_samp(d) AS standard_deviation", "stddev_samp(d) / avg(d) AS coefficient_of_variation", "(max(d) - min(d)) / max(d) AS relative_contrast")
+
+
+def _pairs(spark: SparkSession, sf: str, method: str) -> DataFrame:
+    """Sample first, as for every pairwise distance: all vectors, up to the sample's bound."""
+    return distance.pairwise(distance.sample_rows(_vectors(spark, sf), "id"), "id", _X, method)
+
+
+def _register_distances() -> None:
+    for method in distance.METHODS:
+        query(f"WITH {_V}, p AS (SELECT {_D[method]} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p", f"distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m))))
+
+
+_register_distances()
+
+
+@query(f"""WITH {_V}, p AS (SELECT {_D['manhattan']} AS x, {_D['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
+k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k""")
+def distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(distance.distance_correlation(_pairs(spark, sf, "manhattan"), _pairs(spark, sf, "gower")))
+
+
+@query(f"""WITH {_V}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {_D['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
+ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab""")
+def silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    v = distance.sample_rows(_vectors(spark, sf), "id")
+    return rounded(validity.silhouette(distance.pairwise(v, "id", _X), v.select("id", "label"), "label"))
+
+
+# ---- models ----
+
+
+@query()
+def kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster.kmeans(scaled(spark, sf), "respondent_id", NUMERIC, 4)
+
+
+@query()
+def model_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """k-medoids and average linkage on a sample of respondents, for two feature sets, two distances and k from 2 to 5."""
+    sets = {"all": NUMERIC, "orders": ["n_orders", "spend", "mean_order"]}
+    return cluster.model_grid(filled(spark, sf), "respondent_id", sets, ks=(2, 3, 4, 5), sample=400).drop("assignment", "elapsed_seconds")
+
+
+@query()
+def bootstrap_stability(spark: SparkSession, sf: str) -> DataFrame:
+    x, fit = _sampled_fit(spark, sf)
+    rows = cluster.bootstrap_stability(x, fit(x), fit, rounds=20)
+    return spark.createDataFrame([(r["cluster"], r["mean_jaccard"], r["minimum_jaccard"]) for r in rows], "cluster int, mean_jaccard double, minimum_jaccard double")
+
+
+@query()
+def gap_statistic(spark: SparkSession, sf: str) -> DataFrame:
+    x, _ = _sampled_fit(spark, sf)
+    return spark.createDataFrame([(k, *map(float, cluster.gap_statistic(x, k, rounds=10, starts=2))) for k in (2, 3, 4)], "k int, gap double, gap_standard_error double")
+
+
+def _sampled_fit(spark: SparkSession, sf: str):
+    rows = distance.sample_rows(scaled(spark, sf), "respondent_id", 300).toPandas().sort_values("respondent_id")
+    return rows[NUMERIC].to_numpy(), lambda a: cluster.pam(cluster.distance_matrix(a, "manhattan"), 3)[1]
+
+
+# ---- ranking of models, from a fixed table of metrics ----
+
+_MODELS = [("m1", "set_5", "pam", 3, 0.31, 0.80, 0.20, 0.45, 0.82, 0.50, 210.0, 1.10), ("m2", "set_5", "hier", 4, 0.42, 0.35, 0.02, 0.40, 0.71, 0.41, 180.5, 0.90), ("m3", "set_4", "pam", 4, 0.28, 0.90, 0.18, 0.52, 0.55, 0.62, 240.0, 1.30), ("m4", "set_4", "kmeans", 5, 0.35, 0.70, 0.10, 0.60, 0.78, 0.55, 260.0, 1.05), ("m5", "set_4", "kmeans", 8, 0.35, 0.65, 0.06, 0.66, 0.61, 0.30, 150.0, 1.55)]
+_MODEL_COLUMNS = "model_id string, feature_set string, method string, k long, average_silhouette double, balance double, minimum_share double, between_ratio double, average_jaccard double, gap double, calinski_harabasz double, davies_bouldin double"
+_MODELS_SQL = "t AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}::BIGINT" if isinstance(v, int) else f"{v}::DOUBLE" for v in m) + ")" for m in _MODELS) + ") AS t(" + ", ".join(c.split()[0] for c in _MODEL_COLUMNS.split(", ")) + "))"
+_RANKED = f"""{_MODELS_SQL}, c AS (SELECT *, 0.45 * {_norm('average_silhouette')} + 0.2 * {_norm('balance')} + 0.15 * {_norm('minimum_share')} + 0.2 * {_norm('between_ratio')} AS composite_score, minimum_share >= 0.05 AS acceptable_size FROM t),
+mr AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, model_id) AS overall_rank, rank() OVER (ORDER BY average_silhouette DESC NULLS LAST) AS silhouette_rank FROM c)"""
+_VALIDATED = f"""{_RANKED}, va AS (SELECT *, average_jaccard >= 0.6 AS stable_model FROM mr), vs AS (SELECT *, 0.3 * {_norm('composite_score')} + 0.35 * {_norm('average_jaccard')} + 0.15 * {_norm('gap')} + 0.1 * {_norm('calinski_harabasz')} + 0.1 * (1 - {_norm('davies_bouldin')}) AS validation_score FROM va),
+vr AS (SELECT *, row_number() OVER (ORDER BY validation_score DESC NULLS LAST, model_id) AS validation_rank, CASE WHEN stable_model AND acceptable_size THEN 'Shortlist' WHEN NOT stable_model THEN 'Insufficient bootstrap stability' WHEN NOT acceptable_size THEN 'Cluster-size imbalance' ELSE 'Review' END AS shortlist_status FROM vs)"""
+
+
+def _ranked(spark: SparkSession) -> DataFrame:
+    return selection.model_rank(spark.createDataFrame(_MODELS, _MODEL_COLUMNS))
+
+
+def _validated(spark: SparkSession) -> DataFrame:
+    return selection.validation_rank(_ranked(spark).withColumn("stable_model", F.col("average_jaccard") >= config.SETTINGS.stable_jaccard))
+
+
+@query(f"WITH {_RANKED} SELECT model_id, round(composite_score, 5) AS composite_score, acceptable_size, overall_rank, silhouette_rank FROM mr")
+def model_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_ranked(spark).select("model_id", "composite_score", "acceptable_size", "overall_rank", "silhouette_rank"))
+
+
+@query(f"WITH {_RANKED} SELECT method, model_id, round(composite_score, 5) AS composite_score FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY composite_score DESC NULLS LAST, model_id) AS i FROM mr) WHERE i = 1")
+def best_by_method(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(selection.best_by(_ranked(spark), "method").select("method", "model_id", "composite_score"))
+
+
+@query(f"WITH {_RANKED} SELECT model_id, overall_rank FROM mr WHERE k IN (3, 4, 5, 6) AND acceptable_size ORDER BY overall_rank LIMIT 30")
+def models_to_validate(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(selection.to_validate(_ranked(spark)).select("model_id", "overall_rank"))
+
+
+@query(f"WITH {_VALIDATED} SELECT model_id, round(validation_score, 5) AS validation_score, validation_rank, shortlist_status FROM vr")
+def validation_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_validated(spark).select("model_id", "validation_score", "validation_rank", "shortlist_status"))
+
+
+@query(f"""WITH {_VALIDATED}, ca AS (SELECT * FROM vr WHERE shortlist_status = 'Shortlist' AND validation_score >= (SELECT max(validation_score) FROM vr WHERE shortlist_status = 'Shortlist') - 0.2),
+fs AS (SELECT model_id, 0.45 * {_norm('validation_score')} + 0.3 * {_norm('gap')} + 0.15 * {_norm('between_ratio')} + 0.1 * {_norm('balance')} AS final_score FROM ca)
+SELECT model_id, round(final_score, 5) AS final_score, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) AS final_rank, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) = 1 AS selected FROM fs""")
+def final_model(spark: SparkSession, sf: str) -> DataFrame:
+    c = selection.candidates(_validated(spark)).withColumn("mean_range", F.col("gap")).withColumn("mean_association", F.col("between_ratio"))
+    return rounded(selection.final_model(c).select("model_id", "final_score", "final_rank", "selected"))
+
+
+@query("""WITH j AS (SELECT segment AS model_id, n_orders % 7 AS cluster, avg(CASE WHEN urgent = 'Yes' THEN 0.9 ELSE 0.5 END) AS mean_jaccard FROM r GROUP BY ALL)
+SELECT model_id, round(avg(mean_jaccard), 5) AS average_jaccard, round(min(mean_jaccard), 5) AS minimum_jaccard, round(max(mean_jaccard), 5) AS maximum_jaccard, count(*) AS n_clusters, count(*) FILTER (mean_jaccard >= 0.6) AS n_stable, avg(mean_jaccard) >= 0.6 AND min(mean_jaccard) >= 0.6 AS stable_model FROM j GROUP BY model_id""")
+def stability_summary(spark: SparkSession, sf: str) -> DataFrame:
+    j = respondents(spark, sf).groupBy(F.col("segment").alias("model_id"), (F.col("n_orders") % 7).alias("cluster")).agg(F.avg(F.when(F.col("urgent") == "Yes", 0.9).otherwise(0.5)).alias("mean_jaccard"))
+    return rounded(selection.stability_summary(j).select("model_id", "average_jaccard", "minimum_jaccard", "maximum_jaccard", "n_clusters", "n_stable", "stable_model"))
+
+
+# ---- rules ----
+
+_LEVEL = lambda c: f"CASE WHEN {c} >= 0.02 THEN 'High' WHEN {c} <= -0.02 THEN 'Low' ELSE 'Moderate' END"
+_DIMS = {"readiness": "n_orders", "confidence": "balance", "barriers": "mean_order", "engagement": "spend"}
+_WIDE = f"""{_PROFILE}, dm AS (SELECT segment, {', '.join(f"any_value(standardised_mean) FILTER (variable = '{v}') AS {d}" for d, v in _DIMS.items())} FROM pf GROUP BY segment),
+sz AS (SELECT segment, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS share_pct FROM r GROUP BY segment), st AS (SELECT * FROM dm JOIN sz USING (segment))"""
+_NAME = """CASE WHEN 10 * readiness >= 0.5 AND 10 * confidence >= 0.5 THEN 'Ready and assured' WHEN 10 * readiness <= -0.5 AND 10 * barriers >= 0.5 THEN 'Held back by barriers' WHEN 10 * confidence <= -0.25 THEN 'Unsure of themselves' WHEN 10 * engagement >= 0.5 AND 10 * readiness < 0.25 THEN 'Active, not committed' ELSE 'Mixed middle' END"""
+_SCORE = f"""(CASE {_LEVEL('readiness')} WHEN 'High' THEN 3 WHEN 'Moderate' THEN 2 ELSE 1 END + CASE {_LEVEL('confidence')} WHEN 'Low' THEN 2 WHEN 'Moderate' THEN 1 ELSE 0 END + CASE {_LEVEL('barriers')} WHEN 'High' THEN 3 WHEN 'Moderate' THEN 1 ELSE 0 END + CASE WHEN share_pct >= 30 THEN 2 WHEN share_pct >= 20 THEN 1 ELSE 0 END)"""
+
+
+def _dimensions(spark: SparkSession, sf: str) -> DataFrame:
+    p = _profile(spark, sf).withColumn("label", F.col("variable"))
+    out = profile.segment_sizes(respondents(spark, sf)).select("segment", "n", "share_pct")
+    for d, v in _DIMS.items():
+        out = out.join(rules.value_for(p, d, f"^{v}$"), "segment", "left")
+    return out
+
+
+@query(f"WITH {_WIDE} SELECT segment, {', '.join(f'{_LEVEL(d)} AS {d}' for d in _DIMS)} FROM st")
+def classify_level(spark: SparkSession, sf: str) -> DataFrame:
+    return _dimensions(spark, sf).select("segment", *[rules.classify_level(F.col(d), cut=0.02).alias(d) for d in _DIMS])
+
+
+@query(f"WITH {_WIDE} SELECT segment, {_NAME} AS working_name FROM st")
+def segment_name(spark: SparkSession, sf: str) -> DataFrame:
+    return _named(spark, sf).select("segment", "working_name")
+
+
+def _named(spark: SparkSession, sf: str) -> DataFrame:
+    return _dimensions(spark, sf).withColumn("working_name", rules.segment_name(*[F.col(d) * 10 for d in rules.DIMENSIONS]))
+
+
+def _prioritised(spark: SparkSession, sf: str) -> DataFrame:
+    levels = [rules.classify_level(F.col(d), cut=0.02) for d in ("readiness", "confidence", "barriers")]
+    return _dimensions(spark, sf).withColumn("priority_score", rules.priority_score(*levels, F.col("share_pct"))).withColumn("priority", rules.priority(F.col("priority_score")))
+
+
+_BAND = "CASE WHEN s >= 8 THEN 'Very high' WHEN s >= 6 THEN 'High' WHEN s >= 4 THEN 'Medium' ELSE 'Lower' END"
+
+
+@query(f"WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st) SELECT segment, CAST(s AS BIGINT) AS priority_score, {_BAND} AS priority FROM sc")
+def priority(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_prioritised(spark, sf).select("segment", "priority_score", "priority"))
+
+
+@query(f"WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st) SELECT segment, {_BAND} AS priority, unnest(range(1, 7)) AS action_rank, unnest([{', '.join(repr(a) for a in rules.ACTIONS)}]) AS action FROM sc")
+def actions(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(rules.actions(_prioritised(spark, sf)))
+
+
+@query(f"SELECT segment, unnest(range(1, 6)) AS kpi_rank, unnest([{', '.join(repr(a) for a in rules.KPIS)}]) AS kpi FROM (SELECT DISTINCT segment FROM r)")
+def kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(rules.kpis(_prioritised(spark, sf)))
+
+
+@query(f"WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st) SELECT segment, CAST(s AS BIGINT) AS priority_score, share_pct, row_number() OVER (ORDER BY s DESC, share_pct DESC, segment) AS overall_rank FROM sc")
+def implementation_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(rules.implementation_rank(_prioritised(spark, sf).select("segment", "priority_score", "share_pct")))
+
+
+@query()
+def strategy(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.strategy(_named(spark, sf).select("segment", "working_name"))
+
+
+@query(f"""WITH {_PROFILE}, {_CATEGORICAL}, tr AS (SELECT segment, CASE WHEN standardised_mean >= 0 THEN 'higher ' ELSE 'lower ' END || variable AS t, row_number() OVER (PARTITION BY segment ORDER BY abs(standardised_mean) DESC NULLS LAST, variable) AS k FROM pf),
+fm AS (SELECT segment, variable, level, n / segment_total::DOUBLE AS sh, row_number() OVER (PARTITION BY segment, variable ORDER BY n DESC, level) AS m FROM cp), sg AS (SELECT segment, variable || ': ' || level AS t, row_number() OVER (PARTITION BY segment ORDER BY sh DESC, variable) AS k FROM fm WHERE m = 1)
+SELECT segment, count(*) AS n, (SELECT string_agg(t, '; ' ORDER BY k) FROM tr WHERE k <= 4 AND tr.segment = r.segment) AS key_characteristics, (SELECT string_agg(t, '; ' ORDER BY k) FROM sg WHERE k <= 4 AND sg.segment = r.segment) AS profiling_signals FROM r GROUP BY segment""")
+def persona(spark: SparkSession, sf: str) -> DataFrame:
+    d = respondents(spark, sf)
+    made = rules.persona(profile.segment_sizes(d), profile.segment_profile(d, NUMERIC), profile.categorical_profile(d, CATEGORICAL))
+    return made.select("segment", "n", "key_characteristics", "profiling_signals")
+
+
+@query("SELECT time_bucket(INTERVAL '1 day', ts) AS day, user_id, count(*) AS n_events, count(DISTINCT event_type) AS n_types, round(sum(value), 5) AS total_value FROM events GROUP BY ALL")
+def behaviour_windows(spark: SparkSession, sf: str) -> DataFrame:
+    w = behaviour.behaviour_windows(spark.read.parquet(f"{sf}/events.parquet"))
+    return rounded(w.select(F.col("window.start").alias("day"), "user_id", "n_events", "n_types", "total_value"))
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Respondents from orders, imputed, scaled, put to the nearest segment centroid, and profiled."""
+    z = scaled(spark, sf)
+    near = validity.nearest_centroid(z, validity.centroids(z, NUMERIC, "segment"), "respondent_id", NUMERIC, "segment")
+    return rounded(profile.segment_profile(near.select("respondent_id", "segment").join(filled(spark, sf).drop("segment"), "respondent_id"), NUMERIC))
