@@ -40,7 +40,7 @@ RULES = (
     Rule("word_length_low", "word_chars", "n_words", low=2.0),
     Rule("word_length_high", "word_chars", "n_words", high=14.0),
     Rule("symbols", "n_symbols", "n_words", high=0.25),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.3),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("stop_words", "n_stop_words", "n_words", low=0.02),
     Rule("upper_case", "n_upper", "word_chars", high=0.4),
     Rule("shouting", "n_bangs", "n_words", high=0.3),

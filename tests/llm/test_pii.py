@@ -45,7 +45,7 @@ def test_query_against_brute_force(spark):
 
 ODD = [
     "a@b.c_d@e.f+g@h.i x..@y.z @ a@b", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1.2.3 9.9.9.9999", "4111 1111 1111 1111 and 4111-1111-1111-1112, 41111111111111111111",
-    "+1 (017) 555-7713 +12 +1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6 ++4930 1234567)", "é" * 30 + "😀 u@v.w 😀 +33 1 23 45 67 89", "x" * 200_000 + "@", "1" * 100_000, ".1" * 50_000, "a@b" + ".c" * 50_000, "+" * 50_000 + "(" * 50_000, "", None, None,
+    "+1 (017) 555-7713 +12 +1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6 ++4930 1234567)", "é" * 30 + "😀 u@v.w 😀 +33 1 23 45 67 89", "x" * 200_000 + "@", "1" * 100_000, ".1" * 8_000, "a@b" + ".c" * 50_000, "+" * 50_000 + "(" * 50_000, "", None, None,
     "a@b.c_d@e.f+g@h.i x..@y.z @ a@b",
 ]
 
