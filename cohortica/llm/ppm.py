@@ -37,7 +37,7 @@ ORDER = 5
 #: Rows of a slice of the trie or of the word counts: 128 MB as two arrays of 64-bit numbers.
 SLICE_ROWS = 1 << 23
 #: Bytes of text that a task holds as numbers at once, and rows of counts that it gathers before it hands them on.
-PART_BYTES, GATHERED = 1 << 22, 1 << 21
+PART_BYTES, GATHERED = 1 << 20, 1 << 20
 
 #: A context and a byte take 48 bits of a number, the index of a part the others.
 PART_BITS = 16
@@ -112,7 +112,7 @@ def word_keys(words: pa.Array) -> np.ndarray:
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not sum(map(len, keys)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    k, c = np.concatenate(keys), np.concatenate(counts)
+    k, c = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
     order = np.argsort(k, kind="stable")
     k, c = k[order], c[order]
     at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -301,7 +301,8 @@ def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got = rows.toArrow()
     k, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(k)
-    return k[order], n[order]
+    n = n[order]
+    return k[order], n.astype(np.uint32) if len(n) and n.max() < 1 << 32 else n
 
 
 
@@ -313,7 +314,7 @@ def _one_pass(docs: DataFrame, sent, first: bool, keyed: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (keys, counts), lowest, pairs, words = sent.value
         trie = Trie(keys, counts, lowest)
-        for b in batches:
+        for b in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
             texts = b.column("text").to_pylist()
             cols = score_texts([(i, t or "") for i, t in enumerate(texts)], trie, pairs, words, first, len(texts))
             shown = [pa.array([xxhash.xxh3_128_hexdigest((t or "").encode()) for t in texts], pa.string())] if keyed else []
