@@ -38,12 +38,10 @@ def screen_features(df: DataFrame, columns: list[str], s: config.Settings = S) -
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """variable_1, variable_2, correlation, absolute_correlation of all pairs, by one aggregate; null where a side has no spread."""
-    spread = {c: F.stddev_pop(c) > 0 for c in columns}
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     # corr raises on no spread under ANSI, so it is built from sums of products
     sums = df.agg(*[F.covar_pop(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
     rows = [F.struct(F.lit(min(a, b)).alias("variable_1"), F.lit(max(a, b)).alias("variable_2"), F.try_divide(F.col(f"c{i}"), F.col(f"s_{a}") * F.col(f"s_{b}")).alias("correlation")) for i, (a, b) in enumerate(pairs)]
-    del spread
     return sums.select(F.explode(F.array(*rows)).alias("v")).select("v.*").withColumn("absolute_correlation", F.abs("correlation"))
 
 

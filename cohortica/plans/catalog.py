@@ -749,6 +749,37 @@ def persona(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("segment", "n", "key_characteristics", "profiling_signals")
 
 
+@query(f"""WITH {_PROFILE}, k AS (SELECT segment, variable, standardised_mean, CASE WHEN standardised_mean > 0 THEN 'positive' ELSE 'negative' END AS direction FROM pf WHERE standardised_mean <> 0),
+i AS (SELECT *, row_number() OVER (PARTITION BY segment, direction ORDER BY abs(standardised_mean) DESC, variable) AS rank FROM k) SELECT segment, direction, rank, variable, round(standardised_mean, 5) AS standardised_mean FROM i WHERE rank <= 4""")
+def top_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The strongest positive and negative deviations of each segment."""
+    p = _profile(spark, sf).where("standardised_mean <> 0").withColumn("direction", F.when(F.col("standardised_mean") > 0, "positive").otherwise("negative"))
+    keyed = p.withColumn("__g", F.concat_ws("|", "segment", "direction"))
+    top = profile.top_per_group(keyed, "__g", F.abs("standardised_mean").desc(), config.SETTINGS.top_features, "variable")
+    return rounded(top.select("segment", "direction", "rank", "variable", "standardised_mean"))
+
+
+@query(f"""WITH {_WIDE} SELECT segment, working_name, working_name || ': readiness is ' || lower({_LEVEL('readiness')}) || ', confidence is ' || lower({_LEVEL('confidence')}) || ', barriers is ' || lower({_LEVEL('barriers')}) || ', engagement is ' || lower({_LEVEL('engagement')}) || '.' AS short_narrative FROM (SELECT *, {_NAME} AS working_name FROM st)""")
+def narratives(spark: SparkSession, sf: str) -> DataFrame:
+    levels = {d: rules.classify_level(F.col(d), cut=0.02) for d in rules.DIMENSIONS}
+    return _named(spark, sf).select("segment", "working_name", rules.narrative(F.col("working_name"), levels).alias("short_narrative"))
+
+
+@query(f"WITH {_PROFILE}, i AS (SELECT variable, max(abs(standardised_mean)) AS m FROM pf GROUP BY variable) SELECT variable, round(m, 5) AS maximum_absolute FROM i ORDER BY m DESC, variable LIMIT 20")
+def key_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 variables that set segments apart most: a top-k report."""
+    d = profile.distinctness(_profile(spark, sf)).select("variable", "maximum_absolute")
+    return rounded(d.orderBy(F.col("maximum_absolute").desc(), "variable").limit(config.SETTINGS.key_variables))
+
+
+@query(f"""WITH {_FILLED}, {_COUNTS} SELECT variable, n_missing AS n_imputed, round(CASE variable {' '.join(f"WHEN '{c}' THEN (SELECT median({c}) FROM r)" for c in NUMERIC)} END, 5) AS median_used FROM c WHERE variable_type = 'numeric'""")
+def imputation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    d = respondents(spark, sf)
+    m = clean.medians(d, NUMERIC)
+    used = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("median_used")) for c in NUMERIC])).alias("v")).select("v.*")
+    return rounded(audit.missingness(d, NUMERIC).select("variable", F.col("n_missing").alias("n_imputed")).join(used, "variable"))
+
+
 @query("SELECT time_bucket(INTERVAL '1 day', ts) AS day, user_id, count(*) AS n_events, count(DISTINCT event_type) AS n_types, round(sum(value), 5) AS total_value FROM events GROUP BY ALL")
 def behaviour_windows(spark: SparkSession, sf: str) -> DataFrame:
     w = behaviour.behaviour_windows(spark.read.parquet(f"{sf}/events.parquet"))
