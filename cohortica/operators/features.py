@@ -115,6 +115,15 @@ def pca_loadings(df: DataFrame, columns: list[str], top: int = 20) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, variable string, loading double")
 
 
+def pca_scores(df: DataFrame, key: str, columns: list[str], k: int = 2) -> DataFrame:
+    """key, pc_1 .. pc_k of each row: the components are as small as the columns, so projecting is one expression per row."""
+    _, mean, cov = gramian(df, columns)
+    sd = np.sqrt(np.diag(cov))
+    _, vectors = principal_components(cov)
+    score = lambda j: sum(((F.col(c) - float(mean[i])) / float(sd[i]) * float(vectors[i, j]) for i, c in enumerate(columns)), F.lit(0.0))
+    return df.select(key, *[score(j).alias(f"pc_{j + 1}") for j in range(min(k, len(columns)))])
+
+
 def pca_importance(cov: np.ndarray, target: float = S.pca_share, scaled: bool = True) -> np.ndarray:
     """Of each column: size of its loadings weighted by the proportions of the first components that reach the target together."""
     values, vectors = principal_components(cov, scaled)
