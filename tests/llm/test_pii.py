@@ -80,3 +80,12 @@ def test_label_model_tells_good_labelers_from_bad():
     right = [m.table[0, i, True, 2] for i in range(5)]
     assert right[0] > 0.9 and right[1] > 0.85 and right[2] > 0.78 and right[4] < 0.65 and abs(m.prior[0] - 0.4) < 0.06
     assert m.posterior(0, (2, 2, 2, 0, 0)) > 0.95 > 0.1 > m.posterior(0, (0, 0, 0, 2, 2))
+
+
+def test_numbers_without_checksum_are_no_cards(spark):
+    rows = [(i, f"pay {4000000000000000 + 977 * i} now or call (212) 555-0{100 + i} at 10.1.2.{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.find(docs).collect():
+        text = rows[r.doc_id][1]
+        cards = [text[s.start : s.end] for s in r.spans if s.kind == "card"]
+        assert all(luhn(c) for c in cards) and [text[s.start : s.end] for s in r.spans if s.kind == "phone"] == [re.search(r"\(212\) 555-[0-9]+", text)[0]]
