@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel | None:
             th, used, w = fit([rows[i] for i in by_content], np.array(grades)[by_content])
             yield pa.RecordBatch.from_arrays([pa.array([th], pa.list_(pa.float64())), pa.array([used], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64()))], ["th", "used", "w"])
 
-    made = sample.mapInArrow(extract, "x array<long>, grade int").coalesce(1).mapInArrow(fitted, "th array<double>, used array<long>, w array<double>").collect()
+    made = sample.mapInArrow(extract, "x array<long>, grade int").repartition(1).mapInArrow(fitted, "th array<double>, used array<long>, w array<double>").collect()
     return OrdinalModel(*[np.array(c) for c in made[0]]) if made else None
 
 
