@@ -33,8 +33,8 @@ WIDTH = 5
 #: Registers are ROWS x BANDS. A pair at 0.8 shares no band with probability (1 - 0.8 ** 5) ** 30 < 1e-5.
 ROWS, BANDS = 5, 30
 REGISTERS = ROWS * BANDS
-#: In the second round a pair is compared only if so many registers agree in four bits each: of 150, a pair at 0.8 has 122 on average, and fewer than 95 once in ten million.
-AGREE = 95
+#: In the second round a pair is compared only if so many registers agree in four bits each: of 150, a pair at 0.8 has 122 on average, and fewer than 102 once in fifty thousand.
+AGREE = 102
 #: Bytes of text that a task holds as numbers at once.
 PART_BYTES = 1 << 21
 
@@ -268,20 +268,28 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     texts = materialise(distinct.withColumn("uid", F.monotonically_increasing_id()))
     uids = texts.select("text_key", "uid")
     in_band = texts.where("n_shingles > 0").select("uid", F.explode("bands").alias("key"))
-    shared = in_band.groupBy("key").agg(F.min("uid").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = materialise(in_band.join(shared, "key").select("key", "a", F.col("uid").alias("b")))
-    stars = materialise(members.where("a <> b").select("a", "b").distinct())
-    links = materialise(verify(stars, uids, docs, threshold))
+    shared = in_band.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    together = materialise(in_band.join(shared, "key"))
+    # a band's first partner is the document that meets most others over all its bands: what copies were made from, rather than one of them
+    met = together.groupBy("uid").agg(F.sum("n").alias("met"))
+    known = materialise(together.join(met, "uid").join(texts.select("uid", "n_shingles"), "uid").select("key", "uid", "met", "n_shingles"))
+    centre = known.groupBy("key").agg(F.max(F.struct("met", "uid")).alias("c")).select("key", F.col("c.uid").alias("a"))
+    members = materialise(known.join(centre, "key").select("key", "a", F.col("uid").alias("b"), "n_shingles"))
+    tested = materialise(members.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = materialise(verify(tested, uids, docs, threshold))
     classes = materialise(components(links))
     # second round: of the documents of a band, those not yet in one class
-    labelled = members.select("key", F.col("b").alias("uid")).join(classes.withColumnRenamed("key", "uid"), "uid", "left").withColumn("class", F.coalesce("class", "uid"))
+    found = classes.withColumnRenamed("key", "uid")
+    labelled = members.select("key", F.col("b").alias("uid"), "n_shingles").join(found, "uid", "left").withColumn("class", F.coalesce("class", "uid"))
     spread = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("key")
-    detail = materialise(labelled.join(spread, "key", "left_semi").join(texts.select("uid", "n_shingles", "nibbles"), "uid"))
+    detail = materialise(labelled.join(spread, "key", "left_semi").join(texts.select("uid", "nibbles", "bands"), "uid"))
     left, right = detail.alias("x"), detail.alias("y")
     agree = F.aggregate(F.zip_with("x.nibbles", "y.nibbles", _equal_nibbles), F.lit(0), lambda acc, v: acc + v) - F.lit(16 * ((REGISTERS + 15) // 16) - REGISTERS)
     near = (F.col("x.uid") < F.col("y.uid")) & (F.col("x.class") != F.col("y.class")) & (F.col("x.n_shingles") >= F.col("y.n_shingles") * threshold) & (F.col("y.n_shingles") >= F.col("x.n_shingles") * threshold) & (agree >= AGREE)
+    # a pair is made in the first band that it shares only
+    near = near & (F.try_element_at(F.array_intersect("x.bands", "y.bands"), F.lit(1)) == F.col("x.key"))
     pairs = left.join(right, (F.col("x.key") == F.col("y.key")) & near).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
-    more = materialise(verify(pairs.join(stars, ["a", "b"], "left_anti"), uids, docs, threshold))
+    more = materialise(verify(pairs.join(tested, ["a", "b"], "left_anti"), uids, docs, threshold))
     if not more.isEmpty():
         classes = materialise(components(links.unionAll(more)))
     named = texts.select("text_key", "least_id", "uid").join(classes.withColumnRenamed("key", "uid"), "uid", "left").withColumn("class", F.coalesce("class", "uid"))
