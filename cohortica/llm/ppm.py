@@ -277,9 +277,8 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
             gram_rows = tries.where(ending.between(low, high))
         elif p:
             pairs = np.zeros(1 << 16, bool)
-        word_rows = counts.where("kind = 1")
-        if word_slices > 1:
-            word_rows = word_rows.where(F.pmod("key", F.lit(word_slices)) == p)
+        # a word is sent in one pass only, as its counts are summed over the passes: none is left for those beyond word_slices
+        word_rows = counts.where("kind = 1").where(F.pmod("key", F.lit(word_slices)) == p)
         sent = spark.sparkContext.broadcast((_arrays(gram_rows.select("key", "n")), lowest, pairs, _arrays(word_rows.select("key", "n"))))
         one = _one_pass(docs.select("doc_id", "text"), sent, p == 0, keyed=passes > 1)
         if passes > 1:

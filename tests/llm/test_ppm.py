@@ -53,6 +53,21 @@ def test_slices_and_odd_rows(spark, monkeypatch, limit):
     assert got == sorted(repr([i, n, k, round(b, 6), round(s, 6)]) for (i, _), (n, k, _, b, s) in zip(rows, want, strict=True))
 
 
+@pytest.mark.parametrize("texts", [["ab" + "".join(chr(97 + i * i % 23) for i in range(300)), "ab ab", None], [" ".join("ab"[i >> j & 1] for j in range(9)).replace(" ", "") + " " for i in range(512)]])
+def test_passes_of_one_side_only(spark, monkeypatch, texts):
+    words, found = len({w for t in texts for w in (t or "").split()}) + 1, set()
+    for t in texts:
+        raw = b"\n" * ppm.ORDER + b"".join(ppm._bytes_of(w) for w in ppm.parts(t or ""))
+        found |= {raw[i - ppm.ORDER : i + 1] for i in range(ppm.ORDER, len(raw))}
+    limit = (words + len(found)) // 2
+    assert min(words, len(found)) <= limit < max(words, len(found))
+    monkeypatch.setattr(ppm, "SLICE_ROWS", limit)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = sorted([r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score] for r in ppm.score(docs, docs).collect())
+    for (i, (n, k, _, b, s)), row in zip(enumerate(brute(texts, texts)), got, strict=True):
+        assert row[:3] == [i, n, k] and row[3] == pytest.approx(b) and row[4] == pytest.approx(s)
+
+
 def test_empty_tables_and_adaptive(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     one = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
