@@ -551,6 +551,11 @@ def _vectors(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
     return e.select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(dims)])
 
 
+def _components(spark: SparkSession, sf: str) -> int:
+    """How many numbers a vector has. The queries with SQL take the first 8, as their SQL does; those named whole_ take all."""
+    return spark.read.parquet(f"{sf}/embeddings.parquet").agg(F.max(F.size("embedding"))).first()[0] or 1
+
+
 _X = [f"x{i}" for i in range(8)]
 _V = "v AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8)) + " FROM embeddings)"
 _SUM = lambda f: " + ".join(f.format(c=c) for c in _X)
@@ -562,14 +567,15 @@ _D = {
 _DISTRIBUTION = "count(*) AS n_pairs, " + _r("min(d) AS minimum", "quantile_cont(d, 0.25) AS first_quartile", "median(d) AS median", "avg(d) AS mean", "quantile_cont(d, 0.75) AS third_quartile", "max(d) AS maximum", "stddev_samp(d) AS standard_deviation", "stddev_samp(d) / avg(d) AS coefficient_of_variation", "(max(d) - min(d)) / max(d) AS relative_contrast")
 
 
-def _pairs(spark: SparkSession, sf: str, method: str) -> DataFrame:
+def _pairs(spark: SparkSession, sf: str, method: str, dims: int = 8) -> DataFrame:
     """Sample first, as for every pairwise distance: all vectors, up to the sample's bound."""
-    return distance.pairwise(distance.sample_rows(_vectors(spark, sf), "id"), "id", _X, method)
+    return distance.pairwise(distance.sample_rows(_vectors(spark, sf, dims), "id"), "id", [f"x{i}" for i in range(dims)], method)
 
 
 def _register_distances() -> None:
     for method in distance.METHODS:
         query(f"WITH {_V}, p AS (SELECT {_D[method]} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p", f"distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m))))
+        query(name=f"whole_distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m, _components(spark, sf)))))
 
 
 _register_distances()
@@ -577,15 +583,25 @@ _register_distances()
 
 @query(f"""WITH {_V}, p AS (SELECT {_D['manhattan']} AS x, {_D['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
 k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k""")
-def distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(distance.distance_correlation(_pairs(spark, sf, "manhattan"), _pairs(spark, sf, "gower")))
+def distance_correlation(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
+    return rounded(distance.distance_correlation(_pairs(spark, sf, "manhattan", dims), _pairs(spark, sf, "gower", dims)))
+
+
+@query()
+def whole_distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return distance_correlation(spark, sf, _components(spark, sf))
 
 
 @query(f"""WITH {_V}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {_D['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
 ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab""")
-def silhouette(spark: SparkSession, sf: str) -> DataFrame:
-    v = distance.sample_rows(_vectors(spark, sf), "id")
-    return rounded(validity.silhouette(distance.pairwise(v, "id", _X), v.select("id", "label"), "label"))
+def silhouette(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
+    v = distance.sample_rows(_vectors(spark, sf, dims), "id")
+    return rounded(validity.silhouette(distance.pairwise(v, "id", [f"x{i}" for i in range(dims)]), v.select("id", "label"), "label"))
+
+
+@query()
+def whole_silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    return silhouette(spark, sf, _components(spark, sf))
 
 
 # ---- models ----
