@@ -24,7 +24,7 @@ def _term(method: str, a: Column, b: Column) -> Column:
 def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclidean", block: int = 256) -> DataFrame:
     """id_a < id_b, d. Numeric columns without nulls, scaled by the caller but for gower, which divides by each column's range.
 
-    Every pair is the answer here, so df is a sample; rows are dealt to blocks
+    Every pair is the answer here, so the work is quadratic; rows are dealt to blocks
     and blocks meet by an equality join, so that a task holds two blocks of rows
     rather than the whole of one side.
     """

@@ -568,8 +568,8 @@ _DISTRIBUTION = "count(*) AS n_pairs, " + _r("min(d) AS minimum", "quantile_cont
 
 
 def _pairs(spark: SparkSession, sf: str, method: str, dims: int = 8) -> DataFrame:
-    """Sample first, as for every pairwise distance: all vectors, up to the sample's bound."""
-    return distance.pairwise(distance.sample_rows(_vectors(spark, sf, dims), "id"), "id", [f"x{i}" for i in range(dims)], method)
+    """All pairs of all vectors, as the SQL has it: quadratic, whatever the table's size."""
+    return distance.pairwise(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], method)
 
 
 def _register_distances() -> None:
@@ -595,7 +595,7 @@ def whole_distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {_V}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {_D['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
 ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab""")
 def silhouette(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
-    v = distance.sample_rows(_vectors(spark, sf, dims), "id")
+    v = _vectors(spark, sf, dims)
     return rounded(validity.silhouette(distance.pairwise(v, "id", [f"x{i}" for i in range(dims)]), v.select("id", "label"), "label"))
 
 

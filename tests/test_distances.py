@@ -1,7 +1,9 @@
 import numpy as np
 import pyarrow.dataset as ds
 import pytest
+from pyspark.sql import functions as F
 
+from cohortica import config
 from cohortica.operators import cluster, distance
 from cohortica.plans import catalog
 
@@ -26,3 +28,14 @@ def test_whole_vectors(spark):
     assert (r.n_pairs, r.pearson) == (len(upper[0]), pytest.approx(np.corrcoef(d["manhattan"][upper], d["gower"][upper])[0, 1], abs=2e-5))
     got = {r.id: r.silhouette for r in q["whole_silhouette"](spark, SF).collect()}
     assert got == pytest.approx(dict(zip(ids, cluster.mean_silhouette(d["euclidean"], labels), strict=True)), abs=2e-5)
+
+
+@pytest.mark.parametrize("prefix", ["", "whole_"])
+def test_more_vectors_than_a_sample(spark, tmp_path, prefix):
+    n = config.SETTINGS.sample_rows + 1
+    made = spark.range(n).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label"), F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.rand(1) + i).alias("embedding"))
+    made.write.parquet(str(tmp_path / "embeddings.parquet"))
+    q = catalog.queries()
+    assert q[f"{prefix}silhouette"](spark, str(tmp_path)).count() == n
+    for m in distance.METHODS:
+        assert q[f"{prefix}distance_distribution_{m}"](spark, str(tmp_path)).select("n_pairs").first().n_pairs == n * (n - 1) // 2
