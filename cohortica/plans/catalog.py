@@ -614,26 +614,26 @@ def kmeans(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def model_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """k-medoids and average linkage on a sample of respondents, for two feature sets, two distances and k from 2 to 5."""
+    """k-medoids and average linkage on a sample of respondents, for two feature sets, two distances and each k of the settings."""
     sets = {"all": NUMERIC, "orders": ["n_orders", "spend", "mean_order"]}
-    return cluster.model_grid(filled(spark, sf), "respondent_id", sets, ks=(2, 3, 4, 5), sample=400).drop("assignment", "elapsed_seconds")
+    return cluster.model_grid(filled(spark, sf), "respondent_id", sets).drop("assignment", "elapsed_seconds")
 
 
 @query()
 def bootstrap_stability(spark: SparkSession, sf: str) -> DataFrame:
     x, fit = _sampled_fit(spark, sf)
-    rows = cluster.bootstrap_stability(x, fit(x), fit, rounds=20)
+    rows = cluster.bootstrap_stability(x, fit(x), fit)
     return spark.createDataFrame([(r["cluster"], r["mean_jaccard"], r["minimum_jaccard"]) for r in rows], "cluster int, mean_jaccard double, minimum_jaccard double")
 
 
 @query()
 def gap_statistic(spark: SparkSession, sf: str) -> DataFrame:
     x, _ = _sampled_fit(spark, sf)
-    return spark.createDataFrame([(k, *map(float, cluster.gap_statistic(x, k, rounds=10, starts=2))) for k in (2, 3, 4)], "k int, gap double, gap_standard_error double")
+    return spark.createDataFrame([(k, *map(float, cluster.gap_statistic(x, k))) for k in config.SETTINGS.k_values], "k int, gap double, gap_standard_error double")
 
 
 def _sampled_fit(spark: SparkSession, sf: str):
-    rows = distance.sample_rows(scaled(spark, sf), "respondent_id", 300).toPandas().sort_values("respondent_id")
+    rows = distance.sample_rows(scaled(spark, sf), "respondent_id").toPandas().sort_values("respondent_id")
     return rows[NUMERIC].to_numpy(), lambda a: cluster.pam(cluster.distance_matrix(a, "manhattan"), 3)[1]
 
 
