@@ -1,4 +1,5 @@
 import collections
+import math
 import random
 
 import numpy as np
@@ -93,3 +94,9 @@ def test_large_group_of_near_copies_and_chain(spark):
     assert {r.class_id for r in bmh.near_duplicates(docs).collect()} == {0}
     chain = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(100, 101)], "a long, b long")
     assert {(r["key"], r["class"]) for r in bmh.components(chain).collect()} == {(i, 0) for i in range(71)} | {(100, 100), (101, 100)}
+
+
+def test_second_look_loses_less_than_the_bands():
+    p, n = 0.8 + 0.2 / 16, bmh.REGISTERS
+    lost = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bmh.AGREE))
+    assert lost < (1 - 0.8**bmh.ROWS) ** bmh.BANDS
