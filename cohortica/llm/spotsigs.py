@@ -27,8 +27,8 @@ CHAIN = 2
 SKIP = 8
 #: Partitions hold sets whose sizes lie within this factor.
 FACTOR = 0.8
-#: Pairs whose sizes alone keep them below this likeness aren't compared: they count as 0.
-FLOOR = 0.02
+#: Pairs whose sizes alone keep them below this likeness count as 0: none do, as a row's likeness is its exact one.
+FLOOR = 0.0
 
 _ANCHOR = "(?:" + "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w))) + ")"
 _WORD_OF_CHAIN = rf"(?:\x20{_ANCHOR}(?=\x20)){{0,{SKIP}}}+\x20(?!{_ANCHOR}\x20)[^\x20]++"

@@ -72,3 +72,8 @@ def test_near_pairs_against_all_pairs(spark):
     names = sorted(sets)
     want = {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if jaccard(sets[a], sets[b]) >= 0.8}
     assert want and {tuple(sorted((r.fingerprint_a, r.fingerprint_b))) for r in spotsigs.near_pairs(docs).collect()} == want
+
+
+def test_likeness_of_unlike_sizes_is_exact(spark):
+    row = spark.range(1).select(F.array(F.lit(1)).alias("a"), F.sequence(F.lit(1), F.lit(100)).alias("b"))
+    assert row.select(spotsigs.pruned_jaccard(F.col("a"), F.col("b"))).first()[0] == pytest.approx(0.01)
