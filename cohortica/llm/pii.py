@@ -41,7 +41,7 @@ BASE = {
 WIDE = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++\x20?[\[(]\x20?at\x20?[\])]\x20?{_HOST}++(?:(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?){_HOST}++)++",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){11,18}+(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20-])[0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9A-Za-z.])",
+    "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|\.[0-9])",
 }
 
 #: Words that announce a kind, lower case.

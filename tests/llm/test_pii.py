@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from cohortica.llm import pii, queries
 
@@ -89,3 +90,10 @@ def test_numbers_without_checksum_are_no_cards(spark):
         text = rows[r.doc_id][1]
         cards = [text[s.start : s.end] for s in r.spans if s.kind == "card"]
         assert all(luhn(c) for c in cards) and [text[s.start : s.end] for s in r.spans if s.kind == "phone"] == [re.search(r"\(212\) 555-[0-9]+", text)[0]]
+
+
+def test_phones_before_a_full_stop_are_candidates(spark):
+    rows = [(1, "call 555-123-4567."), (2, "(020) 7946 0958."), (3, "tel 555.123.4567, or 555.123.4568."), (4, "host 192.168.100.200 and 1.192.168.1000.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = docs.select("doc_id", pii._found(F.col("text"), pii.WIDE["phone"]).alias("f")).collect()
+    assert {r.doc_id: [s.span for s in r.f] for r in found} == {1: ["555-123-4567"], 2: ["(020) 7946 0958"], 3: ["555.123.4567", "555.123.4568"], 4: []}
