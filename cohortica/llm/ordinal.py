@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,7 +122,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel | None:
-    """Fits on a bounded sample of the rated documents, in one task; None if nothing is rated.
+    """Fits on a bounded sample of the rated documents, in one task; None if nothing is rated, an error if none of it fits the sample.
 
     A document that is rated several times counts with each rating. Null texts
     are empty, null ids match nothing.
@@ -131,9 +131,19 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel | None:
     # the sample is taken from the ids, before any text is moved
     chosen = materialise(rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE_ROWS))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "grade", "hash").rowsBetween(Window.unboundedPreceding, 0)
     sizes = texts.select("doc_id", "grade", F.length("text").alias("chars"), F.xxhash64("text").alias("hash"))
-    room = materialise(sizes.select("doc_id", "grade", "hash", F.sum("chars").over(order).alias("upto"), F.row_number().over(order).alias("nth")).where((F.col("upto") <= SAMPLE_CHARS) & (F.col("nth") <= SAMPLE_ROWS)).select("doc_id", "hash").distinct())
+    most_rows, most_chars = SAMPLE_ROWS, SAMPLE_CHARS
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = chars = 0
+        for b in batches:
+            mine = []
+            for n in b.column("chars").to_pylist():  # a text that doesn't fit is passed over
+                mine.append(rows < most_rows and chars + n <= most_chars)
+                rows, chars = rows + mine[-1], chars + n * mine[-1]
+            yield b.select(["doc_id", "hash"]).filter(pa.array(mine, pa.bool_()))
+
+    room = materialise(sizes.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "grade", "hash").mapInArrow(fitting, "doc_id long, hash long").distinct())
     sample = texts.join(F.broadcast(room), (texts["doc_id"] == room["doc_id"]) & (F.xxhash64(texts["text"]) == room["hash"]), "left_semi").select("text", "grade")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +161,8 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel | None:
             yield pa.RecordBatch.from_arrays([pa.array([th], pa.list_(pa.float64())), pa.array([used], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64()))], ["th", "used", "w"])
 
     made = sample.mapInArrow(extract, "x array<long>, grade int").repartition(1).mapInArrow(fitted, "th array<double>, used array<long>, w array<double>").collect()
+    if not made and not docs.join(rated, "doc_id", "left_semi").isEmpty():
+        raise ValueError("documents are rated, but none of them is in the sample")
     return OrdinalModel(*[np.array(c) for c in made[0]]) if made else None
 
 

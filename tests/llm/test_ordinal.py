@@ -42,3 +42,14 @@ def test_features_ignore_order_and_repeat():
 def test_grades(spark, quality, toxic, want):
     row = spark.createDataFrame([(quality, toxic)], "quality int, toxic int")
     assert row.select(ordinal.grade(F.col("quality"), F.col("toxic"))).first()[0] == want
+
+
+def test_a_long_text_does_not_end_the_sample(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    first = labels.orderBy(F.xxhash64("doc_id")).first().doc_id
+    docs = spark.createDataFrame([(i, "x" * 5000 if i == first else f"text {'good' if i % 2 else 'bad'} " * 5) for i in range(40)], "doc_id long, text string")
+    monkeypatch.setattr(ordinal, "SAMPLE_CHARS", 4000)
+    assert ordinal.train(docs, labels) is not None
+    monkeypatch.setattr(ordinal, "SAMPLE_CHARS", 10)
+    with pytest.raises(ValueError, match="none of them is in the sample"):
+        ordinal.train(docs, labels)
