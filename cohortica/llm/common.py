@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,25 +40,51 @@ def unit_draw(*key: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is set, as in tests."""
+    """The shared folder that the cluster names; one of our own only where driver and executors are one process, as in tests."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortica-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
 
 
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cohortica-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: lineage ends there, any executor may be lost.
 
     The folder is removed when the driver's Python ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cohortica-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out, path = _written(df)
+    atexit.register(_remove, df.sparkSession, path)
+    return out
+
+
+class Scratch:
+    """Materialised tables that are removed when the with block ends; what outlives it must have been materialised beside them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            _remove(self.spark, path)
+
+    def save(self, df: DataFrame) -> DataFrame:
+        out, path = _written(df)
+        self.paths.append(path)
+        return out
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -69,3 +98,36 @@ def _remove(spark: SparkSession, path: str) -> None:
 def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if a count shows that it is small; df must be cheap to count (materialised)."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows in runs of about `most` bytes of text, one row at least: what a task holds as Python values doesn't follow a batch's length."""
+    for b in batches:
+        start, size = 0, 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(b.column(column)), 0).to_pylist()):
+            size += n + 1
+            if size >= most:
+                yield b.slice(start, i + 1 - start)
+                start, size = i + 1, 0
+        if start < b.num_rows:
+            yield b.slice(start)
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """The texts, null ones as empty."""
+    return pc.fill_null(batch.column(column), "").to_pylist()
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which gives the memory that it has freed back to the system when a task ends: workers stay alive between tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim:
+                trim(0)
+
+    return tidied
