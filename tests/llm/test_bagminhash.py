@@ -1,5 +1,4 @@
 import collections
-import math
 import random
 
 import numpy as np
@@ -8,6 +7,7 @@ import pytest
 
 from cohortica.llm import bagminhash as bmh
 from cohortica.llm import queries
+from cohortica.llm.common import Scratch
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,10 +93,51 @@ def test_large_group_of_near_copies_and_chain(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.class_id for r in bmh.near_duplicates(docs).collect()} == {0}
     chain = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(100, 101)], "a long, b long")
-    assert {(r["key"], r["class"]) for r in bmh.components(chain).collect()} == {(i, 0) for i in range(71)} | {(100, 100), (101, 100)}
-
-
-def test_second_look_loses_less_than_the_bands():
-    p, n = 0.8 + 0.2 / 16, bmh.REGISTERS
-    lost = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bmh.AGREE))
-    assert lost < (1 - 0.8**bmh.ROWS) ** bmh.BANDS
+    with Scratch(spark) as scratch:
+        assert {(r["key"], r["class"]) for r in bmh.components(chain, scratch).collect()} == {(i, 0) for i in range(71)} | {(100, 100), (101, 100)}
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        out[at] = f"edit{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_early_pairs_are_all_pairs_that_are_alike(spark):
+    """All pairs of the threshold are among them, and copies that differ too much from each other hardly meet."""
+    rng = random.Random(5)
+    base = [f"w{i % 90}" for i in range(100)]
+    texts = [" ".join(base)] + [edited(rng, base, 1 + i % 5) for i in range(150)] + [" ".join([*base, *(["again"] * (i % 40))]) for i in range(60)]
+    texts += [" ".join(f"x{rng.randrange(6)}" for _ in range(30)) for _ in range(60)]
+    texts = list(dict.fromkeys(texts))
+    bags = [bag(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    uids = docs.select(bmh.text_key().alias("text_key"), bmh.F.col("doc_id").alias("uid"))
+    opened = spark.createDataFrame([(i, i % 7, sum(b.values())) for i, b in enumerate(bags)], "uid long, class long, n_shingles long")
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if i % 7 != j % 7 and jaccard(bags[i], bags[j]) >= 0.8}
+    with Scratch(spark) as scratch:
+        pairs = scratch.save(bmh.early_pairs(opened, uids, docs, 0.8, scratch))
+        got = {(r.a, r.b) for r in pairs.collect()}
+        kept = {tuple(sorted((r.a, r.b))) for r in bmh.verify(pairs, uids, docs, 0.8, scratch).collect()}
+    assert len(want) > 100 and want <= got and kept == want
+    apart = {i for i in range(len(texts)) if 0 < i <= 150 and jaccard(bags[i], bags[0]) < 0.75}
+    assert len(apart) > 80 and sum(i in apart and j in apart for i, j in got) < len(apart)
+
+
+def test_a_long_text_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    texts = ["a b", "", " ".join(f"w{rng.randrange(50)}" for _ in range(3000)), "c d e f g h", " ".join(f"v{rng.randrange(9)}" for _ in range(700))]
+    whole = bmh.shingles(texts)
+    sig = bmh.signatures(*whole, len(texts))
+    monkeypatch.setattr(bmh, "PART_BYTES", 800)
+    monkeypatch.setattr(bmh, "PART_SHINGLES", 100)
+    parts = bmh.shingles(texts)
+    assert all((x == y).all() for x, y in zip(whole, parts, strict=True)) and (bmh.signatures(*parts, len(texts)) == sig).all()
+
+
+def test_clashing_columns_and_string_ids(spark):
+    rows = [("b", "one two three four five six", "k", "n1"), ("a", "one two three four five six", "k", "n2"), ("a", "one two three four five six", None, "n2"), (None, None, "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, key string, `__nth` string")
+    kept = bmh.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == [("a", "one two three four five six", "k", "n2"), (None, None, "x", "y")]
