@@ -17,10 +17,61 @@ def test_held_out_accuracy(spark):
     of = lambda g: [r for r in got if r.grade == g]
     assert np.mean([r.quality_kept for r in of(2)]) > 0.98
     assert np.mean([r.quality_kept for r in of(0)]) < 0.05
-    assert np.mean([r.quality_kept for r in of(1)]) < 0.4
+    assert np.mean([r.quality_kept for r in of(1)]) < 0.3
     assert np.mean([r.expected_grade for r in of(0)]) < np.mean([r.expected_grade for r in of(1)]) < np.mean([r.expected_grade for r in of(2)])
 
 
+def plain_loss(x, y, th, w):
+    """The documented loss once more, row by row in plain terms: x is a 0/1 matrix."""
+    share = np.array([np.mean(y == k) if (y == k).any() else 1 for k in range(3)])
+    weight = 1 / np.sqrt(share[y])
+    edges = np.array([-np.inf, *th, np.inf])
+    below = lambda z: 1 / (1 + np.exp(-z))
+    s = x @ w
+    return -(weight / weight.sum() * np.log(np.maximum(below(edges[y + 1] - s) - below(edges[y] - s), 1e-12))).sum() + ordinal.L1 * abs(w).sum() + ordinal.RIDGE / 2 * (np.array(th) ** 2).sum()
+
+
+def least_along(f, low, high):
+    for _ in range(40):
+        a, b = low + (high - low) * 0.382, low + (high - low) * 0.618
+        low, high = (low, b) if f(a) < f(b) else (a, high)
+    return (low + high) / 2
+
+
+@pytest.mark.parametrize("grades", [(0, 1, 2), (0, 2)])
+def test_fit_is_at_the_optimum_that_coordinate_search_finds(grades):
+    rng = np.random.default_rng(7)
+    x = (rng.random((80, 6)) < 0.4).astype(float)
+    y = np.array(grades)[np.digitize(x @ np.array([2.0, -1.5, 1, 0.3, 0, 0]) + rng.logistic(size=80), [0, 1.5][: len(grades) - 1])]
+    th, used, w = ordinal.fit([np.flatnonzero(r) for r in x], y)
+    dense = np.zeros(6)
+    dense[used] = w
+    got = plain_loss(x, y, th, dense)
+    full = np.zeros(1 << ordinal.BITS)
+    full[:6] = dense
+    assert got == pytest.approx(ordinal.loss([np.flatnonzero(r) for r in x], y, th, full), abs=1e-9)
+    at, best = [-0.7, 0.7], np.zeros(6)
+    for _ in range(40):
+        for j in range(6):
+            best[j] = least_along(lambda v, j=j: plain_loss(x, y, at, np.where(np.arange(6) == j, v, best)), -9, 9)
+        at[0] = least_along(lambda v: plain_loss(x, y, [v, at[1]], best), -9, at[1])
+        at[1] = least_along(lambda v: plain_loss(x, y, [at[0], v], best), at[0], 9)
+        both = least_along(lambda v: plain_loss(x, y, [at[0] + v, at[1] + v], best), -3, 3)
+        at = [at[0] + both, at[1] + both]
+    assert got <= plain_loss(x, y, at, best) + 1e-5 and th[0] < th[1]
+    for j in range(2):
+        moved = [[*th[:j], th[j] + d, *th[j + 1 :]] for d in (-1e-4, 1e-4)]
+        if len(grades) == 3:
+            assert abs(plain_loss(x, y, moved[1], dense) - plain_loss(x, y, moved[0], dense)) / 2e-4 < 1e-4
+
+
+def test_all_of_one_grade_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "some words")] * 30 + [(2, "other words")] * 5, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)] * 4, "doc_id long, quality int, toxic int")
+    out = ordinal.classify(docs, ordinal.train(docs, labels)).collect()
+    assert len(out) == 35 and all(r.quality_kept for r in out)
+
+
 def test_odd_rows(spark):
     rows = [(1, "good words here " * 20, 7), (2, None, None), (3, "", 1), (None, "x" * 200_000, 2), (1, "good words here " * 20, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality_kept int")
