@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, chain
@@ -21,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from cohortica.llm.common import slices, texts_of, tidy
+
 #: Pieces that a worker remembers, each of PIECE_CHARS at most; the memory is emptied when full.
 REMEMBERED, PIECE_CHARS = 150_000, 64
 #: Texts go through the encoder in groups of about so many characters.
@@ -38,6 +41,7 @@ class Codec:
     """Encodes and decodes by a rank file and a pattern, without special tokens."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         chars = byte_characters()
@@ -123,49 +127,29 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, offsets: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for whole in batches:
-            for b in _slices(whole):
-                ids = c.encode([t or "" for t in b.column("text").to_pylist()])
-                cols = [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode_bytes(x) for x in ids], pa.binary())]
-                if offsets:
-                    cols += [pa.array([c.byte_offsets(x) for x in ids], pa.list_(pa.int64())), pa.array([c.char_offsets(x) for x in ids], pa.list_(pa.list_(pa.int64())))]
-                yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *[n for n, _ in added]])
-
-    return kept.mapInArrow(run, schema)
-
-
-def _slices(batch: pa.RecordBatch, chars: int = 4 * GROUP_CHARS) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of about so many bytes of text: what is held at once doesn't follow the length of a batch."""
-    start, size = 0, 0
-    for i, n in enumerate(_lengths(batch)):
-        size += n
-        if size >= chars:
-            yield batch.slice(start, i + 1 - start)
-            start, size = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
-def _lengths(batch: pa.RecordBatch) -> list[int]:
-    import pyarrow.compute as pc
+        for b in slices(batches, 2 * GROUP_CHARS):
+            ids = c.encode(texts_of(b))
+            cols = [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode_bytes(x) for x in ids], pa.binary())]
+            if offsets:
+                cols += [pa.array([c.byte_offsets(x) for x in ids], pa.list_(pa.int64())), pa.array([c.char_offsets(x) for x in ids], pa.list_(pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *[n for n, _ in added]])
+        c.known.clear()  # a worker that waits for other work holds no pieces
 
-    return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode_documents, digested where the ids are made."""
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
         number = list(map(str, range(len(c.of_id))))
-        for whole in batches:
-            for b in _slices(whole):
-                ids = c.encode([t or "" for t in b.column("text").to_pylist()])
-                sha = lambda x: hashlib.sha256(x).hexdigest()
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array([sha(",".join(map(number.__getitem__, x)).encode()) for x in ids]), pa.array([sha(c.decode_bytes(x)) for x in ids])],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        for b in slices(batches, 2 * GROUP_CHARS):
+            ids = c.encode(texts_of(b))
+            digested = [pa.array(map(len, ids), pa.int64()), pa.array([sha(",".join(map(number.__getitem__, x)).encode()) for x in ids], pa.string()), pa.array([sha(c.decode_bytes(x)) for x in ids], pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *digested], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        c.known.clear()
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string").fields])
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
