@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import let, materialise, text_of
+from cohortica.llm.common import broadcast_if_small, let, materialise, text_of
 
 #: Common words of English, French, German and Spanish, which are anchors and never part of a chain.
 ANCHORS = (
@@ -23,38 +23,41 @@ ANCHORS = (
     "que qui se sich sie sont su sur that the this to un una und une von was were which with you zu"
 ).split()
 CHAIN = 2
-#: So many common words in a row may stand before each word of a chain.
-SKIP = 8
 #: Partitions hold sets whose sizes lie within this factor.
 FACTOR = 0.8
-#: Pairs whose sizes alone keep them below this likeness count as 0: none do, as a row's likeness is its exact one.
-FLOOR = 0.0
-
-_ANCHOR = "(?:" + "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w))) + ")"
-_WORD_OF_CHAIN = rf"(?:\x20{_ANCHOR}(?=\x20)){{0,{SKIP}}}+\x20(?!{_ANCHOR}\x20)[^\x20]++"
-_SPOT = rf"(?<=\x20)(?=({_ANCHOR}{_WORD_OF_CHAIN * CHAIN})\x20)"
-_SKIPPED = rf"(?<=\x20)(?:{_ANCHOR}\x20)++"
-_ANY = r"(?<=\x20)(?=([^\x20]++(?:\x20[^\x20]++){1,2}+)\x20)"
+#: Ids are cut at so many quantiles at most, so one far id moves no other out of its block.
+QUANTILES = 256
 
 
 def spots(text: Column) -> Column:
     """The set of a text's spots as sorted numbers of 32 bits.
 
-    Letters and digits make words, in lower case. A text without spots, as one
+    Letters and digits make words, in lower case. However many common words
+    stand in a row, each has the same chain. A text without spots, as one
     without common words, takes each word as an anchor of the two words after
     it, a shorter one all its words; a text without words has the empty set.
     """
-    clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    clean = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    words = F.filter(F.split(clean, " "), lambda w: w != "")
 
     def marked(words: Column) -> Column:
-        found = F.regexp_extract_all(words, F.lit(_SPOT), F.lit(1))
-        return let(found, lambda f: F.when(F.size(f) > 0, chained(f)).otherwise(let(F.regexp_extract_all(words, F.lit(_ANY), F.lit(1)), lambda g: F.when(F.size(g) > 0, g).otherwise(F.regexp_extract_all(words, F.lit(r"[^\x20]+"), F.lit(0))))))
+        content = F.filter(F.transform(words, lambda w, i: F.when(~w.isin(ANCHORS), i)), lambda i: i.isNotNull())
+        return let(content, lambda at: let(chained(words, at), lambda f: F.when(F.size(f) > 0, f).otherwise(runs(words))))
+
+    def chained(words: Column, at: Column) -> Column:
+        # the anchors between two content words share the chain that begins with the second
+        def before(k: Column) -> Column:
+            start = F.when(k > 0, F.get(at, k - 1) + 1).otherwise(F.lit(0))
+            chain = [F.get(words, F.get(at, k + c)) for c in range(CHAIN)]
+            return F.transform(F.slice(words, start + 1, F.get(at, k) - start), lambda a: F.hash(F.concat_ws(" ", a, *chain)))
 
-    def chained(found: Column) -> Column:
-        # all chains are stripped of what they skip in one go: an anchor stands first in its line and stays
-        return F.split(F.regexp_replace(F.array_join(found, "\n"), _SKIPPED, ""), "\n")
+        return F.when(F.size(at) >= CHAIN, F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - CHAIN), before))).otherwise(F.array().cast("array<int>"))
 
-    return F.sort_array(F.array_distinct(F.transform(let(clean, marked), lambda x: F.hash(x))))
+    def runs(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
+        return F.when(F.size(words) > 0, F.transform(starts, lambda i: F.hash(F.array_join(F.slice(words, i, F.lit(3)), " ")))).otherwise(F.array().cast("array<int>"))
+
+    return F.sort_array(F.array_distinct(let(words, marked)))
 
 
 def partition_of(size: Column) -> Column:
@@ -62,8 +65,8 @@ def partition_of(size: Column) -> Column:
     return F.floor(F.ln(F.greatest(size, F.lit(1)).cast("double")) / F.lit(-math.log(FACTOR))).cast("int")
 
 
-def pruned_jaccard(a: Column, b: Column, floor: float = FLOOR) -> Column:
-    """Jaccard likeness of two sets; 0 where the smaller size over the larger one is below floor. Two empty sets are alike."""
+def pruned_jaccard(a: Column, b: Column, floor: float = 0.0) -> Column:
+    """Jaccard likeness of two sets; 0 where the smaller size over the larger one is below floor, which rules out a likeness of floor. Two empty sets are alike."""
     n, m = F.size(a), F.size(b)
     bound = F.try_divide(F.least(n, m).cast("double"), F.greatest(n, m).cast("double"))
     both = F.size(F.array_intersect(a, b))
@@ -76,30 +79,45 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
 
 
+def _blocks(known: DataFrame, rows_per_block: int) -> DataFrame:
+    """known with part and sub, which order its rows' blocks as ids go down: quantiles of the ids, each cut into equal widths; null ids have a part of their own."""
+    probabilities = [i / QUANTILES for i in range(1, QUANTILES)]
+    stats = known.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.percentile_approx("doc_id", probabilities, 100_000).alias("cuts")).first()
+    cuts = sorted({stats["low"], stats["high"], *(stats["cuts"] or [])} - {None}, reverse=True) or [0]
+    subs = math.ceil(stats["n"] / len(cuts) / rows_per_block)
+    bounds, number = F.array(*[F.lit(c).cast("long") for c in cuts]), F.col("doc_id")
+    # part k holds the ids from cut k down to, without it, cut k + 1
+    part = F.when(number.isNull(), len(cuts)).otherwise(F.size(F.filter(bounds, lambda c: c >= number)) - 1)
+
+    def sub(k: Column) -> Column:
+        top = F.get(bounds, k).cast("double")
+        width = top - F.coalesce(F.get(bounds, k + 1), F.get(bounds, k)).cast("double")
+        return F.when(width > 0, F.least(F.floor((top - number.cast("double")) / width * subs), F.lit(subs - 1))).otherwise(F.lit(0))
+
+    return known.withColumn("part", part.cast("int")).withColumn("sub", F.when(number.isNull(), 0).otherwise(sub(F.col("part"))).cast("int"))
+
+
 def with_next(docs: DataFrame, rows_per_block: int = 2000) -> DataFrame:
-    """doc_id, text, spots of each row with next_text, next_spots of the row after it in descending doc_id; after the last comes the first.
+    """doc_id, text, spots of each row with next_text, next_spots of the row after it in descending doc_id (long); after the last comes the first.
 
-    Null ids come last, rows with the same id in order of their texts. The ids'
-    range is cut into blocks of equal width, about rows_per_block rows each if
-    ids are spread evenly, and each block is one group of a window; the first
-    row of a block is put at the end of the block before it as well, so no
-    order over all rows is needed. One row alone is its own next.
+    Null ids come last, rows with the same id in order of their texts. Ids are
+    cut into blocks of about rows_per_block rows, each one group of a window;
+    the first row of a block is put at the end of the block before it as well,
+    so no order over all rows is needed. Rows of one id share a block. One row
+    alone is its own next.
     """
-    known = docs.select(F.col("doc_id"), text_of().alias("text"))
-    stats = known.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
-    low, high, n = stats["low"] or 0, stats["high"] or 0, stats["n"]
-    width = max(1, math.ceil((high - low + 1) * rows_per_block / max(1, n)))
-    # blocks count up as ids go down; null ids have the last one
-    last = (high - low) // width + 1
-    blocked = known.withColumn("block", F.coalesce(F.floor((F.lit(high) - F.col("doc_id")) / F.lit(width)), F.lit(last)).cast("long")).withColumn("copy", F.lit(False))
-    # head of each block: of that many rows, one each
-    order = F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("down"), F.col("text"))
-    heads = blocked.groupBy("block").agg(F.min(order).alias("h"))
-    before = Window.orderBy("block")
-    moved = materialise(heads.select(F.col("h.down").alias("down"), F.col("h.text").alias("text"), F.lag("block").over(before).alias("block"), F.max("block").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("final")))
-    copies = moved.select((-F.col("down")).alias("doc_id"), "text", F.coalesce("block", "final").cast("long").alias("block"), F.lit(True).alias("copy"))
-    all_rows = blocked.unionByName(copies).withColumn("spots", spots(F.col("text")))
-    within = Window.partitionBy("block").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
+    blocked = _blocks(docs.select(F.col("doc_id"), text_of().alias("text")), rows_per_block)
+    tops = blocked.groupBy("part", "sub").agg(F.max("doc_id").alias("top"))
+    # which block stands before each: within a part by a window over its blocks, between parts by one over the parts, of which there are few
+    tops = materialise(tops.withColumn("before", F.lag(F.struct("part", "sub")).over(Window.partitionBy("part").orderBy("sub"))))
+    by_part = Window.orderBy("part")
+    whole = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = tops.groupBy("part").agg(F.max("sub").alias("last")).select("part", F.coalesce(F.lag(F.struct("part", F.col("last").alias("sub"))).over(by_part), F.last(F.struct("part", F.col("last").alias("sub"))).over(whole)).alias("end"))
+    linked = materialise(tops.join(F.broadcast(ends), "part").select("part", "sub", "top", F.coalesce("before", "end").alias("to")))
+    heads = blocked.join(broadcast_if_small(linked), ["part", "sub"]).where(F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("part", "sub", "doc_id", "to").agg(F.min("text").alias("text"))
+    copies = materialise(heads.select("doc_id", "text", F.col("to.part").alias("part"), F.col("to.sub").alias("sub"), F.lit(True).alias("copy")))
+    all_rows = blocked.withColumn("copy", F.lit(False)).unionByName(copies).withColumn("spots", spots(F.col("text")))
+    within = Window.partitionBy("part", "sub").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
     follows = lambda c: F.lead(c).over(within)
     return all_rows.select("doc_id", "text", "spots", "copy", follows("text").alias("next_text"), follows("spots").alias("next_spots")).where(~F.col("copy")).drop("copy")
 
@@ -133,19 +151,24 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 def near_pairs(docs: DataFrame, threshold: float = FACTOR) -> DataFrame:
     """fingerprint_a, fingerprint_b, likeness of all pairs of different fingerprints (as text) as like as the threshold, at least FACTOR.
 
-    Equal fingerprints are one, so copies make no pairs. Two sets as like as t
-    share one of the first n - ceil(t n) + 1 spots of each in the order of the
-    numbers; only those spots are joined, within a size partition and its
-    neighbour.
+    Equal fingerprints are one, so copies make no pairs. A set's spots stand in
+    the order of how many sets have them, rarest first: two sets as like as t
+    share one of the first n - ceil(t n) + 1 of each. Only those are joined,
+    within a size partition and its neighbour, and only where as much is left in
+    both from the shared spot on as the likeness needs.
     """
     if threshold < FACTOR:
         raise ValueError(f"size partitions serve a likeness of {FACTOR} or more")
     sets = materialise(docs.select(spots(text_of()).alias("spots")).where(F.size("spots") > 0).distinct().withColumn("uid", F.monotonically_increasing_id()))
-    n = F.size("spots")
-    first = sets.select("uid", n.alias("n"), partition_of(n).alias("part"), F.explode(F.slice("spots", F.lit(1), n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)).alias("spot"))
-    a = first.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"), F.col("spot"), F.col("part").alias("own_a"))
-    b = first.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part"), F.col("spot"))
-    fits = (F.col("n_a") >= F.col("n_b") * threshold) & (F.col("n_b") >= F.col("n_a") * threshold) & ((F.col("own_a") != F.col("part")) | (F.col("a") < F.col("b")))
+    all_spots = sets.select("uid", F.size("spots").alias("n"), F.explode("spots").alias("spot"))
+    common = all_spots.groupBy("spot").agg(F.count("*").alias("often")).where("often > 1")
+    order = Window.partitionBy("uid").orderBy(F.coalesce("often", F.lit(1)), "spot")
+    placed = all_spots.join(common, "spot", "left").withColumn("left", F.col("n") - F.row_number().over(order) + 1)
+    first = materialise(placed.where((F.col("left") >= F.col("n") * threshold - 1e-9) & F.col("often").isNotNull()).select("uid", "n", "left", partition_of(F.col("n")).alias("part"), "spot"))
+    a = first.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"), F.col("spot"), F.col("part").alias("own_a"))
+    b = first.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"), F.col("part"), F.col("spot"))
+    enough = F.least("left_a", "left_b") >= (F.col("n_a") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-9
+    fits = enough & ((F.col("own_a") != F.col("part")) | (F.col("a") < F.col("b")))
     pairs = a.join(b, ["part", "spot"]).where(fits).select("a", "b").distinct()
     left = sets.select(F.col("uid").alias("a"), F.col("spots").alias("x"))
     right = sets.select(F.col("uid").alias("b"), F.col("spots").alias("y"))
