@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -29,8 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortica.llm.common import materialise
+from cohortica.llm.common import materialise, slices, texts_of, tidy
 
 #: Bytes of context.
 ORDER = 5
@@ -124,7 +126,7 @@ def count(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[list, list]] = [([], []), ([], [])]
-        rows = ((0, t or "") for b in batches for t in b.column("text").to_pylist())
+        rows = ((0, t) for b in slices(batches, PART_BYTES) for t in texts_of(b))
         for _, coded, _, words in _batches(rows):
             new = [np.unique(grams(coded)[0], return_counts=True), None]
             coded_words = pa.array(words, pa.binary()).dictionary_encode()
@@ -142,7 +144,7 @@ def count(texts: DataFrame) -> DataFrame:
         for kind in (0, 1):
             yield from _rows(kind, *_summed(*held[kind]))
 
-    return texts.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(tidy(run), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, step: int = 1 << 18) -> Iterator[pa.RecordBatch]:
@@ -151,15 +153,68 @@ def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, step: int = 1 << 18)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(counts[i : i + step])], ["kind", "key", "n"])
 
 
+@dataclass
+class Slice:
+    """Contexts by their last two bytes, or, of one pair that is too large, by the byte before them too."""
+
+    pairs: list[int]
+    thirds: list[int] | None = None
+
+    def scores(self, g: np.ndarray) -> np.ndarray:
+        """Which coded positions are this slice's."""
+        mine = np.zeros(1 << 16, bool)
+        mine[self.pairs] = True
+        out = mine[((g >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)]
+        if self.thirds is not None:
+            third = np.zeros(1 << 8, bool)
+            third[self.thirds] = True
+            out &= third[((g >> np.uint64(24)) & np.uint64(0xFF)).astype(np.int64)]
+        return out
+
+    def rows(self, tries: DataFrame) -> DataFrame:
+        """The trie's rows that this slice needs."""
+        if not self.pairs:
+            return tries.where("false")
+        mine = F.shiftright("key", 8).bitwiseAND(0xFFFF).between(self.pairs[0], self.pairs[-1])
+        return tries.where(mine if self.thirds is None else mine & F.shiftright("key", 24).bitwiseAND(0xFF).between(self.thirds[0], self.thirds[-1]))
+
+
+def _filled(sizes: list[tuple[int, int]], room: int) -> list[list[int]]:
+    """Neighbours together as long as their rows fit the room; one that alone doesn't fit stands alone."""
+    out, free = [], 0
+    for key, n in sizes:
+        if n > free or not out:
+            out.append([])
+            free = room
+        out[-1].append(key)
+        free -= n
+    return out
+
+
+def slices_of(tries: DataFrame) -> list[Slice]:
+    """Slices of SLICE_ROWS rows of the trie (kind 0 of count()), but for what ends in the same three bytes, which is 2 ** 24 rows at most."""
+    pair, third = F.shiftright("key", 8).bitwiseAND(0xFFFF), F.shiftright("key", 24).bitwiseAND(0xFF)
+    sizes = [(r["pair"], r["rows"]) for r in tries.groupBy(pair.alias("pair")).agg(F.count("*").alias("rows")).orderBy("pair").collect()]  # 65,536 rows at most
+    large = [p for p, n in sizes if n > SLICE_ROWS]
+    inside: dict[int, list[tuple[int, int]]] = {p: [] for p in large}
+    for i in range(0, len(large), 256):
+        for r in tries.where(pair.isin(large[i : i + 256])).groupBy(pair.alias("pair"), third.alias("third")).agg(F.count("*").alias("rows")).orderBy("pair", "third").collect():
+            inside[r["pair"]].append((r["third"], r["rows"]))
+    out = []
+    for pairs in _filled(sizes, SLICE_ROWS):
+        out += [Slice(pairs, x) for x in _filled(inside[pairs[0]], SLICE_ROWS)] if pairs[0] in inside else [Slice(pairs)]
+    return out
+
+
 class Trie:
-    """The tables of one slice. lowest: counts of all pairs of a byte and its follower, which every slice needs whole."""
+    """The tables of one slice. lowest: counts of all pairs of a byte and its follower, which every slice needs whole; second: of the one pair of bytes that a slice has a part of, and their follower."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, lowest: tuple[np.ndarray, np.ndarray] | None = None):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, lowest: tuple[np.ndarray, np.ndarray] | None = None, second: tuple[np.ndarray, np.ndarray] | None = None):
         self.gram: list[tuple] = [()] * (ORDER + 1)
         self.context: list[tuple] = [()] * (ORDER + 1)
         for j in range(ORDER, -1, -1):
             low = np.uint64((1 << 8 * (j + 1)) - 1)
-            source = lowest if lowest is not None and j <= 1 else (keys, counts)
+            source = lowest if lowest is not None and j <= 1 else second if second is not None and j == 2 else (keys, counts)
             k, c = _summed([source[0] & low], [source[1]])
             contexts = k >> np.uint64(8)
             at = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(k) else np.zeros(0, np.int64)
@@ -213,14 +268,14 @@ class Trie:
         return out
 
 
-def score_texts(rows: list[tuple[int, str]], trie: Trie, pairs: np.ndarray | None, words: tuple[np.ndarray, np.ndarray], first: bool, n_rows: int) -> list[np.ndarray]:
-    """score, n_tokens, n_known, sum of log10(c + 1), of each row; only positions whose context ends in one of pairs (None: all)."""
+def score_texts(rows: list[tuple[int, str]], trie: Trie, part_of: Slice | None, words: tuple[np.ndarray, np.ndarray], first: bool, n_rows: int) -> list[np.ndarray]:
+    """score, n_tokens, n_known, sum of log10(c + 1), of each row; only positions that the slice scores (None: all)."""
     score, tokens, known, logs = np.zeros(n_rows), np.zeros(n_rows, np.int64), np.zeros(n_rows, np.int64), np.zeros(n_rows)
     for owners, coded, counts, toks in _batches(iter(rows)):
         owner = np.array(owners)
         g, part = grams(coded)
-        if pairs is not None:
-            mine = pairs[((g >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)]
+        if part_of is not None:
+            mine = part_of.scores(g)
             g, part = g[mine], part[mine]
         key = np.sort((g << np.uint64(PART_BITS)) | part.astype(np.uint64))
         g, part = key >> np.uint64(PART_BITS), (key & np.uint64((1 << PART_BITS) - 1)).astype(np.int64)
@@ -253,33 +308,17 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     get = lambda kind, what: int(stats[kind][what]) if kind in stats else 0
     train_tokens, vocabulary = get(1, "total"), get(1, "distinct")
     tries, word_slices = counts.where("kind = 0"), max(1, math.ceil(get(1, "distinct") / SLICE_ROWS))
-    # contexts are dealt to slices by their last two bytes: at most 65,536 counts to look at
-    ending = F.shiftright("key", 8).bitwiseAND(0xFFFF)
-    sizes = tries.groupBy(ending.alias("pair")).agg(F.count("*").alias("rows")).orderBy("pair").collect() if get(0, "distinct") > SLICE_ROWS else []
-    bins: list[list[int]] = [[]]
-    room = SLICE_ROWS
-    for r in sizes:
-        if r["rows"] > room and bins[-1]:
-            bins.append([])
-            room = SLICE_ROWS
-        bins[-1].append(r["pair"])
-        room -= r["rows"]
-    lowest = _arrays(tries.groupBy(F.col("key").bitwiseAND(0xFFFF).alias("key")).agg(F.sum("n").alias("n"))) if len(bins) > 1 else None
-    passes = max(len(bins), word_slices)
+    bins = slices_of(tries) if get(0, "distinct") > SLICE_ROWS else []
+    lowest = _arrays(_suffixes(tries, 2)) if bins else None
+    passes = max(len(bins), word_slices, 1)
     made = []
     for p in range(passes):
-        pairs = None
-        gram_rows = tries
-        if len(bins) > 1:
-            pairs = np.zeros(1 << 16, bool)
-            pairs[bins[p] if p < len(bins) else []] = True
-            low, high = (bins[p][0], bins[p][-1]) if p < len(bins) else (1, 0)
-            gram_rows = tries.where(ending.between(low, high))
-        elif p:
-            pairs = np.zeros(1 << 16, bool)
+        part_of = (bins[p] if p < len(bins) else Slice([])) if bins or p else None
+        second = _arrays(_suffixes(Slice(part_of.pairs).rows(tries), 3)) if part_of is not None and part_of.thirds is not None else None
+        gram_rows = tries if part_of is None else part_of.rows(tries)
         # a word is sent in one pass only, as its counts are summed over the passes: none is left for those beyond word_slices
         word_rows = counts.where("kind = 1").where(F.pmod("key", F.lit(word_slices)) == p)
-        sent = spark.sparkContext.broadcast((_arrays(gram_rows.select("key", "n")), lowest, pairs, _arrays(word_rows.select("key", "n"))))
+        sent = spark.sparkContext.broadcast((_arrays(gram_rows.select("key", "n")), lowest, second, part_of, _arrays(word_rows.select("key", "n"))))
         one = _one_pass(docs.select("doc_id", "text"), sent, p == 0, keyed=passes > 1)
         if passes > 1:
             one = materialise(one)
@@ -295,6 +334,11 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * math.log10(train_tokens + vocabulary + 1)).alias("base_score"), "score")
 
 
+def _suffixes(tries: DataFrame, length: int) -> DataFrame:
+    """Counts of the trie's rows by their last bytes."""
+    return tries.groupBy(F.col("key").bitwiseAND((1 << 8 * length) - 1).alias("key")).agg(F.sum("n").alias("n"))
+
+
 def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """key and n of at most a slice's rows, by key."""
     got = rows.toArrow()
@@ -304,22 +348,21 @@ def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return k[order], n.astype(np.uint32) if len(n) and n.max() < 1 << 32 else n
 
 
-
-
 def _one_pass(docs: DataFrame, sent, first: bool, keyed: bool) -> DataFrame:
-    schema = "doc_id long, key string, score double, n_tokens long, n_known long, logs double" if keyed else "doc_id long, score double, n_tokens long, n_known long, logs double"
-    names = [x.split()[0] for x in schema.split(", ")]
+    names = [*(["key"] if keyed else []), "score", "n_tokens", "n_known", "logs"]
+    kinds = {"key": T.StringType(), "score": T.DoubleType(), "n_tokens": T.LongType(), "n_known": T.LongType(), "logs": T.DoubleType()}
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(n, kinds[n]) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (keys, counts), lowest, pairs, words = sent.value
-        trie = Trie(keys, counts, lowest)
-        for b in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
-            texts = b.column("text").to_pylist()
-            cols = score_texts([(i, t or "") for i, t in enumerate(texts)], trie, pairs, words, first, len(texts))
-            shown = [pa.array([xxhash.xxh3_128_hexdigest((t or "").encode()) for t in texts], pa.string())] if keyed else []
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *shown, *map(pa.array, cols)], names)
-
-    return docs.mapInArrow(run, schema)
+        (keys, counts), lowest, second, part_of, words = sent.value
+        trie = Trie(keys, counts, lowest, second)
+        for b in slices(batches, PART_BYTES):
+            texts = texts_of(b)
+            cols = score_texts(list(enumerate(texts)), trie, part_of, words, first, len(texts))
+            shown = [pa.array([xxhash.xxh3_128_hexdigest(t.encode()) for t in texts], pa.string())] if keyed else []
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *shown, *map(pa.array, cols)], ["doc_id", *names])
+
+    return docs.mapInArrow(tidy(run), schema)
 
 
 class Contexts:

@@ -75,3 +75,18 @@ def test_empty_tables_and_adaptive(spark):
     assert ppm.score(one, none).first().score == pytest.approx(-4 * math.log10(256))
     assert ppm.score_adaptive(one).first().score < 0
     assert ppm.adaptive_log10("ab ab ab ab ab ab") > 6 * ppm.adaptive_log10("ab")
+
+
+def test_a_pair_of_bytes_larger_than_a_slice(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abc") for _ in range(400)) for _ in range(3)] + ["ab", None]
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    monkeypatch.setattr(ppm, "SLICE_ROWS", 60)
+    tries = ppm.count(docs).where("kind = 0")
+    made = ppm.slices_of(tries)
+    assert any(x.thirds for x in made) and all(x.rows(tries).count() <= 60 for x in made)
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in ppm.score(docs, docs).collect()}
+    for i, (n, k, _, b, s) in enumerate(brute(texts, texts)):
+        assert got[f"d{i}"][:2] == (n, k) and got[f"d{i}"][2:] == pytest.approx((b, s))
