@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica import config
-from cohortica.functions import stats
 
 METHODS = ("euclidean", "manhattan", "gower")
 
@@ -16,46 +18,66 @@ def sample_rows(df: DataFrame, key: str, rows: int = config.SETTINGS.sample_rows
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(rows)
 
 
-def _term(method: str, a: Column, b: Column) -> Column:
-    d = a - b
-    return d * d if method == "euclidean" else F.abs(d)
+#: So many terms of a sum are written out, which compiles to one loop-free expression; more would make a method too long to be compiled.
+WRITTEN_OUT = 16
 
 
-def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclidean", block: int = 256) -> DataFrame:
-    """id_a < id_b, d. Numeric columns without nulls, scaled by the caller but for gower, which divides by each column's range.
+def _distance(method: str, n: int, a: Column, b: Column) -> Column:
+    """Of two arrays of n numbers each."""
+    term = lambda x, y: (x - y) * (x - y) if method == "euclidean" else F.abs(x - y)
+    if n <= WRITTEN_OUT:
+        total = reduce(lambda s, i: s + term(a[i], b[i]), range(n), F.lit(0.0))
+    else:
+        total = F.aggregate(F.zip_with(a, b, term), F.lit(0.0), lambda s, t: s + t)
+    return F.sqrt(total) if method == "euclidean" else total / n if method == "gower" else total
+
+
+def pairwise_many(df: DataFrame, key: str, columns: list[str], methods: tuple[str, ...] = METHODS, block: int = 256) -> DataFrame:
+    """id_a < id_b and a column for each method. Numeric columns without nulls, scaled by the caller but for gower, which divides by each column's range.
 
     Every pair is the answer here, so the work is quadratic; rows are dealt to blocks
     and blocks meet by an equality join, so that a task holds two blocks of rows
     rather than the whole of one side.
     """
-    if method not in METHODS:
-        raise ValueError(f"unknown distance: {method}")
-    x = F.array(*[F.col(c).cast("double") for c in columns])
-    if method == "gower":
+    if unknown := set(methods) - set(METHODS):
+        raise ValueError(f"unknown distance: {', '.join(sorted(unknown))}")
+    x, n = F.array(*[F.col(c).cast("double") for c in columns]), len(columns)
+    by_range = F.lit(None).cast("array<double>")
+    if "gower" in methods:
         r = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(f"__r_{c}") for c in columns])
         df = df.join(F.broadcast(r))
-        x = F.array(*[F.coalesce(F.try_divide(F.col(c).cast("double"), F.nullif(F.col(f"__r_{c}"), F.lit(0.0))), F.lit(0.0)) for c in columns])
-    points = df.select(F.col(key).alias("id"), x.alias("x"), F.pmod(F.xxhash64(key), F.lit(max(1, block // 32))).alias("g"))
-    groups = F.sequence(F.lit(0), F.lit(max(1, block // 32) - 1))
+        by_range = F.array(*[F.coalesce(F.try_divide(F.col(c).cast("double"), F.nullif(F.col(f"__r_{c}"), F.lit(0.0))), F.lit(0.0)) for c in columns])
+    points = df.select(F.col(key).alias("id"), x.alias("x"), by_range.alias("g"), F.pmod(F.xxhash64(key), F.lit(max(1, block // 32))).alias("block"))
+    blocks = F.sequence(F.lit(0), F.lit(max(1, block // 32) - 1))
     # each row goes once to each block it has to meet, under the pair of blocks as key
-    left = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"), F.col("g").alias("ga"), F.explode(groups).alias("gb"))
-    right = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"), F.explode(groups).alias("ga"), F.col("g").alias("gb"))
-    total = F.aggregate(F.zip_with("xa", "xb", lambda a, b: _term(method, a, b)), F.lit(0.0), lambda s, t: s + t)
-    d = F.sqrt(total) if method == "euclidean" else total / len(columns) if method == "gower" else total
-    return left.join(right, ["ga", "gb"]).where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", d.alias("d"))
+    left = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"), F.col("g").alias("ga"), F.col("block").alias("i"), F.explode(blocks).alias("j"))
+    right = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"), F.col("g").alias("gb"), F.explode(blocks).alias("i"), F.col("block").alias("j"))
+    made = [_distance(m, n, *((F.col("ga"), F.col("gb")) if m == "gower" else (F.col("xa"), F.col("xb")))).alias(m) for m in methods]
+    return left.join(right, ["i", "j"]).where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", *made)
+
+
+def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclidean", block: int = 256) -> DataFrame:
+    """id_a < id_b, d: one method of pairwise_many."""
+    return pairwise_many(df, key, columns, (method,), block).withColumnRenamed(method, "d")
 
 
 def distance_distribution(pairs: DataFrame, *keys: str) -> DataFrame:
     """Number, seven-number summary, coefficient of variation and relative contrast, for each of keys or over all."""
     named = lambda c: F.nullif(c, F.lit(0.0))
-    out = pairs.groupBy(*keys).agg(
-        F.count("*").alias("n_pairs"), F.min("d").alias("minimum"), stats.quantile("d", 0.25).alias("first_quartile"), F.median("d").alias("median"), F.avg("d").alias("mean"), stats.quantile("d", 0.75).alias("third_quartile"), F.max("d").alias("maximum"), F.stddev_samp("d").alias("standard_deviation")
-    )
+    out = pairs.groupBy(*keys).agg(F.count("*").alias("n_pairs"), F.min("d").alias("minimum"), F.percentile("d", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg("d").alias("mean"), F.max("d").alias("maximum"), F.stddev_samp("d").alias("standard_deviation"))
+    out = out.select(*keys, "n_pairs", "minimum", F.col("q")[0].alias("first_quartile"), F.col("q")[1].alias("median"), "mean", F.col("q")[2].alias("third_quartile"), "maximum", "standard_deviation")
     return out.withColumn("coefficient_of_variation", F.col("standard_deviation") / named(F.col("mean"))).withColumn("relative_contrast", (F.col("maximum") - F.col("minimum")) / named(F.col("maximum")))
 
 
-def distance_correlation(a: DataFrame, b: DataFrame) -> DataFrame:
-    """pearson, spearman of two distances over the same pairs; ranks average ties."""
-    both = a.select("id_a", "id_b", F.col("d").alias("x")).join(b.select("id_a", "id_b", F.col("d").alias("y")), ["id_a", "id_b"])
+def distance_correlation(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """pearson, spearman of two columns of the same pairs (pairwise_many); ranks average ties."""
+    both = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))
     ranks = lambda c: both.groupBy(c).agg(F.count("*").alias("__n")).select(F.col(c), (F.coalesce(F.sum("__n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + (F.col("__n") + 1) / 2).alias(f"r{c}"))
     return both.join(ranks("x"), "x").join(ranks("y"), "y").agg(F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.count("*").alias("n_pairs"))
+
+
+def all_correlations(pairs: DataFrame, methods: tuple[str, ...]) -> DataFrame:
+    """method_1, method_2, pearson, n_pairs of every two methods, in one pass."""
+    two = list(combinations(sorted(methods), 2))
+    wide = pairs.agg(F.count("*").alias("n"), *[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(two)])
+    return wide.select("n", F.explode(F.array(*[F.struct(F.lit(a).alias("method_1"), F.lit(b).alias("method_2"), F.col(f"c{i}").alias("pearson")) for i, (a, b) in enumerate(two)])).alias("v")).select("v.*", F.col("n").alias("n_pairs"))

@@ -108,3 +108,69 @@ def persona(sizes: DataFrame, numeric: DataFrame, categorical: DataFrame, most:
     signals = first.withColumn("k", F.row_number().over(Window.partitionBy("segment").orderBy(F.col("within_segment_share").desc(), "variable"))).where(F.col("k") <= most).withColumn("text", F.concat("variable", F.lit(": "), "level"))
     joined = lambda d, name: d.groupBy("segment").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "; ").alias(name))
     return sizes.join(joined(traits, "key_characteristics"), "segment", "left").join(joined(signals, "profiling_signals"), "segment", "left")
+
+
+def _first(*cases: tuple[Column, str], other: str) -> Column:
+    out = F.when(cases[0][0], cases[0][1])
+    for test, text in cases[1:]:
+        out = out.when(test, text)
+    return out.otherwise(other)
+
+
+def implications(positions: DataFrame) -> DataFrame:
+    """positions: segment, working_name, readiness, confidence, barriers (High, Moderate or Low) -> delivery_style, support_intensity, call_to_action."""
+    ready, unsure, blocked = F.col("readiness") == "High", F.col("confidence") == "Low", F.col("barriers") == "High"
+    return positions.select(
+        "segment", "working_name",
+        _first((ready, "Short and direct, with the least effort asked"), (unsure, "Guided, with support at each step"), (blocked, "Practical, with the obstacles taken first"), other="Flexible, fitted to the person").alias("delivery_style"),
+        _first((unsure & blocked, "High"), (ready, "Low to moderate"), other="Moderate").alias("support_intensity"),
+        _first((ready, "Begin today"), (unsure, "Try one step with help"), (blocked, "See an easier way"), other="Find out more").alias("call_to_action"),
+    )
+
+
+def message_advice(positions: DataFrame) -> DataFrame:
+    """positions: also trust -> tone, avoid."""
+    ready, unready, unsure, blocked, wary = F.col("readiness") == "High", F.col("readiness") == "Low", F.col("confidence") == "Low", F.col("barriers") == "High", F.col("trust") == "Low"
+    return positions.select(
+        "segment",
+        _first((wary, "Open, with evidence"), (unsure, "Encouraging, without blame"), (ready, "Decisive"), other="Even and informative").alias("tone"),
+        _first((unready, "Pressing for action"), (unsure, "Hints at failing"), (blocked, "Passing over cost, time or effort"), (wary, "Claims without proof"), other="The same words for everyone").alias("avoid"),
+    )
+
+
+def interventions(positions: DataFrame) -> DataFrame:
+    """implications and advice side by side, whichever of the two a segment has."""
+    return implications(positions).join(message_advice(positions), "segment", "full")
+
+
+def quote(readiness: Column, confidence: Column, barriers: Column) -> Column:
+    """What a segment's persona might say."""
+    said = _first(((readiness == "High") & (confidence == "High"), "Tell me the next step and I will take it."), (confidence == "Low", "I would like to, if someone shows me that I can."), (barriers == "High", "It costs me too much time and money as things are."), other="I may change if it suits my life.")
+    return F.concat(F.lit("\u201c"), said, F.lit("\u201d"))
+
+
+def message_hierarchy(positions: DataFrame) -> DataFrame:
+    """segment, working_name, message_rank, message_type, message: the main message, what supports it, and what to say to doubts."""
+    main = _first((F.col("readiness") == "High", "You are set to begin"), (F.col("readiness") == "Low", "There is no hurry"), other="A small start is enough")
+    support = _first((F.col("confidence") == "Low", "We go with you at each step"), (F.col("confidence") == "High", "You know how to do this"), other="You can learn as you go")
+    doubts = _first((F.col("barriers") == "High", "We take care of cost and effort"), other="It fits in with what you do already")
+    rows = F.array(*[F.struct(F.lit(i).alias("message_rank"), F.lit(kind).alias("message_type"), text.alias("message")) for i, (kind, text) in enumerate((("Main", main), ("Support", support), ("Doubts", doubts)), 1)])
+    return positions.select("segment", "working_name", F.explode(rows).alias("m")).select("segment", "working_name", "m.*")
+
+
+def message_framework(positions: DataFrame) -> DataFrame:
+    """The hierarchy with each segment's tone and what to avoid."""
+    return message_hierarchy(positions).join(message_advice(positions), "segment", "left")
+
+
+def segment_actions(strategies: DataFrame, priorities: DataFrame) -> DataFrame:
+    """segment, action_rank, action: what each step is about comes from the segment's strategy (strategy()) and priority."""
+    s = strategies.join(priorities.select("segment", "priority"), "segment", "left")
+    steps = (F.concat(F.lit("Brief the team: "), "core_problem"), F.concat(F.lit("Prepare the offer: "), "service"), F.concat(F.lit("Prepare the message: "), "message"), F.concat(F.lit("Open the channel: "), "channel"), F.concat(F.lit("Support the first step: "), "call_to_action"), F.concat(F.lit("Review at priority "), F.lower("priority")))
+    return s.select("segment", F.explode(F.array(*[F.struct(F.lit(i).alias("action_rank"), x.alias("action")) for i, x in enumerate(steps, 1)])).alias("a")).select("segment", "a.*")
+
+
+def segment_kpis(strategies: DataFrame) -> DataFrame:
+    """segment, kpi_rank, kpi: measures of the segment's own objective, service and channel."""
+    named = (F.concat(F.lit("Reach by "), F.lower("channel")), F.concat(F.lit("Response to: "), "message"), F.concat(F.lit("Starts of "), F.lower("service")), F.concat(F.lit("Objective met: "), "objective"))
+    return strategies.select("segment", F.explode(F.array(*[F.struct(F.lit(i).alias("kpi_rank"), x.alias("kpi")) for i, x in enumerate(named, 1)])).alias("a")).select("segment", "a.*")

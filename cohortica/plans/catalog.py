@@ -64,10 +64,14 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 def queries() -> dict[str, Query]:
+    from cohortica.plans import reports  # noqa: F401  it registers its queries here
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from cohortica.plans import reports  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -584,7 +588,8 @@ _register_distances()
 @query(f"""WITH {_V}, p AS (SELECT {_D['manhattan']} AS x, {_D['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
 k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k""")
 def distance_correlation(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
-    return rounded(distance.distance_correlation(_pairs(spark, sf, "manhattan", dims), _pairs(spark, sf, "gower", dims)))
+    both = distance.pairwise_many(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], ("manhattan", "gower"))
+    return rounded(distance.distance_correlation(both, "manhattan", "gower"))
 
 
 @query()
