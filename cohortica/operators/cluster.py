@@ -6,10 +6,10 @@ ids), on a sample of bounded size that is part of the task table's closure.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortica import config
@@ -18,20 +18,37 @@ from cohortica.operators import validity
 S = config.SETTINGS
 
 
-def kmeans(df: DataFrame, key: str, columns: list[str], k: int, starts: int = 5, steps: int = S.kmeans_steps, seed: int = S.seed) -> DataFrame:
-    """key, cluster (1..k in order of the first centre coordinate): the best of several starts by within-cluster cost."""
-    x = VectorAssembler(inputCols=columns, outputCol="features").transform(df.select(key, *columns)).select(key, "features").persist()
+def _nearest(columns: list[str], centres: np.ndarray) -> Column:
+    """The number of the nearest centre, from 1; the lower one on ties."""
+    square = lambda c: reduce(lambda s, i: s + (F.col(columns[i]) - float(c[i])) * (F.col(columns[i]) - float(c[i])), range(len(columns)), F.lit(0.0))
+    return F.array_min(F.array(*[F.struct(square(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres, 1)]))["i"]
+
+
+def kmeans(df: DataFrame, key: str, columns: list[str], k: int, starts: int = S.kmeans_starts, steps: int = S.kmeans_steps, seed: int = S.seed, sample: int = S.sample_rows, tolerance: float = 1e-3) -> DataFrame:
+    """key, cluster (1..k in order of the first centre coordinate) of all rows; columns without nulls.
+
+    The starts run on a bounded sample, where they are cheap; the best of them
+    then moves over all rows, one aggregate of k rows a step, until no centre moves further than the tolerance.
+    """
+    from cohortica.operators.distance import sample_rows
+
+    x = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).persist()
     try:
-        fits = [KMeans(k=k, maxIter=steps, seed=seed + k + 1000 * i).fit(x) for i in range(starts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
+        rows = sample_rows(x, key, sample, seed).toPandas().sort_values(key)[columns].to_numpy(float)
+        labels, _ = kmeans_rows(rows, k, starts, np.random.default_rng(seed + k))
+        centres = np.array([rows[labels == i].mean(axis=0) if (labels == i).any() else rows[i % len(rows)] for i in range(1, k + 1)])
+        for _ in range(steps):
+            moved = centres.copy()
+            for r in x.groupBy(_nearest(columns, centres).alias("cluster")).agg(*[F.avg(c).alias(c) for c in columns]).collect():
+                moved[r["cluster"] - 1] = [r[c] for c in columns]
+            still = np.abs(moved - centres).max() <= tolerance
+            centres = moved
+            if still:
+                break
     finally:
         x.unpersist()
-    order = np.argsort([tuple(c)[0] for c in best.clusterCenters()], kind="stable")
-    names = np.empty(len(order), int)
-    names[order] = np.arange(1, len(order) + 1)
-    renamed = F.create_map(*[F.lit(int(v)) for pair in enumerate(names) for v in pair])
-    whole = VectorAssembler(inputCols=columns, outputCol="features").transform(df)
-    return best.transform(whole).select(key, renamed[F.col("prediction")].alias("cluster"))
+    centres = centres[np.lexsort(centres.T[::-1])]
+    return df.select(key, _nearest(columns, centres).alias("cluster"))
 
 
 def distance_matrix(x: np.ndarray, method: str) -> np.ndarray:
@@ -137,21 +154,39 @@ def mean_silhouette(d: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return np.where(size[own] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
 
 
-def model_grid(df: DataFrame, key: str, sets: dict[str, list[str]], methods: tuple[str, ...] = ("manhattan", "gower"), ks: tuple[int, ...] = S.k_values, sample: int = S.sample_rows, seed: int = S.seed) -> DataFrame:
-    """model_id, feature_set, method, distance, k, average_silhouette, minimum_silhouette, negative_share, elapsed_seconds, assignment (array of id, cluster).
+def scaled_columns(x: np.ndarray) -> np.ndarray:
+    """Mean 0 and sample deviation 1; columns without spread are 0."""
+    sd = x.std(axis=0, ddof=1)
+    return (x - x.mean(axis=0)) / np.where(sd > 0, sd, 1)
 
-    k-medoids and average linkage for each set, distance and k, over a sample of
-    at most `sample` rows. A task makes one distance matrix and one tree, and
-    cuts it for every k.
-    """
+
+def fit_labels(x: np.ndarray, method: str, distance: str, k: int, starts: int = S.kmeans_starts, seed: int = S.seed) -> np.ndarray:
+    """Labels 1..k of raw rows by one model of the grid: scaled first, but for gower."""
+    x = x if distance == "gower" else scaled_columns(x)
+    if method == "kmeans":
+        return kmeans_rows(x, k, starts, np.random.default_rng(seed + k))[0]
+    d = distance_matrix(x, distance)
+    return pam(d, k)[1] if method == "pam" else cut(average_linkage(d), len(x), k)
+
+
+def _sampled(df: DataFrame, key: str, sets: dict[str, list[str]], sample: int, seed: int) -> tuple[list, dict[str, np.ndarray]]:
+    """Keys and columns of at most `sample` rows."""
     from cohortica.operators.distance import sample_rows
 
     every = sorted({c for cols in sets.values() for c in cols})
     frame = sample_rows(df.select(key, *every), key, sample, seed).toPandas().sort_values(key)
-    ids = frame[key].tolist()
-    held = {c: frame[c].to_numpy(float) for c in every}
+    return frame[key].tolist(), {c: frame[c].to_numpy(float) for c in every}
+
+
+def model_grid(df: DataFrame, key: str, sets: dict[str, list[str]], methods: tuple[str, ...] = ("manhattan", "gower", "euclidean"), ks: tuple[int, ...] = S.k_values, sample: int = S.sample_rows, seed: int = S.seed, starts: int = S.kmeans_starts) -> DataFrame:
+    """model_id, feature_set, method, distance, k, average_silhouette, minimum_silhouette, negative_share, elapsed_seconds, assignment (array of id, cluster).
+
+    k-medoids and average linkage for each set, k and distance other than
+    euclidean, k-means for euclidean, over a sample of at most `sample` rows. A
+    task makes one distance matrix and one tree, and cuts it for every k.
+    """
     spark = df.sparkSession
-    sent = spark.sparkContext.broadcast((ids, held))  # at most `sample` rows
+    sent = spark.sparkContext.broadcast(_sampled(df, key, sets, sample, seed))  # at most `sample` rows
     tasks = spark.createDataFrame([(f"{s}|{m}", s, m) for s in sets for m in methods], "task string, feature_set string, distance string")
     schema = "model_id string, feature_set string, method string, distance string, k int, average_silhouette double, minimum_silhouette double, negative_share double, elapsed_seconds double, assignment array<struct<id:string,cluster:int>>"
 
@@ -163,14 +198,12 @@ def model_grid(df: DataFrame, key: str, sets: dict[str, list[str]], methods: tup
         ids, held = sent.value
         rows = []
         for s, m in zip(pdf["feature_set"], pdf["distance"], strict=True):
-            x = np.column_stack([held[c] for c in sets[s]])
-            if m != "gower":
-                sd = x.std(axis=0, ddof=1)
-                x = (x - x.mean(axis=0)) / np.where(sd > 0, sd, 1)
-            d = distance_matrix(x, m)
-            tree = average_linkage(d)
-            for k in (k for k in ks if k < len(x)):
-                for name, fit in (("pam", lambda k=k, d=d: pam(d, k)[1]), ("hierarchical", lambda k=k, t=tree: cut(t, len(ids), k))):
+            raw = np.column_stack([held[c] for c in sets[s]])
+            d = distance_matrix(raw if m == "gower" else scaled_columns(raw), m)
+            tree = None if m == "euclidean" else average_linkage(d)
+            for k in (k for k in ks if k < len(raw)):
+                fits = {"kmeans": lambda k=k, x=raw: fit_labels(x, "kmeans", "euclidean", k, starts, seed)} if m == "euclidean" else {"pam": lambda k=k, d=d: pam(d, k)[1], "hierarchical": lambda k=k, t=tree: cut(t, len(ids), k)}
+                for name, fit in fits.items():
                     began = time.perf_counter()
                     labels = fit()
                     w = mean_silhouette(d, labels)
@@ -180,6 +213,46 @@ def model_grid(df: DataFrame, key: str, sets: dict[str, list[str]], methods: tup
     return tasks.groupBy("task").applyInPandas(run, schema)
 
 
+def validate_models(df: DataFrame, key: str, sets: dict[str, list[str]], models: DataFrame, s: config.Settings = S, sample: int = S.sample_rows) -> DataFrame:
+    """model_id, cluster, mean_jaccard, minimum_jaccard, calinski_harabasz, davies_bouldin, gap, gap_standard_error: a row per cluster of each of models (model_id, feature_set, method, distance, k).
+
+    Each model is a task: it is fitted again to resamples, each scaled anew, of
+    the grid's sample.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(_sampled(df, key, sets, sample, s.seed))
+    schema = "model_id string, cluster int, mean_jaccard double, minimum_jaccard double, calinski_harabasz double, davies_bouldin double, gap double, gap_standard_error double"
+
+    def run(pdf):
+        import pandas as pd
+
+        _, held = sent.value
+        rows = []
+        for m in pdf.itertuples():
+            raw = np.column_stack([held[c] for c in sets[m.feature_set]])
+            # resamples start k-means fewer times: hundreds of fits replace the best of many
+            labels = fit_labels(raw, m.method, m.distance, m.k, s.kmeans_starts, s.seed)
+            found = bootstrap_stability(raw, labels, lambda a, m=m: fit_labels(a, m.method, m.distance, m.k, 5, s.seed), s.bootstrap_rounds, s.resample_share, s.seed)
+            x = scaled_columns(raw)
+            shared = (*separation(x, labels), *gap_statistic(x, m.k, s.gap_rounds, seed=s.seed))
+            rows += [(m.model_id, r["cluster"], r["mean_jaccard"], r["minimum_jaccard"], *shared) for r in found]
+        return pd.DataFrame(rows, columns=[f.split(" ")[0] for f in schema.split(", ")])
+
+    return models.select("model_id", "feature_set", "method", "distance", "k").groupBy("model_id").applyInPandas(run, schema)
+
+
+def separation(x: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Calinski-Harabasz and Davies-Bouldin of a bounded sample."""
+    names, n = np.unique(labels), len(x)
+    centres = np.array([x[labels == c].mean(axis=0) for c in names])
+    within = sum(((x[labels == c] - m) ** 2).sum() for c, m in zip(names, centres, strict=True))
+    between = ((x - x.mean(axis=0)) ** 2).sum() - within
+    spread = np.array([np.sqrt(((x[labels == c] - m) ** 2).sum(axis=1)).mean() for c, m in zip(names, centres, strict=True)])
+    apart = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(apart, np.inf)
+    worst = ((spread[:, None] + spread[None]) / np.maximum(apart, 1e-300)).max(axis=1)
+    return float(between / max(len(names) - 1, 1) / max(within / max(n - len(names), 1), 1e-300)), float(worst.mean())
+
+
 def carry_over(df: DataFrame, sample: DataFrame, key: str, columns: list[str], cluster: str = "cluster") -> DataFrame:
     """A clustering of a sample (key, cluster) on all rows: each goes to the nearest centroid."""
     centres = validity.centroids(df.join(F.broadcast(sample), key), columns, cluster)
@@ -208,15 +281,25 @@ def gap_statistic(x: np.ndarray, k: int, rounds: int = S.gap_rounds, starts: int
 
 
 def _kmeans_cost(x: np.ndarray, k: int, starts: int, rng: np.random.Generator, steps: int = 50) -> float:
-    best = np.inf
+    return kmeans_rows(x, k, starts, rng, steps)[1]
+
+
+def kmeans_rows(x: np.ndarray, k: int, starts: int, rng: np.random.Generator, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Labels 1..k and cost of the best of several starts on a bounded sample; an empty cluster keeps its centre."""
+    best, labels = np.inf, np.ones(len(x), int)
+    square = (x**2).sum(axis=1)
     for _ in range(starts):
         c = x[rng.choice(len(x), k, replace=False)]
         for _ in range(steps):
-            d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+            d = np.maximum(square[:, None] - 2 * x @ c.T + (c**2).sum(axis=1)[None, :], 0)
             label = d.argmin(axis=1)
-            new = np.array([x[label == i].mean(axis=0) if (label == i).any() else c[i] for i in range(k)])
+            member = (label[:, None] == np.arange(k)).astype(float)
+            size = member.sum(axis=0)
+            new = np.where(size[:, None] > 0, member.T @ x / np.maximum(size, 1)[:, None], c)
             if np.allclose(new, c):
                 break
             c = new
-        best = min(best, float(d.min(axis=1).sum()))
-    return best
+        cost = float(d.min(axis=1).sum())
+        if cost < best:
+            best, labels = cost, label + 1
+    return labels, best

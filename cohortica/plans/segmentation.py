@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortica import config
-from cohortica.operators import audit, clean, cluster, features, profile, rules, selection, validity
+from cohortica.operators import audit, clean, cluster, features, profile, rules, selection, summaries, validity
 from cohortica.plans.runner import Stage
 
 S = config.SETTINGS
 
 
 def stages(key: str, columns: list[str], categorical: list[str], groups: dict[str, str], s: config.Settings = S, sample: int = S.sample_rows) -> list[Stage]:
-    """Audit, quality, scores, models, validation, final model, profiles, strategy. Needs a table `respondents` with key, columns and categorical."""
+    """Audit, quality, scores, models, ranks, validation, candidates, comparison, final model, profiles, personas. Needs a table `respondents` with key, columns and categorical."""
 
     def audited(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         df = clean.clean_strings(t["respondents"])
@@ -45,7 +45,7 @@ def stages(key: str, columns: list[str], categorical: list[str], groups: dict[st
         sets: dict[str, list[str]] = {}
         for r in t["feature_sets"].collect():
             sets.setdefault(r["feature_set"], []).append(r["variable"])
-        grid = cluster.model_grid(t["selected"], key, sets, ks=s.k_values, sample=sample, seed=s.seed)
+        grid = cluster.model_grid(t["selected"], key, sets, ks=s.k_values, sample=sample, seed=s.seed, starts=s.kmeans_starts)
         return {"models": grid}
 
     def ranked(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -58,16 +58,38 @@ def stages(key: str, columns: list[str], categorical: list[str], groups: dict[st
         total = sum((F.sum(f"q_{c}") - F.sum(f"s_{c}") * F.sum(f"s_{c}") / F.sum("n") for c in cols), F.lit(0.0))
         ratio = by.groupBy("model_id").agg((1 - within / total).alias("between_ratio"))
         q = t["models"].drop("assignment").join(sizes, "model_id").join(ratio, "model_id")
-        return {"model_ranks": selection.model_rank(q, s), "assignments": long}
+        ranks = selection.model_rank(q, s)
+        return {"model_ranks": ranks, "model_comparison": summaries.model_comparison_summary(ranks, "method", "distance"), "assignments": long}
 
-    def final(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def validation(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         chosen = selection.to_validate(t["model_ranks"], s)
-        best = chosen.orderBy("overall_rank").limit(1)
+        sets: dict[str, list[str]] = {}
+        for r in t["feature_sets"].collect():
+            sets.setdefault(r["feature_set"], []).append(r["variable"])
+        return {"cluster_stability": cluster.validate_models(t["selected"], key, sets, chosen, s, sample)}
+
+    def validated(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        internal = t["cluster_stability"].groupBy("model_id").agg(*[F.first(c).alias(c) for c in ("calinski_harabasz", "davies_bouldin", "gap", "gap_standard_error")])
+        scored = selection.validation_rank(t["model_ranks"].join(selection.stability_summary(t["cluster_stability"], s).drop("n_clusters"), "model_id").join(internal, "model_id"), s)
+        return {"validation": scored, "validation_summary": summaries.validation_summary(scored, "method", "distance"), "candidates": selection.candidates(scored, s)}
+
+    def compared(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        cols = [c for c in t["scaled"].columns if c != key]
+        mine = t["assignments"].join(F.broadcast(t["candidates"].select("model_id")), "model_id")
+        named = lambda d: d.withColumn("id", F.col(key).cast("string")).drop(key)
+        agreement = validity.pairwise_adjusted_rand(mine)
+        shown = summaries.model_distinctness(summaries.model_profiles(mine, named(t["scaled"]), cols, "id"))
+        related = summaries.model_association_summary(summaries.model_associations(mine, named(t["survey"].select(key, *categorical)), categorical, "id"))
+        made = summaries.candidate_summary(t["candidates"], shown, related, summaries.mean_ari(agreement))
+        return {"agreement": agreement, "final_models": selection.final_model(made, s)}
+
+    def final(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        best = t["final_models"].where("selected").select("model_id")
         cols = [c for c in t["scaled"].columns if c != key]
-        labels = t["assignments"].join(F.broadcast(best.select("model_id")), "model_id").select(F.col("id").alias("__id"), "cluster")
+        labels = t["assignments"].join(F.broadcast(best), "model_id").select(F.col("id").alias("__id"), "cluster")
         sampled = t["scaled"].withColumn("__id", F.col(key).cast("string")).join(labels, "__id").select(key, "cluster")
         every = cluster.carry_over(t["scaled"], sampled, key, cols)
-        return {"validated": chosen, "agreement": validity.pairwise_adjusted_rand(t["assignments"].join(chosen.select("model_id"), "model_id")), "segments": every.select(key, F.col("cluster").alias("segment"))}
+        return {"segments": every.select(key, F.col("cluster").alias("segment"))}
 
     def profiles(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         cols = [c for c in t["selected"].columns if c != key]
@@ -82,8 +104,11 @@ def stages(key: str, columns: list[str], categorical: list[str], groups: dict[st
         Stage(2, "quality", quality, ("quality_metrics", "high_correlations", "selected")),
         Stage(3, "scores", scores, ("feature_scores", "feature_sets", "scaled")),
         Stage(4, "models", models, ("models",)),
-        Stage(5, "ranks", ranked, ("model_ranks", "assignments")),
-        Stage(6, "final", final, ("validated", "agreement", "segments")),
-        Stage(7, "profiles", profiles, ("segment_sizes", "segment_profile", "categorical_profile", "difference_tests")),
-        Stage(8, "personas", personas, ("personas",)),
+        Stage(5, "ranks", ranked, ("model_ranks", "model_comparison", "assignments")),
+        Stage(6, "validation", validation, ("cluster_stability",)),
+        Stage(7, "candidates", validated, ("validation", "validation_summary", "candidates")),
+        Stage(8, "comparison", compared, ("agreement", "final_models")),
+        Stage(9, "final", final, ("segments",)),
+        Stage(10, "profiles", profiles, ("segment_sizes", "segment_profile", "categorical_profile", "difference_tests")),
+        Stage(11, "personas", personas, ("personas",)),
     ]

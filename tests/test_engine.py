@@ -83,10 +83,19 @@ def test_runner(spark, tmp_path):
 def test_workflow(spark, tmp_path):
     from cohortica.config import Settings
 
-    s = Settings(bootstrap_rounds=5, k_values=(3, 4), feature_counts=(3, 4))
+    s = Settings(bootstrap_rounds=5, gap_rounds=4, kmeans_starts=5, k_values=(3, 4), feature_counts=(3, 4))
     stages = segmentation.stages("respondent_id", catalog.NUMERIC, catalog.CATEGORICAL, catalog.GROUPS, s, sample=150)
     status = run_stages(spark, stages, str(tmp_path), Options(tables={"respondents": catalog.respondents(spark, SF)})).collect()
-    assert [r.status for r in status] == ["SUCCESS"] * 8, [r.error for r in status]
+    assert [r.status for r in status] == ["SUCCESS"] * 11, [r.error for r in status]
     segments = spark.read.parquet(str(tmp_path / "segments.parquet"))
     assert segments.count() == 150 and 3 <= segments.select("segment").distinct().count() <= 4
     assert spark.read.parquet(str(tmp_path / "personas.parquet")).count() == segments.select("segment").distinct().count()
+    table = lambda n: spark.read.parquet(str(tmp_path / f"{n}.parquet"))
+    ranked, scored, final = table("model_ranks").collect(), table("validation").collect(), table("final_models").collect()
+    assert {r.method for r in ranked} == {"pam", "hierarchical", "kmeans"}
+    assert {r.model_id for r in scored} == {r.model_id for r in ranked if r.acceptable_size} and all(0 <= r.average_jaccard <= 1 for r in scored)
+    chosen = [r for r in final if r.selected]
+    best = max(r.validation_score for r in scored if r.shortlist_status == "Shortlist" or not any(x.shortlist_status == "Shortlist" for x in scored))
+    assert len(chosen) == 1 and chosen[0].final_score == max(r.final_score for r in final) and all(r.validation_score >= best - s.candidate_tolerance for r in final)
+    assert segments.select("segment").distinct().count() == chosen[0].k
+    assert sum(r.models_validated for r in table("validation_summary").collect()) == len(scored)
