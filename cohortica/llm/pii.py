@@ -1,8 +1,8 @@
 r"""Personal data by weak supervision.
 
 Labelers of three kinds vote on candidate spans: regular expressions (does the
-span have a strict form), gazetteers (is it made of known placeholder values, is
-a word near it a name for the kind) and context (what stands next to it). A
+span have a strict form), gazetteers (does it bear a known provider, domain, issuer or
+area, or is it a known placeholder) and context (what stands next to it). A
 label model estimates by expectation-maximisation how reliable each labeler is,
 without any labelled row; its posteriors then train a logistic span classifier
 on the spans' own shape, which decides on the spans that the base rules leave
@@ -39,9 +39,12 @@ BASE = {
 
 #: Wider candidates that the base rules don't decide: kind -> pattern.
 WIDE = {
-    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++\x20?[\[(]\x20?at\x20?[\])]\x20?{_HOST}++(?:(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?){_HOST}++)++",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){11,18}+(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|\.[0-9])",
+    # written-out signs, in brackets or as words
+    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++(?:\x20?[\[(]\x20?at\x20?[\])]\x20?{_HOST}++(?:(?:\.|\x20?[\[(]\x20?dot\x20?[\])]\x20?){_HOST}++)++|\x20at\x20{_HOST}++(?:\x20dot\x20{_HOST}++)++)",
+    # a number of usual grouping, whatever digits stand a blank away, or any run of 12 to 19 digits
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}|[0-9]{13,19}|[0-9](?:[\x20-]?[0-9]){11,18}+)(?![0-9A-Za-z])",
+    # area code and number; a trunk 0 and one or two groups, or five pairs; an international number after 00
+    "phone": r"(?<![0-9A-Za-z+.-])(?:(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}|0[1-9](?:[\x20.-][0-9]{2}){4}|0[1-9][0-9]{1,3}[\x20/-][0-9]{5,8}|00[1-9][0-9]{0,2}(?:[\x20.-][0-9]{2,4}){3,4})(?![0-9A-Za-z]|[\x20/.-]?[0-9])",
 }
 
 #: Words that announce a kind, lower case.
@@ -52,17 +55,23 @@ CONTEXT = {
     "phone": "phone|tel|call|mobile|cell|fax|telefon|t[eé]l[eé]phone|tel[eé]fono|appel|llam",
 }
 
-#: Placeholders that are no one's data.
-GAZETTEER = {"email": r"@example\.(?:invalid|test)$", "ip": r"^(?:0\.0\.0\.0|127\.0\.0\.1|255\.255\.255\.255)$", "card": r"^(?:0[\x20-]?){12,}$", "phone": r"^[^1-9]*$"}
+#: What is no one's data.
+PLACEHOLDERS = {"email": r"@example\.(?:invalid|test)$", "ip": r"^(?:0\.0\.0\.0|127\.0\.0\.1|255\.255\.255\.255)$", "card": r"^(?:0[\x20-]?){12,}$|^(?:1234[\x20-]?){3,}", "phone": r"^[^1-9]*$|^(?:[^0-9]*(?:123|1234|0000)){3,}"}
 
-#: What a checksum says is known beforehand and not estimated: (kind, labeler) -> P(-1, 0, 1 | real), P(-1, 0, 1 | not real).
-#: One number in ten passes by chance, whereas real ones fail only by typing errors.
-KNOWN = {(2, 1): ((0.01, 0.01, 0.98), (0.89, 0.01, 0.10))}
+#: Names that real data of a kind bears: mail providers and top-level domains, networks that are not reserved, issuers' first digits, calling and area codes.
+GAZETTEER = {
+    "email": r"(?i)(?:gmail|googlemail|yahoo|hotmail|outlook|live|icloud|aol|gmx|web|mail|proton|protonmail|orange|free|laposte|t-online|terra|telefonica)[^A-Za-z]|(?:\.|dot\x20?[\])]?\x20?)(?:com|org|net|edu|gov|info|io|eu|de|fr|es|uk|it|nl|at|ch|be|pl|us|ca|mx|ar|co|br)$",
+    "ip": r"^(?:[1-9]|[1-9][0-9]|1[01][0-9]|12[0-6]|12[89]|1[3-9][0-9]|2[01][0-9]|22[0-3])\.",
+    "card": r"^(?:4|5[\x20-]?[1-5]|2[\x20-]?[2-7]|3[\x20-]?[47]|6[\x20-]?(?:0[\x20-]?1[\x20-]?1|4[\x20-]?[4-9]|5))",
+    "phone": r"^(?:\+|00)(?:1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})|^0[1-9]|^\(?[2-9][0-9]{2}\)?[\x20.-]",
+}
 
 #: Characters before a candidate that the context labeler reads.
 BEFORE = 24
 LABELERS = 5
 SHAPES = 5
+#: Which labeler is a checksum: kind -> labeler.
+CHECKSUM = {2: 1}
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -152,7 +161,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                 _strict(kind, span),
                 _checked(kind, span),
                 F.when(left.rlike(rf"(?<![a-z])(?:{CONTEXT[kind]})"), 1).otherwise(0),
-                F.when(span.rlike(GAZETTEER[kind]), -1).otherwise(0),
+                F.when(span.rlike(PLACEHOLDERS[kind]), -1).when(span.rlike(GAZETTEER[kind]), 1).otherwise(0),
                 F.when(free, 1).otherwise(-1),
             )
             n = F.length(digits(span))
@@ -201,11 +210,13 @@ def unpack(code: int, radix: int, n: int) -> tuple[int, ...]:
 def fit_labels(patterns: dict[tuple[int, int], int], rounds: int = 40) -> LabelModel:
     """Expectation-maximisation over (kind, votes) -> count: labelers vote independently given what is real.
 
-    It starts from the majority of the votes; the tables of KNOWN stay as they are. Counts are smoothed, so a labeler
-    that never speaks, or a kind that never occurs, is neither for nor against.
+    It starts from the majority of the votes, but for numbers that fail a
+    checksum, which start as not real; every table is estimated from there.
+    Counts are smoothed, so a labeler that never speaks, or a kind that never
+    occurs, is neither for nor against.
     """
     votes = {k: unpack(k[1], 3, LABELERS) for k in patterns}
-    real = {k: min(0.9, max(0.1, 0.5 + 0.15 * sum(v - 1 for v in votes[k]))) for k in patterns}
+    real = {k: 0.05 if CHECKSUM.get(k[0]) is not None and votes[k][CHECKSUM[k[0]]] == 0 else min(0.9, max(0.1, 0.5 + 0.15 * sum(v - 1 for v in votes[k]))) for k in patterns}
     model = LabelModel({}, {})
     for _ in range(rounds):
         total = {(kind, y): 1.0 for kind in range(len(KINDS)) for y in (True, False)}
@@ -215,9 +226,7 @@ def fit_labels(patterns: dict[tuple[int, int], int], rounds: int = 40) -> LabelM
                 total[kind, y] += n * p
                 for i, v in enumerate(votes[kind, code]):
                     seen[kind, i, y, v] += n * p
-        estimated = {k: x / total[k[0], k[2]] for k, x in seen.items()}
-        estimated |= {(kind, i, y, v): p for (kind, i), tables in KNOWN.items() for y, table in zip((True, False), tables, strict=True) for v, p in enumerate(table)}
-        model = LabelModel(estimated, {kind: total[kind, True] / (total[kind, True] + total[kind, False]) for kind in range(len(KINDS))})
+        model = LabelModel({k: x / total[k[0], k[2]] for k, x in seen.items()}, {kind: total[kind, True] / (total[kind, True] + total[kind, False]) for kind in range(len(KINDS))})
         real = {k: model.posterior(k[0], votes[k]) for k in patterns}
     return model
 
