@@ -44,9 +44,9 @@ def entropy_of_shares(p: str) -> Column:
 
 
 def normalise(x: Column, over: WindowSpec) -> Column:
-    """Min-max to [0, 1]: 1 where all are equal, 0 where all are null; a null among others stays null."""
+    """Min-max to [0, 1]: 1 where all that are known are equal, for nulls among them too; 0 where all are null; else a null stays null."""
     low, high = F.min(x).over(over), F.max(x).over(over)
-    return F.when(low.isNull(), 0.0).when(high == low, F.when(x.isNotNull(), 1.0).otherwise(1.0)).otherwise((x - low) / (high - low))
+    return F.when(low.isNull(), 0.0).when(high == low, 1.0).otherwise((x - low) / (high - low))
 
 
 def middle_rank(over_order: WindowSpec, over_peers: WindowSpec) -> Column:

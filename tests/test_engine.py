@@ -61,7 +61,11 @@ def test_readers_and_writers(spark, tmp_path):
     assert readers.first_existing(spark, [str(tmp_path / "no"), str(tmp_path / "t.tsv")]).endswith("t.tsv")
     with pytest.raises(ValueError, match="unsupported"):
         readers.read_table(spark, "x.sav")
-    assert "<td>0</td>" in writers.render_html("t", {"a": spark.range(1)})
+    assert "<td>0</td>" in writers.render_html("t", {"a": spark.range(1)}) and "first" not in writers.render_html("t", {"a": spark.range(3)}, 3)
+    page = writers.render_html("t", {"a": spark.range(9).coalesce(1)}, 3)
+    assert "The first 3 rows." in page and page.count("<td>") == 3
+    with pytest.raises(ValueError, match="too many rows"):
+        writers.write_workbook({"a": spark.range(3)}, str(tmp_path / "b.xlsx"), 2)
 
 
 def test_runner(spark, tmp_path):
