@@ -54,6 +54,14 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have, in whatever case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def plan_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5, cap: float = 2.0, seed: int = 17) -> DataFrame:
     """docs with mix_size, mix_source_size, mix_target and mix_copies; every row stays.
 
@@ -63,21 +71,22 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share:
     one. Columns of docs with the names above are replaced; others stay.
     """
     added = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+    source, rate_of, salt, salt_of = (_free(docs, n) for n in ("mix_for", "mix_rate", "mix_salt", "mix_salt_for"))
     sized = docs.drop(*added).withColumn("mix_size", word_total(text_of()))
     # one partial sum per task and source: a hot source costs the shuffle no more than another
     sums = sized.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
-    targets = materialise(source_targets(sums, weights, total_share, cap)).select(F.col("source").alias("__source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("rate").alias("__rate"))
+    targets = materialise(source_targets(sums, weights, total_share, cap)).select(F.col("source").alias(source), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("rate").alias(rate_of))
     if targets.count() <= BROADCAST_ROWS:
-        joined = sized.join(F.broadcast(targets), F.col("source").eqNullSafe(F.col("__source")), "left")
+        joined = sized.join(F.broadcast(targets), F.col("source").eqNullSafe(F.col(source)), "left")
     else:
-        salted = sized.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)))
-        spread = targets.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(spread, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__salt") == F.col("__salt_of")), "left").drop("__salt", "__salt_of")
-    rate, whole = F.col("__rate"), F.floor("__rate")
-    return joined.withColumn("mix_copies", whole + F.when(draw(F.col("doc_id"), seed) < rate - whole, 1).otherwise(0)).drop("__source", "__rate")
+        salted = sized.withColumn(salt, F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)))
+        spread = targets.withColumn(salt_of, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(spread, F.col("source").eqNullSafe(F.col(source)) & (F.col(salt) == F.col(salt_of)), "left").drop(salt, salt_of)
+    rate, whole = F.col(rate_of), F.floor(rate_of)
+    return joined.withColumn("mix_copies", whole + F.when(draw(F.col("doc_id"), seed) < rate - whole, 1).otherwise(0)).drop(source, rate_of)
 
 
 def emit(planned: DataFrame) -> DataFrame:
     """Each row mix_copies times, without the columns of the plan."""
-    copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
-    return planned.where("mix_copies > 0").withColumn("__copy", copies).drop("__copy", "mix_size", "mix_source_size", "mix_target", "mix_copies")
+    copies, copy = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))), _free(planned, "mix_copy")
+    return planned.where("mix_copies > 0").withColumn(copy, copies).drop(copy, "mix_size", "mix_source_size", "mix_target", "mix_copies")

@@ -212,3 +212,12 @@ def test_split_characters(monkeypatch):
     monkeypatch.setattr(bpe, "GROUP_CHARS", 4)
     fresh = bpe.Codec({bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257}, pattern)
     assert fresh.encode(["abc ab", "abcab", "zz"]) == [[257, 32, 256], [257, 256], [122, 122]]
+
+
+def test_mix_with_columns_named_like_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", "k", 1, 5.0), (2, "d", None, "k", 2, 6.0), (2, "d", None, "k", 2, 6.0), (3, None, "y", None, 3, None)], "doc_id long, text string, source string, mix_for string, MIX_COPY int, mix_rate double")
+    planned = mixing.plan_mix(docs)
+    assert planned.count() == 4 and set(docs.columns) < set(planned.columns)
+    out = mixing.emit(planned)
+    assert out.columns == docs.columns and out.count() == sum(r.mix_copies for r in planned.collect())
+    assert mixing.emit(mixing.plan_mix(docs.where("false"))).count() == 0
