@@ -292,8 +292,13 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """docs with each span of text replaced by its kind in brackets, as [EMAIL]; overlapping spans become one, named by the first.
 
     Texts without spans stay as they are, null ones too; n_chars, if there, is counted anew.
+    All other columns stay, one named spans too.
     """
-    found = find(docs, threshold)
+    own = next((c for c in docs.columns if c.lower() == "spans"), None)
+    aside = "spans_aside"
+    while aside in {c.lower() for c in docs.columns}:
+        aside += "_"
+    found = find(docs.withColumnRenamed(own, aside) if own else docs, threshold)
 
     def step(acc: Column, s: Column) -> Column:
         text = F.col("text")
@@ -305,4 +310,5 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     done = F.aggregate(in_order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
     whole = let(done, lambda d: F.concat(d["out"], F.substr(F.col("text"), d["at"] + 1, F.length(F.col("text")))))
     out = found.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))).drop("spans")
+    out = out.withColumnRenamed(aside, own) if own else out
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

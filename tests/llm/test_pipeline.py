@@ -68,3 +68,18 @@ def test_run_is_its_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     last = stages["encode"][1]
     assert sorted(map(repr, got.collect())) == sorted(map(repr, last.collect()))
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_stages_with_nulls_and_clashing_columns(spark, rows):
+    """Every stage takes null ids, texts and sources, repeated rows, columns named like its own, and an empty table."""
+    odd = [(1, "one two three four five six seven", "en", "s", 7, "k", 1), (1, "one two three four five six seven", "en", "s", 7, "k", 1), (None, None, None, None, None, None, None), (2, "", "de", None, 0, "x", 2), (3, "mail a@b.co " * 2000, "en", "s", 24000, None, 3)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, key string, spans int"
+    docs = spark.createDataFrame(odd if rows else [], columns)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        got = out.count()
+        assert name == "encode" or out.columns == docs.columns, name
+        assert got <= 2 * docs.count() and (rows or got == 0), name
+        if name == "near_duplicates" and rows:
+            assert sorted((r.doc_id or 0, r.text or "") for r in out.collect())[:2] == [(1, "one two three four five six seven"), (2, "")], name
