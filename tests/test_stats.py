@@ -138,9 +138,10 @@ def test_redundancy_and_sets():
     assert features.build_feature_set(3, scores) == ["p", "r", "z"]
 
 
-def test_stability_is_high_for_equal_ranks():
+def test_stability_by_how_far_ranks_move():
     ref = np.array([3.0, 2.0, 1.0])
-    assert list(features.stability(ref, np.array([ref, ref]))) == [0.0, 0.0, 0.0] or features.stability(ref, np.array([ref, ref])).min() >= 0
+    assert list(features.stability(ref, np.array([ref, ref]))) == [0.0, 0.0, 0.0]  # all ranks move equally far, none: scaled to 1
+    assert list(features.stability(ref, np.array([[3.0, 1.0, 2.0]]))) == [1.0, 0.0, 0.0]
 
 
 def test_matching_is_greedy_by_reference():
