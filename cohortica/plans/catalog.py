@@ -556,7 +556,7 @@ def _vectors(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
 
 
 def _components(spark: SparkSession, sf: str) -> int:
-    """How many numbers a vector has. The queries with SQL take the first 8, as their SQL does; those named whole_ take all."""
+    """How many numbers a vector has. Queries named whole_ and their SQL take all of them; the others and theirs the first 8."""
     return spark.read.parquet(f"{sf}/embeddings.parquet").agg(F.max(F.size("embedding"))).first()[0] or 1
 
 
@@ -568,6 +568,14 @@ _D = {
     "manhattan": _SUM("abs(a.{c} - b.{c})"),
     "gower": f"({_SUM('abs(a.{c} - b.{c}) / (SELECT max({c}) - min({c}) FROM v)')}) / 8",
 }
+# the same over all components: lists, and each component by its range
+_WHOLE_V = """u AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), s AS (SELECT i, max(e) - min(e) AS w FROM (SELECT unnest(x) AS e, generate_subscripts(x, 1) AS i FROM u) GROUP BY i),
+w AS (SELECT list(w ORDER BY i) AS w FROM s), v AS (SELECT id, label, x, [coalesce(z[1] / nullif(z[2], 0), 0) for z in list_zip(x, w)] AS g FROM u, w)"""
+_WHOLE_D = {
+    "euclidean": "sqrt(list_sum([(z[1] - z[2]) ** 2 for z in list_zip(a.x, b.x)]))",
+    "manhattan": "list_sum([abs(z[1] - z[2]) for z in list_zip(a.x, b.x)])",
+    "gower": "list_sum([abs(z[1] - z[2]) for z in list_zip(a.g, b.g)]) / len(a.g)",
+}
 _DISTRIBUTION = "count(*) AS n_pairs, " + _r("min(d) AS minimum", "quantile_cont(d, 0.25) AS first_quartile", "median(d) AS median", "avg(d) AS mean", "quantile_cont(d, 0.75) AS third_quartile", "max(d) AS maximum", "stddev_samp(d) AS standard_deviation", "stddev_samp(d) / avg(d) AS coefficient_of_variation", "(max(d) - min(d)) / max(d) AS relative_contrast")
 
 
@@ -576,35 +584,47 @@ def _pairs(spark: SparkSession, sf: str, method: str, dims: int = 8) -> DataFram
     return distance.pairwise(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], method)
 
 
+def _distribution_sql(v: str, d: str) -> str:
+    return f"WITH {v}, p AS (SELECT {d} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p"
+
+
+def _correlation_sql(v: str, d: dict[str, str]) -> str:
+    return f"""WITH {v}, p AS (SELECT {d['manhattan']} AS x, {d['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
+k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k"""
+
+
+def _silhouette_sql(v: str, d: dict[str, str]) -> str:
+    return f"""WITH {v}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {d['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
+ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab"""
+
+
 def _register_distances() -> None:
     for method in distance.METHODS:
-        query(f"WITH {_V}, p AS (SELECT {_D[method]} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p", f"distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m))))
-        query(name=f"whole_distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m, _components(spark, sf)))))
+        query(_distribution_sql(_V, _D[method]), f"distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m))))
+        query(_distribution_sql(_WHOLE_V, _WHOLE_D[method]), f"whole_distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m, _components(spark, sf)))))
 
 
 _register_distances()
 
 
-@query(f"""WITH {_V}, p AS (SELECT {_D['manhattan']} AS x, {_D['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
-k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k""")
+@query(_correlation_sql(_V, _D))
 def distance_correlation(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
     both = distance.pairwise_many(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], ("manhattan", "gower"))
     return rounded(distance.distance_correlation(both, "manhattan", "gower"))
 
 
-@query()
+@query(_correlation_sql(_WHOLE_V, _WHOLE_D))
 def whole_distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return distance_correlation(spark, sf, _components(spark, sf))
 
 
-@query(f"""WITH {_V}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {_D['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
-ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab""")
+@query(_silhouette_sql(_V, _D))
 def silhouette(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
     v = _vectors(spark, sf, dims)
     return rounded(validity.silhouette(distance.pairwise(v, "id", [f"x{i}" for i in range(dims)]), v.select("id", "label"), "label"))
 
 
-@query()
+@query(_silhouette_sql(_WHOLE_V, _WHOLE_D))
 def whole_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     return silhouette(spark, sf, _components(spark, sf))
 
