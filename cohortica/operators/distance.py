@@ -53,6 +53,8 @@ def pairwise_many(df: DataFrame, key: str, columns: list[str], methods: tuple[st
     left = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"), F.col("g").alias("ga"), F.col("block").alias("i"), F.explode(blocks).alias("j"))
     right = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"), F.col("g").alias("gb"), F.explode(blocks).alias("i"), F.col("block").alias("j"))
     made = [_distance(m, n, *((F.col("ga"), F.col("gb")) if m == "gower" else (F.col("xa"), F.col("xb")))).alias(m) for m in methods]
+    # a fixed number of tasks: what is shuffled is small, so adaptive execution would put the quadratic work into one
+    left, right = (side.repartition(max(1, block // 32) ** 2, "i", "j") for side in (left, right))
     return left.join(right, ["i", "j"]).where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", *made)
 
 
