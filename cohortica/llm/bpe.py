@@ -6,6 +6,10 @@ pattern into pieces, and since a piece's ids depend on nothing else, each worker
 encodes a piece once and looks it up afterwards. Decoding joins the bytes of the
 ids: a character split over tokens comes together again there, and is replaced
 by U+FFFD only if a caller decodes ids that end inside it.
+
+The pattern names letters and numbers, and the module that matches it may know
+another Unicode version than the reference encoder. What the two class apart is
+found out once, on the driver, and stood in for while a text is cut.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, chain
@@ -28,6 +33,8 @@ from cohortica.llm.common import slices, texts_of, tidy
 REMEMBERED, PIECE_CHARS = 150_000, 64
 #: Texts go through the encoder in groups of about so many characters.
 GROUP_CHARS = 1 << 20
+#: Characters that every Unicode version classes as a letter, as a number, as neither.
+STAND_INS = {"L": "\u00aa", "N": "\u00b2", "": "\uffff"}
 
 
 def byte_characters() -> list[str]:
@@ -37,10 +44,35 @@ def byte_characters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def classed_apart() -> tuple[tuple[int, int, str], ...]:
+    """Runs of code points (first, last) that the reference encoder and the regex module class apart as letters or numbers, with a stand-in that both class as the encoder does."""
+    import tiktoken
+
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    apart: dict[int, str] = {}
+    for name in "LN":
+        run = rf"\p{{{name}}}+"
+        encoder = tiktoken.Encoding("class", pat_str=run, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        theirs, ours = set(encoder.decode(encoder.encode_ordinary(every))), set("".join(regex.findall(run, every)))
+        apart |= {ord(c): STAND_INS[name] for c in theirs - ours}
+        apart |= {ord(c): apart.get(ord(c), STAND_INS[""]) for c in ours - theirs}
+    runs: list[tuple[int, int, str]] = []
+    for c in sorted(apart):
+        if runs and runs[-1][1:] == (c - 1, apart[c]):
+            runs[-1] = (runs[-1][0], c, apart[c])
+        else:
+            runs.append((c, c, apart[c]))
+    return tuple(runs)
+
+
 class Codec:
-    """Encodes and decodes by a rank file and a pattern, without special tokens."""
+    """Encodes and decodes by a rank file and a pattern, without special tokens.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    apart: what the pattern is to take for other characters, as classed_apart gives it.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, apart: tuple[tuple[int, int, str], ...] = ()):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -49,12 +81,19 @@ class Codec:
         merges = [(shown(x[:i]), shown(x[i:])) for x in sorted(ranks, key=ranks.get) for i in range(1, len(x)) if ranks.get(x[:i], 1 << 60) < ranks[x] and ranks.get(x[i:], 1 << 60) < ranks[x]]
         self.tokenizer = Tokenizer(models.BPE(vocab={shown(x): r for x, r in ranks.items()}, merges=merges, ignore_merges=True))
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
+        self.apart = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b, _ in apart) + "]") if apart else None
+        self.stand_ins = {c: x for a, b, x in apart for c in range(a, b + 1)}
         self.of_id = [b""] * (max(ranks.values()) + 1)
         for x, r in ranks.items():
             self.of_id[r] = x
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def pieces(self, text: str) -> list[str]:
+        if self.apart is None or text.isascii() or not self.apart.search(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         out = []
         for group in _groups(texts):
@@ -106,10 +145,10 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
 
 
 @lru_cache(maxsize=2)
-def codec(ranks_path: str, pattern: str) -> Codec:
+def codec(ranks_path: str, pattern: str, apart: tuple[tuple[int, int, str], ...] = ()) -> Codec:
     """One for each Python worker. The file must be installed where executors run, as the tokenizer package is."""
     with open(ranks_path, "rb") as f:
-        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
+        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern, apart)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, offsets: bool = False) -> DataFrame:
@@ -124,9 +163,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, offsets: bo
         added += [("byte_offsets", T.ArrayType(T.LongType())), ("char_offsets", T.ArrayType(T.ArrayType(T.LongType())))]
     kept = docs.drop(*[n for n, _ in added])
     schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in added]])
+    apart = classed_apart()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(ranks_path, pattern)
+        c = codec(ranks_path, pattern, apart)
         for b in slices(batches, 2 * GROUP_CHARS):
             ids = c.encode(texts_of(b))
             cols = [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode_bytes(x) for x in ids], pa.binary())]
@@ -140,9 +180,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, offsets: bo
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode_documents, digested where the ids are made."""
+    apart = classed_apart()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(ranks_path, pattern)
+        c = codec(ranks_path, pattern, apart)
         number = list(map(str, range(len(c.of_id))))
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in slices(batches, 2 * GROUP_CHARS):

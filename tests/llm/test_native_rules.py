@@ -203,6 +203,21 @@ def test_query_against_reference(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
 
 
+def test_every_code_point_is_cut_as_by_the_reference_encoder():
+    path, pattern, enc = reference_encoding()
+    c = bpe.codec(path, pattern, bpe.classed_apart())
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for k in range(0, len(every), 1 << 15):
+        texts = ["".join(f"x{e}5{e} {e}{e}\n" for e in every[j : j + 64]) for j in range(k, min(k + (1 << 15), len(every)), 64)]
+        assert c.encode(texts) == enc.encode_ordinary_batch(texts, num_threads=1)
+
+
+def test_stand_ins_take_the_class_that_is_asked_for():
+    c = bpe.Codec({bytes([b]): b for b in range(256)}, r"\p{L}+|\p{N}+|[^\p{L}\p{N}]+", ((ord("b"), ord("c"), bpe.STAND_INS["N"]), (0x3B1, 0x3B1, bpe.STAND_INS["N"]), (0x3B2, 0x3B2, bpe.STAND_INS[""])))
+    assert c.pieces("abc1") == ["abc", "1"]  # texts in ASCII are never looked into
+    assert c.pieces("aα1βγ-") == ["a", "α1", "β", "γ", "-"]
+
+
 def test_split_characters(monkeypatch):
     path, pattern, _ = reference_encoding()
     c = bpe.codec(path, pattern)
