@@ -63,18 +63,64 @@ def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclide
     return pairwise_many(df, key, columns, (method,), block).withColumnRenamed(method, "d")
 
 
+#: A bin ends where the next begins, at values so many times in a factor of e; so no task sorts or merges all values.
+BINS = 1024
+
+
+def _bin(d: Column) -> Column:
+    """Grows with a distance, by that alone: no bounds are looked for first. A factor of 1000 has 7,000 bins, all doubles 1.5 million."""
+    return F.when(d > 0, F.floor(F.ln(d) * BINS)).otherwise(-(1 << 20)).alias("bin")
+
+
+def _before(counted: Column, *group: str) -> Column:
+    """How many stand in the bins before this one; a row for each bin."""
+    return F.coalesce(F.sum(counted).over(Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def distance_distribution(pairs: DataFrame, *keys: str) -> DataFrame:
-    """Number, seven-number summary, coefficient of variation and relative contrast, for each of keys or over all."""
+    """Number, seven-number summary, coefficient of variation and relative contrast, for each of keys or over all. d: no nulls, none below 0.
+
+    Quartiles are exact and interpolate as percentile() does. Pairs are looked
+    at twice, to count bins and to take the values of those that the quartiles
+    fall into, and no more than that is shuffled.
+    """
     named = lambda c: F.nullif(c, F.lit(0.0))
-    out = pairs.groupBy(*keys).agg(F.count("*").alias("n_pairs"), F.min("d").alias("minimum"), F.percentile("d", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg("d").alias("mean"), F.max("d").alias("maximum"), F.stddev_samp("d").alias("standard_deviation"))
-    out = out.select(*keys, "n_pairs", "minimum", F.col("q")[0].alias("first_quartile"), F.col("q")[1].alias("median"), "mean", F.col("q")[2].alias("third_quartile"), "maximum", "standard_deviation")
+    quartiles = {"first_quartile": 0.25, "median": 0.5, "third_quartile": 0.75}
+    rows = pairs.select((F.struct(*keys) if keys else F.lit(0)).alias("group"), "d", _bin(F.col("d")))
+    bins = rows.groupBy("group", "bin").agg(F.count("*").alias("inside"), F.min("d").alias("low"), F.max("d").alias("high"), F.avg("d").alias("centre"), F.var_pop("d").alias("variance"))
+    of_group = Window.partitionBy("group")
+    bins = bins.withColumn("before", _before(F.col("inside"), "group")).withColumn("n_pairs", F.sum("inside").over(of_group)).withColumn("mean", F.sum(F.col("centre") * F.col("inside")).over(of_group) / F.col("n_pairs"))
+    off = F.col("centre") - F.col("mean")
+    squares = F.sum(F.col("inside") * (F.col("variance") + off * off))
+    whole = bins.groupBy("group").agg(F.sum("inside").alias("n_pairs"), F.min("low").alias("minimum"), F.max("high").alias("maximum"), F.first("mean").alias("mean"), F.sqrt(F.try_divide(squares, (F.sum("inside") - 1).cast("double"))).alias("standard_deviation"))
+    place = {q: (F.col("n_pairs") - 1) * p for q, p in quartiles.items()}
+    ends = {f"{q}_{e}": f(x) for q, x in place.items() for e, f in (("low", F.floor), ("high", F.ceil))}
+    holds = lambda at, first, n: (at >= first) & (at < first + n)
+    wanted = bins.where(reduce(lambda x, y: x | y, [holds(at, F.col("before"), F.col("inside")) for at in ends.values()]))
+    # six bins of a group at most are wanted; equal values become one row before they meet
+    met = rows.join(F.broadcast(wanted.select("group", "bin", "before", "n_pairs")), ["group", "bin"]).groupBy("group", "bin", "before", "n_pairs", "d").agg(F.count("*").alias("n"))
+    first = F.col("before") + F.sum("n").over(Window.partitionBy("group", "bin").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    found = met.withColumn("first", first).groupBy("group").agg(*[F.max(F.when(holds(at, F.col("first"), F.col("n")), F.col("d"))).alias(e) for e, at in ends.items()])
+    between = lambda q: F.when(F.col(f"{q}_low") == F.col(f"{q}_high"), F.col(f"{q}_low")).otherwise((F.ceil(place[q]) - place[q]) * F.col(f"{q}_low") + (place[q] - F.floor(place[q])) * F.col(f"{q}_high"))
+    out = whole.join(found, "group")
+    if not keys:  # one row over all, also where there is no pair
+        out = pairs.sparkSession.range(1).select(F.col("id").cast("int").alias("group")).join(out, "group", "left").withColumn("n_pairs", F.coalesce("n_pairs", F.lit(0)))
+    out = out.select(*[F.col("group")[k].alias(k) for k in keys], "n_pairs", "minimum", *[between(q).alias(q) for q in quartiles], "mean", "maximum", "standard_deviation")
     return out.withColumn("coefficient_of_variation", F.col("standard_deviation") / named(F.col("mean"))).withColumn("relative_contrast", (F.col("maximum") - F.col("minimum")) / named(F.col("maximum")))
 
 
+def middle_ranks(values: DataFrame) -> DataFrame:
+    """d, rank of distances without nulls, one row for each different value; equal ones share the mean of their ranks."""
+    counted = values.groupBy("d").agg(F.count("*").alias("n")).withColumn("bin", _bin(F.col("d")))
+    bins = counted.groupBy("bin").agg(F.sum("n").alias("inside"))
+    upto = F.sum("n").over(Window.partitionBy("bin").orderBy("d").rowsBetween(Window.unboundedPreceding, 0))
+    return counted.join(F.broadcast(bins.select("bin", _before(F.col("inside")).alias("before"))), "bin").select("d", (F.col("before") + upto - (F.col("n") - 1) / 2).alias("rank"))
+
+
 def distance_correlation(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """pearson, spearman of two columns of the same pairs (pairwise_many); ranks average ties."""
     both = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    ranks = lambda c: both.groupBy(c).agg(F.count("*").alias("__n")).select(F.col(c), (F.coalesce(F.sum("__n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + (F.col("__n") + 1) / 2).alias(f"r{c}"))
+    ranks = lambda c: middle_ranks(both.select(F.col(c).alias("d"))).select(F.col("d").alias(c), F.col("rank").alias(f"r{c}"))
     return both.join(ranks("x"), "x").join(ranks("y"), "y").agg(F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.count("*").alias("n_pairs"))
 
 

@@ -39,3 +39,22 @@ def test_more_vectors_than_a_sample(spark, tmp_path, prefix):
     assert q[f"{prefix}silhouette"](spark, str(tmp_path)).count() == n
     for m in distance.METHODS:
         assert q[f"{prefix}distance_distribution_{m}"](spark, str(tmp_path)).select("n_pairs").first().n_pairs == n * (n - 1) // 2
+
+
+def test_quartiles_and_ranks_by_bins(spark):
+    rng = np.random.default_rng(3)
+    of = {"far": np.append(rng.random(400), 1e9), "ties": rng.integers(0, 5, 301).astype(float), "one": np.array([2.5]), "same": np.full(7, 3.0), None: rng.random(10)}
+    pairs = spark.createDataFrame([(k, float(x)) for k, v in of.items() for x in v], "k string, d double")
+    got = {r.k: r for r in distance.distance_distribution(pairs, "k").collect()}
+    assert set(got) == set(of)
+    for k, v in of.items():
+        r = got[k]
+        assert (r.n_pairs, r.minimum, r.first_quartile, r.median, r.third_quartile, r.maximum) == (len(v), v.min(), *(pytest.approx(np.quantile(v, p), rel=1e-12) for p in (0.25, 0.5, 0.75)), v.max())
+        assert (r.mean, r.standard_deviation) == ((pytest.approx(v.mean()), pytest.approx(v.std(ddof=1), rel=1e-9, abs=1e-12)) if len(v) > 1 else (2.5, None))
+    for v in of.values():
+        ranks = {r.d: r.rank for r in distance.middle_ranks(spark.createDataFrame([(float(x),) for x in v], "d double")).collect()}
+        assert ranks == {x: (v < x).sum() + ((v == x).sum() + 1) / 2 for x in v}
+    assert distance.distance_distribution(pairs.where("false"), "k").count() == 0
+    none = distance.distance_distribution(pairs.where("false")).first()
+    assert none.n_pairs == 0 and none.median is None
+    assert distance.middle_ranks(pairs.where("false").select("d")).count() == 0
