@@ -100,6 +100,27 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
+#: A key with more than one in so many rows is hot; there are fewer than so many of them.
+HOT_SHARE = 1024
+
+
+def join_by_weight(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """rows joined to keyed, which has one row for each of the keys' values (nulls equal each other) and in `weight` how many of `total` rows have it.
+
+    Hot values, fewer than HOT_SHARE of them, are broadcast, so that no task gets
+    all rows of one; all others are joined by a shuffle. Both inputs are read
+    twice: they must be cheap to read (materialised). weight isn't kept.
+    """
+    hot = F.col(weight) * HOT_SHARE > total
+    added = [c for c in keyed.columns if c not in (*keys, weight)]
+    side = lambda which: keyed.where(which).select(*[F.col(k).alias(f"__of_{k}") for k in keys], *added)
+    same = [rows[k].eqNullSafe(F.col(f"__of_{k}")) for k in keys]
+    drop = [f"__of_{k}" for k in keys]
+    often = rows.join(F.broadcast(side(hot)), same).drop(*drop)
+    seldom = rows.join(F.broadcast(side(hot).drop(*added)), same, "left_anti").join(side(~hot), same).drop(*drop)
+    return often.unionByName(seldom)
+
+
 def slices(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows in runs of about `most` bytes of text, one row at least: what a task holds as Python values doesn't follow a batch's length."""
     for b in batches:

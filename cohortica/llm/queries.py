@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortica.llm import bagminhash, bpe, chat, hash_tree, mixing, ordinal, pii, ppm, rules, spotsigs
+from cohortica.llm import bagminhash, bpe, centroids, chat, codes, hash_tree, mixing, ordinal, pii, ppm, rules, spotsigs, tokenfile
 from cohortica.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 
 
 def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +78,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256 if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def op12_screened_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfile.digests(spark, tokenfile.write_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_weak_supervision_pii, op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op6_spotsigs, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_weak_supervision_pii, op2_ppm, op3_hash_tree, op4_ordinal_quality, op5_chat_windows, op6_spotsigs, op7_mixing, op8_quality_rules, op9_bagminhash, op10_byte_bpe, op11_vector_codes, op12_screened_centroids, op13_elias_fano_ids)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -120,5 +136,35 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 """
 
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+
+
+def _lloyd_sql(seeds: str, rounds: int) -> str:
+    """Rounds b0, b1, ... of centres (p, e, c) for pieces x (id, p, v, label), then the last assignment a (id, p, e, d, label)."""
+    near = lambda b: f"SELECT x.id, x.label, x.p, x.v, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(x.v, {b}.c)])::HUGEINT * 65536 + {b}.e) AS de FROM x JOIN {b} USING (p) GROUP BY ALL"
+    out = [f"b0 AS MATERIALIZED ({seeds})"]
+    for r in range(rounds):
+        out.append(f"""n{r} AS MATERIALIZED ({near(f"b{r}")}),
+s{r} AS (SELECT p, e, i, sum(y) AS s, count(*) AS n FROM (SELECT p, de % 65536 AS e, unnest(v) AS y, generate_subscripts(v, 1) AS i FROM n{r}) GROUP BY ALL),
+m{r} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{r} GROUP BY p, e),
+b{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN m{r} USING (p, e))""")
+    return ", ".join(out) + f", a AS MATERIALIZED (SELECT id, label, p, (de % 65536)::BIGINT AS e, (de // 65536)::BIGINT AS d FROM ({near(f'b{rounds}')}))"
+
+
+_CODES_SQL = f"""
+WITH k AS MATERIALIZED (SELECT vec_id, label, [floor(1024 * y::DOUBLE)::BIGINT for y in embedding] AS v FROM embeddings WHERE {_FINITE}),
+x AS MATERIALIZED (SELECT vec_id AS id, label, p, v[1 + p * len(v) // 4 : (p + 1) * len(v) // 4] AS v FROM k, (SELECT unnest(range(4)) AS p)),
+{_lloyd_sql("SELECT p, r AS e, v AS c FROM x JOIN (SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) - 1 AS r FROM k) USING (id) WHERE r < 256", 4)},
+w AS (SELECT id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a GROUP BY id, label)
+SELECT id AS vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b4) AS codebooks_sha256 FROM w
+"""
+
+_CENTROIDS_SQL = f"""
+WITH x AS MATERIALIZED (SELECT vec_id AS id, 0 AS label, 0 AS p, [floor(64 * y::DOUBLE)::BIGINT for y in embedding] AS v FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+{_lloyd_sql("SELECT 0 AS p, row_number() OVER (ORDER BY h) - 1 AS e, v AS c FROM (SELECT v, sha256('1:' || id) AS h FROM x ORDER BY h LIMIT 16)", 3)}
+SELECT id AS vec_id, e::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY e))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a JOIN b3 USING (p, e)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": _MIX_SQL, "op8_quality_rules": _rules_sql()}
+    return {"op7_mixing": _MIX_SQL, "op8_quality_rules": _rules_sql(), "op11_vector_codes": _CODES_SQL, "op12_screened_centroids": _CENTROIDS_SQL}
