@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortica.llm.bpe import byte_characters
 from cohortica.llm.common import _remove, materialise, shared_dir, slices, text_of, texts_of, tidy
 
 #: One position in so many is stored for select.
@@ -105,6 +106,32 @@ class EliasFano:
         return a
 
 
+class Chunks(dict):
+    """Chunk -> ids as bytes; what isn't there is made, and remembered while there is room."""
+
+    #: Letters in every version of Unicode, a blank before them or not: one piece, which the model can have without another cut.
+    PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    TAIL = ".,;:!?"
+
+    def __init__(self, tokenizer, kind: np.dtype):
+        super().__init__()
+        self.tokenizer, self.kind = tokenizer, kind
+        self.model, self.shown = tokenizer.model, dict(enumerate(byte_characters()))
+
+    def __missing__(self, chunk: str) -> bytes:
+        core = chunk.rstrip(self.TAIL)
+        last = core[-1:]
+        if len(core) < len(chunk) and last.isascii() and last.isalnum():  # a stop after an ASCII letter or number begins a piece of its own
+            made = self[core] + self[chunk[len(core) :]]
+        elif self.PLAIN.fullmatch(chunk):
+            made = np.array([t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.shown))], self.kind).tobytes()
+        else:
+            made = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+        if len(self) < REMEMBERED and len(chunk) <= CHUNK_CHARS:
+            self[chunk] = made
+        return made
+
+
 class Encoder:
     """Texts to little-endian ids by the tokenizers library, as it encodes whole texts without adding special tokens.
 
@@ -115,7 +142,6 @@ class Encoder:
     """
 
     BLANK = r" \n\t\r"
-    TAIL = ".,;:!?"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -128,38 +154,15 @@ class Encoder:
         self.chunk = re.compile(f"[{self.BLANK}]*[^{self.BLANK}]+|[{self.BLANK}]+") if byte_level else None
         self.whole = re.compile("|".join([rf"[^\S{self.BLANK}]", *map(re.escape, sorted(t["content"] for t in made["added_tokens"]))]))
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known = Chunks(self.tokenizer, self.kind)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        made = chain.from_iterable(self.tokenizer.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False) for k in range(0, len(texts), 4096))
-        return [np.array(e.ids, self.kind).tobytes() for e in made]
+    def encode_one(self, text: str) -> bytes:
+        if self.chunk is None or self.whole.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return b"".join(map(self.known.__getitem__, self.chunk.findall(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.chunk is None:
-            return self._library(texts)
-        known, out = self.known, []
-        cut = [None if self.whole.search(t) else self.chunk.findall(t) for t in texts]
-        met = dict.fromkeys(chain.from_iterable(c for c in cut if c))
-        # a stop after an ASCII letter or number begins a piece of its own
-        split = {}
-        for c in met:
-            if c not in known:
-                core = c.rstrip(self.TAIL)
-                last = core[-1:]
-                split[c] = (core, c[len(core) :]) if core is not c and last.isascii() and last.isalnum() else (c,)
-        parts = [p for p in dict.fromkeys(chain.from_iterable(split.values())) if p not in known]
-        fresh = dict(zip(parts, self._library(parts), strict=True))
-        for c, of in split.items():
-            fresh[c] = b"".join(fresh[p] if p in fresh else known[p] for p in of)
-        for c, x in fresh.items():
-            if len(known) >= REMEMBERED:
-                break
-            if len(c) <= CHUNK_CHARS:
-                known[c] = x
-        ids = {c: known[c] if c in known else fresh[c] for c in met}
-        for t, c in zip(texts, cut, strict=True):
-            out.append(self._library([t])[0] if c is None else b"".join(map(ids.__getitem__, c)))
-        return out
+        return list(map(self.encode_one, texts))
 
 
 @lru_cache(maxsize=1)
