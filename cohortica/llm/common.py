@@ -34,6 +34,44 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Elements of a block of running().
+RUN_BLOCK = 512
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], zero: int) -> Column:
+    """For each element of an array of ints, what merge (associative) makes of zero and all elements before it. values is named often: a column or a lambda's variable.
+
+    An array can only grow by being copied, so elements are run through in blocks,
+    and what comes before a block is run through over one value a block.
+    """
+    start = F.lit(zero).cast("int")
+    both = lambda a, b: merge(a, b)
+
+    def simple(x: Column, first: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return F.aggregate(x, F.struct(first.alias("at"), none.alias("out")), lambda acc, v: F.struct(merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    of_block = lambda f: F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN_BLOCK).cast("int")), lambda i: f(F.slice(values, i * RUN_BLOCK + 1, F.lit(RUN_BLOCK))))
+    before = simple(of_block(lambda b: F.aggregate(b, start, both)), start)
+    return F.when(F.size(values) <= RUN_BLOCK, simple(values, start)).otherwise(F.flatten(F.zip_with(of_block(lambda b: b), before, simple)))
+
+
+#: Code points of a piece of cut_text.
+TEXT_PIECE = 256
+
+
+def cut_text(text: Column) -> Column:
+    """The text in pieces of TEXT_PIECE code points, for text_between."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_PIECE}}}"), F.lit(0))
+
+
+def text_between(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points start to end - 1 of a text that was cut: only the pieces that hold them are looked at, not all that stands before."""
+    first = F.floor(start / TEXT_PIECE).cast("int")
+    n = F.floor(end / TEXT_PIECE).cast("int") - first + 1
+    return F.substr(F.array_join(F.slice(pieces, first + 1, n), ""), start - first * TEXT_PIECE + 1, end - start)
+
+
 def unit_draw(*key: Column) -> Column:
     """A number in (0, 1) that the key alone decides."""
     return (F.shiftrightunsigned(F.xxhash64(*key), 11).cast("double") + 0.5) / float(2**53)

@@ -20,10 +20,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import let, materialise, text_of
+from cohortica.llm.common import cut_text, let, materialise, running, text_between, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -75,21 +76,55 @@ CHECKSUM = {2: 1}
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """Array of (start, span): what lies between matches is as long as split says, so no position is searched again."""
+    """Array of (start, span, left, after): the match, up to BEFORE characters in front of it and the one behind it.
+
+    What lies between matches is as long as split says, so no position is
+    searched again, and what stands beside a match is taken from its neighbours:
+    the text is never read from its front for one span.
+    """
     spans = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    kind = "array<struct<start:int,span:string,left:string,after:string>>"
 
     def placed(found: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        ends = lambda g: F.aggregate(
-            F.sequence(F.lit(0), F.size(found) - 1),
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,span:string>>").alias("out")),
-            lambda acc, i: F.struct((acc["at"] + F.length(F.get(g, i)) + F.length(F.get(found, i))).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(F.get(g, i))).alias("start"), F.get(found, i).alias("span")))).alias("out")),
-        )["out"]
-        return F.when(F.size(found) > 0, let(gaps, ends)).otherwise(F.array().cast("array<struct<start:int,span:string>>"))
+        def of_gaps(gaps: Column) -> Column:
+            lengths = F.transform(found, lambda x, i: F.length(F.get(gaps, i)) + F.length(x))
+            # a match has a character at least, so BEFORE pieces reach back far enough
+            tails = F.transform(found, lambda x, i: F.right(F.concat(F.get(gaps, i), x), F.lit(BEFORE)))
+
+            def described(starts: Column, tails: Column) -> Column:
+                def one(x: Column, i: Column) -> Column:
+                    gap = F.get(gaps, i)
+                    past = F.slice(tails, F.greatest(i - BEFORE, F.lit(0)) + 1, F.least(i, F.lit(BEFORE)))
+                    left = F.right(F.concat(F.array_join(past, ""), F.right(gap, F.lit(BEFORE))), F.lit(BEFORE))
+                    after = F.substr(F.concat(F.get(gaps, i + 1), F.coalesce(F.get(found, i + 1), F.lit(""))), F.lit(1), F.lit(1))
+                    return F.struct((F.get(starts, i) + F.length(gap)).alias("start"), x.alias("span"), left.alias("left"), after.alias("after"))
+
+                return F.transform(found, one)
+
+            begun = lambda n: running(n, lambda a, b: a + b, 0)
+            return let(F.struct(lengths.alias("n"), tails.alias("t")), lambda x: let(F.struct(begun(x["n"]).alias("s"), x["t"].alias("t")), lambda y: described(y["s"], y["t"])))
+
+        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), of_gaps)).otherwise(F.array().cast(kind))
 
     return let(spans, placed)
 
 
+def _apart(wide: Column, base: Column) -> Column:
+    """Those of wide that no span of base overlaps; each list is in order and without overlap.
+
+    Of all base spans that begin before a wide one ends, the last reaches furthest: one running greatest end decides.
+    """
+    event = lambda at, of: F.struct(at.alias("at"), of.alias("of"))
+    # at one place a wide span's end comes before a base span's start
+    events = F.sort_array(F.concat(F.transform(wide, lambda x: event(x["end"], F.struct(F.lit(False).alias("base"), x.alias("span")))), F.transform(base, lambda x: event(x["start"], F.struct(F.lit(True).alias("base"), x.alias("span"))))))
+
+    def free(e: Column) -> Column:
+        ends = F.transform(e, lambda x: F.when(x["of"]["base"], x["of"]["span"]["end"]).otherwise(-1))
+        return let(let(ends, lambda x: running(x, F.greatest, -1)), lambda r: F.transform(F.filter(e, lambda x, i: ~x["of"]["base"] & (F.get(r, i) <= x["of"]["span"]["start"])), lambda x: x["of"]["span"]))
+
+    return F.when((F.size(wide) > 0) & (F.size(base) > 0), let(events, free)).otherwise(wide)
+
+
 def digits(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]+", "")
 
@@ -153,10 +188,8 @@ def candidates(docs: DataFrame) -> DataFrame:
         def one(x: Column) -> Column:
             span, start = x["span"], x["start"]
             end = start + F.length(span)
-            left = F.lower(F.substr(text, F.greatest(start - BEFORE, F.lit(0)) + 1, F.least(start, F.lit(BEFORE))))
-            beside = F.substr(text, F.greatest(start, F.lit(1)), F.when(start > 0, 1).otherwise(0))
-            after = F.substr(text, end + 1, F.lit(1))
-            free = ~(F.concat(beside, F.lit(" "), after).rlike(r"[0-9A-Za-z]"))
+            left = F.lower(x["left"])
+            free = ~(F.concat(F.right(x["left"], F.lit(1)), F.lit(" "), x["after"]).rlike(r"[0-9A-Za-z]"))
             votes = (
                 _strict(kind, span),
                 _checked(kind, span),
@@ -177,18 +210,17 @@ def candidates(docs: DataFrame) -> DataFrame:
 
         return F.transform(found, one)
 
-    def of_kind(at: int, kind: str) -> Column:
-        base = F.filter(_found(text, BASE[kind]), lambda x: base_holds(kind, x["span"]))
-        marked = described(kind, base, True, at)
-        if kind not in WIDE:
-            return marked
-        wide = described(kind, _found(text, WIDE[kind]), False, at)
-        # both lists are in order and without overlap: the few spans of a text are compared directly
-        apart = lambda b: F.filter(wide, lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-        return let(marked, lambda b: F.sort_array(F.concat(b, apart(b))))
-
-    sets = [of_kind(at, kind) for at, kind in enumerate(KINDS)]
-    return docs.withColumn("spans", F.concat(*sets))
+    # in three steps, whose columns are the few spans of a text
+    prefix = "pii"
+    while any(c.lower().startswith(f"{prefix}_") for c in docs.columns):
+        prefix += "x"
+    held = {(kind, base): f"{prefix}_{kind}_{'base' if base else 'wide'}" for base, of in ((True, BASE), (False, WIDE)) for kind in of}
+    holding = lambda kind, c: F.filter(c, lambda x: base_holds(kind, x["span"]))
+    found = docs.withColumns({c: _found(text, (BASE if base else WIDE)[kind]) for (kind, base), c in held.items()})
+    named = found.withColumns({c: described(kind, holding(kind, c) if base else F.col(c), base, KINDS.index(kind)) for (kind, base), c in held.items()})
+    merged = lambda b, w: F.sort_array(F.concat(b, _apart(F.col(w), F.col(b))))
+    sets = [merged(held[k, True], held[k, False]) if k in WIDE else F.col(held[k, True]) for k in KINDS]
+    return named.withColumn("spans", F.concat(*sets)).drop(*held.values())
 
 
 @dataclass
@@ -236,21 +268,18 @@ def fit_spans(rows: dict[tuple[int, int, int], int], model: LabelModel, rounds:
 
     rows: (kind, votes, shape) -> count, one for each combination that occurs.
     """
-    weights: dict[tuple, float] = {}
-    cases = []
-    for (kind, votes, shape), n in sorted(rows.items()):
-        keys = [(kind,), *((kind, "shape", i, v) for i, v in enumerate(unpack(shape, 4, SHAPES))), *((kind, "vote", i, v) for i, v in enumerate(unpack(votes, 3, LABELERS)))]
-        cases.append((keys, model.posterior(kind, unpack(votes, 3, LABELERS)), n))
-    total = {k: sum(n for keys, _, n in cases if keys[0] == (k,)) for k in range(len(KINDS))}
+    known: dict[tuple, int] = {}
+    cases = sorted(rows)
+    at = np.array([[known.setdefault(k, len(known)) for k in ((kind,), *((kind, "shape", i, v) for i, v in enumerate(unpack(shape, 4, SHAPES))), *((kind, "vote", i, v) for i, v in enumerate(unpack(votes, 3, LABELERS))))] for kind, votes, shape in cases])
+    want = np.array([model.posterior(kind, unpack(votes, 3, LABELERS)) for kind, votes, _ in cases])
+    n, kinds = np.array([rows[c] for c in cases], float), np.array([c[0] for c in cases])
+    share = n / np.bincount(kinds, n, len(KINDS))[kinds]
+    weights = np.zeros(len(known))
     for _ in range(rounds):
-        step: dict[tuple, float] = {}
-        for keys, want, n in cases:
-            p = 1 / (1 + math.exp(-max(-50.0, min(50.0, sum(weights.get(k, 0.0) for k in keys)))))
-            for k in keys:
-                step[k] = step.get(k, 0.0) + n * (want - p) / total[k[0]]
-        for k, g in step.items():
-            weights[k] = 0.999 * weights.get(k, 0.0) + rate * g / 2
-    return weights
+        p = 1 / (1 + np.exp(-np.clip(weights[at].sum(axis=1), -50, 50)))
+        step = np.bincount(at.reshape(-1), np.repeat(share * (want - p), at.shape[1]), len(known))
+        weights = 0.999 * weights + rate * step / 2
+    return {k: float(weights[i]) for k, i in known.items()}
 
 
 def score_span(weights: dict[tuple, float], span: Column) -> Column:
@@ -300,15 +329,20 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         aside += "_"
     found = find(docs.withColumnRenamed(own, aside) if own else docs, threshold)
 
-    def step(acc: Column, s: Column) -> Column:
-        text = F.col("text")
-        # a span that begins inside the last one only lengthens it
-        out = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
+    text = F.col("text")
     in_order = F.array_sort("spans", lambda l, r: F.when(l["start"] != r["start"], l["start"] - r["start"]).otherwise(l["end"] - r["end"]))
-    done = F.aggregate(in_order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    whole = let(done, lambda d: F.concat(d["out"], F.substr(F.col("text"), d["at"] + 1, F.length(F.col("text")))))
+    found = found.withColumn("spans", in_order)
+
+    def written(pieces: Column) -> Column:
+        # a span that begins inside those before it only lengthens them
+        def heads(reach: Column) -> Column:
+            named = F.transform("spans", lambda s, i: F.struct(F.get(reach, i).alias("since"), s["start"].alias("start"), s["kind"].alias("kind")))
+            return F.array_join(F.transform(F.filter(named, lambda s: s["start"] >= s["since"]), lambda s: F.concat(text_between(pieces, s["since"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))), "")
+
+        ends = F.transform("spans", lambda s: s["end"])
+        return F.concat(let(let(ends, lambda x: running(x, F.greatest, 0)), heads), text_between(pieces, F.array_max(ends), F.length(text)))
+
+    whole = let(cut_text(text), written)
     out = found.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))).drop("spans")
     out = out.withColumnRenamed(aside, own) if own else out
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

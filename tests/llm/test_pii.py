@@ -127,3 +127,52 @@ def test_what_the_method_adds_to_the_base(spark):
     want = {(i, *p) for i, p in planted.items() if p not in base(rows[i][1])}
     assert len(want) > 300
     assert len(added & want) >= 0.95 * len(want) and len(added & want) >= 0.95 * len(added), (sorted(want - added)[:5], sorted(added - want)[:5])
+
+
+def test_running_and_pieces(spark):
+    import itertools
+    import random
+
+    from cohortica.llm import common
+
+    rng = random.Random(9)
+    rows = [(i, [rng.randrange(-5, 9) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 511, 512, 513, 1300, 20000])]
+    df = spark.createDataFrame(rows, "i int, x array<int>")
+    got = df.select("i", common.running(F.col("x"), lambda a, b: a + b, 0).alias("s"), common.running(F.col("x"), F.greatest, -1).alias("m")).collect()
+    for r in got:
+        x = rows[r.i][1]
+        assert r.s == [0, *itertools.accumulate(x)][: len(x)] and r.m == [-1, *itertools.accumulate([-1, *x], max)][1 : len(x) + 1], len(x)
+    text = "".join(rng.choice("aé漢😀\n") for _ in range(2000))
+    at = [tuple(sorted((rng.randrange(2001), rng.randrange(2001)))) for _ in range(200)] + [(0, 0), (2000, 2000), (256, 512), (0, 2000)]
+    cut = spark.createDataFrame([(text, a, b) for a, b in at], "t string, a int, b int").select("a", "b", common.text_between(common.cut_text(F.col("t")), F.col("a"), F.col("b")).alias("p")).collect()
+    assert all(r.p == text[r.a : r.b] for r in cut) and len(cut) == len(at)
+
+
+def test_apart_is_what_no_base_span_overlaps(spark):
+    import random
+
+    rng = random.Random(10)
+
+    def spans(n):
+        at = sorted(rng.sample(range(400), 2 * n))
+        return [(a, b) for a, b in zip(at[::2], at[1::2], strict=True)]
+
+    rows = [(spans(rng.randrange(0, 60)), spans(rng.randrange(0, 60))) for _ in range(120)]
+    df = spark.createDataFrame(rows, "w array<struct<start:int,end:int>>, b array<struct<start:int,end:int>>")
+    for r in df.select("w", "b", pii._apart(F.col("w"), F.col("b")).alias("free")).collect():
+        assert [tuple(x) for x in r.free] == [tuple(x) for x in r.w if not any(y[0] < x[1] and x[0] < y[1] for y in r.b)]
+
+
+def test_time_follows_the_spans_of_a_text(spark):
+    """A text of twice the spans takes at most 2.5 times as long, to find and to redact."""
+    import time
+
+    line = lambda i: f"{i} é a{i}@b{i}.com, +1 212 555 {i % 9000 + 1000}, 10.{i % 250}.0.1, 4{i:015d}; (212) 555-{i % 9000 + 1000}\n"
+    took = {}
+    for n in (100, 1500, 3000):
+        docs = spark.createDataFrame([(1, "".join(map(line, range(n))))], "doc_id long, text string")
+        began = time.perf_counter()
+        redacted = pii.redact(docs).first().text
+        took[n] = time.perf_counter() - began
+        assert redacted.count("[EMAIL]") == n and redacted.count("\n") == n
+    assert took[3000] <= 2.5 * took[1500], took
