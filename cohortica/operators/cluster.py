@@ -1,11 +1,12 @@
-"""Clusterings: k-means over all rows; k-medoids and average linkage on a sample, whose result is carried to all rows.
+"""Clusterings: k-means and k-medoids over all rows; grids of models on a sample, whose result is carried to all rows.
 
-Each of the many models of a grid is a task of its own (applyInPandas over model
-ids), on a sample of bounded size that is part of the task table's closure.
+Each of the many fits of a grid, of its resamples and of its reference sets is a
+unit of its own (units.run_units), on a sample of bounded size that each task gets once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortica import config
 from cohortica.operators import validity
+from cohortica.operators.units import resample, run_units, uniform
 
 S = config.SETTINGS
 
@@ -27,15 +29,20 @@ def _nearest(columns: list[str], centres: np.ndarray) -> Column:
 def kmeans(df: DataFrame, key: str, columns: list[str], k: int, starts: int = S.kmeans_starts, steps: int = S.kmeans_steps, seed: int = S.seed, sample: int = S.sample_rows, tolerance: float = 1e-3) -> DataFrame:
     """key, cluster (1..k in order of the first centre coordinate) of all rows; columns without nulls.
 
-    The starts run on a bounded sample, where they are cheap; the best of them
+    Every ten starts are a unit on a bounded sample, where they are cheap; the best of them
     then moves over all rows, one aggregate of k rows a step, until no centre moves further than the tolerance.
     """
     from cohortica.operators.distance import sample_rows
 
+    def start(first: int) -> Iterator[tuple]:
+        labels, cost = kmeans_rows(sent.value, k, min(10, starts - first), np.random.default_rng([seed, k, first]))
+        yield first, cost, labels.tolist()
+
     x = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).persist()
     try:
         rows = sample_rows(x, key, sample, seed).toPandas().sort_values(key)[columns].to_numpy(float)
-        labels, _ = kmeans_rows(rows, k, starts, np.random.default_rng(seed + k))
+        sent = df.sparkSession.sparkContext.broadcast(rows)  # at most `sample` rows
+        labels = np.array(run_units(df.sparkSession, [(i,) for i in range(0, starts, 10)], "first int", start, "first int, cost double, labels array<int>").orderBy("cost", "first").first()["labels"])
         centres = np.array([rows[labels == i].mean(axis=0) if (labels == i).any() else rows[i % len(rows)] for i in range(1, k + 1)])
         for _ in range(steps):
             moved = centres.copy()
@@ -183,61 +190,114 @@ def model_grid(df: DataFrame, key: str, sets: dict[str, list[str]], methods: tup
 
     k-medoids and average linkage for each set, k and distance other than
     euclidean, k-means for euclidean, over a sample of at most `sample` rows. A
-    task makes one distance matrix and one tree, and cuts it for every k.
+    unit is a set, a distance, a method and, but for trees, a k; one tree is cut for every k.
     """
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast(_sampled(df, key, sets, sample, seed))  # at most `sample` rows
-    tasks = spark.createDataFrame([(f"{s}|{m}", s, m) for s in sets for m in methods], "task string, feature_set string, distance string")
+    units = [(s, m, name, of) for s in sets for m in methods for name in (("kmeans",) if m == "euclidean" else ("pam", "hierarchical")) for of in ([list(ks)] if name == "hierarchical" else [[k] for k in ks])]
     schema = "model_id string, feature_set string, method string, distance string, k int, average_silhouette double, minimum_silhouette double, negative_share double, elapsed_seconds double, assignment array<struct<id:string,cluster:int>>"
 
-    def run(pdf):
+    def run(s: str, m: str, name: str, of: list[int]) -> Iterator[tuple]:
         import time
 
-        import pandas as pd
-
         ids, held = sent.value
-        rows = []
-        for s, m in zip(pdf["feature_set"], pdf["distance"], strict=True):
-            raw = np.column_stack([held[c] for c in sets[s]])
-            d = distance_matrix(raw if m == "gower" else scaled_columns(raw), m)
-            tree = None if m == "euclidean" else average_linkage(d)
-            for k in (k for k in ks if k < len(raw)):
-                fits = {"kmeans": lambda k=k, x=raw: fit_labels(x, "kmeans", "euclidean", k, starts, seed)} if m == "euclidean" else {"pam": lambda k=k, d=d: pam(d, k)[1], "hierarchical": lambda k=k, t=tree: cut(t, len(ids), k)}
-                for name, fit in fits.items():
-                    began = time.perf_counter()
-                    labels = fit()
-                    w = mean_silhouette(d, labels)
-                    rows.append((f"{s}|{name}|{m}|{k}", s, name, m, k, w.mean(), w.min(), (w < 0).mean(), time.perf_counter() - began, [{"id": str(i), "cluster": int(c)} for i, c in zip(ids, labels, strict=True)]))
-        return pd.DataFrame(rows, columns=[f.split(" ")[0] for f in schema.split(", ")])
-
-    return tasks.groupBy("task").applyInPandas(run, schema)
-
-
-def validate_models(df: DataFrame, key: str, sets: dict[str, list[str]], models: DataFrame, s: config.Settings = S, sample: int = S.sample_rows) -> DataFrame:
-    """model_id, cluster, mean_jaccard, minimum_jaccard, calinski_harabasz, davies_bouldin, gap, gap_standard_error: a row per cluster of each of models (model_id, feature_set, method, distance, k).
-
-    Each model is a task: it is fitted again to resamples, each scaled anew, of
-    the grid's sample.
+        raw = np.column_stack([held[c] for c in sets[s]])
+        d = distance_matrix(raw if m == "gower" else scaled_columns(raw), m)
+        tree = average_linkage(d) if name == "hierarchical" else None
+        for k in (int(k) for k in of if k < len(raw)):
+            began = time.perf_counter()
+            labels = cut(tree, len(ids), k) if name == "hierarchical" else pam(d, k)[1] if name == "pam" else fit_labels(raw, "kmeans", "euclidean", k, starts, seed)
+            w = mean_silhouette(d, labels)
+            yield f"{s}|{name}|{m}|{k}", s, name, m, k, w.mean(), w.min(), (w < 0).mean(), time.perf_counter() - began, [{"id": str(i), "cluster": int(c)} for i, c in zip(ids, labels, strict=True)]
+
+    return run_units(spark, units, "feature_set string, distance string, method string, of array<int>", run, schema)
+
+
+def validate_models(df: DataFrame, key: str, sets: dict[str, list[str]], models: DataFrame, s: config.Settings = S, sample: int = S.sample_rows, finished: DataFrame | None = None) -> DataFrame:
+    """model_id, cluster, mean_jaccard, median_jaccard, minimum_jaccard, sd_jaccard, calinski_harabasz, davies_bouldin, gap, gap_standard_error: a row per cluster of each of models (model_id, feature_set, method, distance, k).
+
+    Each fit is a unit: of every model to the grid's sample, of every model to each
+    resample of it, scaled anew, and of k-means to each reference set of a feature set and k.
+    finished: what an earlier call of resampled() wrote; its (model, round) units aren't run again.
+    """
+    spark = df.sparkSession
+    chosen = [tuple(r) for r in models.select("model_id", "feature_set", "method", "distance", "k").collect()]  # at most validated_models
+    sent = spark.sparkContext.broadcast(_sampled(df, key, sets, sample, s.seed))
+    fitted = fit_models(spark, chosen, sets, sent, s).collect()
+    # resamples start k-means fewer times: hundreds of fits replace the best of many
+    matched = resampled(spark, chosen, sets, sent, {r["model_id"]: np.array(r["labels"]) for r in fitted}, s.bootstrap_rounds, s.resample_share, s.seed, finished)
+    gaps = gap_of_sets(spark, sorted({(f, k) for _, f, _, _, k in chosen}), sets, sent, s.gap_rounds, s.seed)
+    own = spark.createDataFrame([(r["model_id"], f, k, r["calinski_harabasz"], r["davies_bouldin"]) for r in fitted for m, f, _, _, k in chosen if m == r["model_id"]], "model_id string, feature_set string, k int, calinski_harabasz double, davies_bouldin double")
+    shared = own.join(F.broadcast(gaps), ["feature_set", "k"]).drop("feature_set", "k")  # a row a model
+    return jaccard_summary(matched).join(F.broadcast(shared), "model_id")
+
+
+def fit_models(spark, chosen: list[tuple], sets: dict[str, list[str]], sent, s: config.Settings = S) -> DataFrame:
+    """model_id, labels (1..k of the sent rows), calinski_harabasz, davies_bouldin of each of chosen (model_id, feature_set, method, distance, k)."""
+
+    def run(model: str, f: str, method: str, distance: str, k: int) -> Iterator[tuple]:
+        raw = np.column_stack([sent.value[1][c] for c in sets[f]])
+        labels = fit_labels(raw, method, distance, k, s.kmeans_starts, s.seed)
+        yield model, labels.tolist(), *separation(scaled_columns(raw), labels)
+
+    return run_units(spark, chosen, MODEL_UNIT, run, "model_id string, labels array<int>, calinski_harabasz double, davies_bouldin double")
+
+
+#: Columns that name a model's unit.
+MODEL_UNIT = "model_id string, feature_set string, method string, distance string, k int"
+
+
+def resampled(spark, chosen: list[tuple], sets: dict[str, list[str]], sent, labels: dict[str, np.ndarray], rounds: int = S.bootstrap_rounds, share: float = S.resample_share, seed: int = S.seed, finished: DataFrame | None = None) -> DataFrame:
+    """model_id, round, cluster, jaccard: likeness of each reference cluster (labels) to its match in a refit to each resample with replacement.
+
+    A unit is a model and a round, and the rows of a round are a hash of its number:
+    every model meets the same ones, on any number of tasks. Units in finished
+    (what this gave before) are taken from there.
     """
-    sent = df.sparkSession.sparkContext.broadcast(_sampled(df, key, sets, sample, s.seed))
-    schema = "model_id string, cluster int, mean_jaccard double, minimum_jaccard double, calinski_harabasz double, davies_bouldin double, gap double, gap_standard_error double"
 
-    def run(pdf):
-        import pandas as pd
+    def run(model: str, f: str, method: str, distance: str, k: int, b: int) -> Iterator[tuple]:
+        raw, reference = np.column_stack([sent.value[1][c] for c in sets[f]]), labels[model]
+        at = resample(seed, len(raw), int(share * len(raw)), b)
+        new, old = fit_labels(raw[at], method, distance, k, 5, seed), reference[at]
+        cells = [(int(x), int(y), float(((old == x) & (new == y)).sum() / ((old == x) | (new == y)).sum())) for x in np.unique(old) for y in np.unique(new)]
+        found = validity.match_clusters(cells)
+        for c in np.unique(reference):
+            yield model, b, int(c), found.get(int(c), (None, 0.0))[1]
+
+    units = [(*m, b) for m in chosen for b in range(rounds)]
+    schema = "model_id string, round int, cluster int, jaccard double"
+    if finished is None:
+        return run_units(spark, units, f"{MODEL_UNIT}, round int", run, schema)
+    of = {m[0]: m for m in chosen}
+    done = spark.createDataFrame([(*of[r["model_id"]], r["round"]) for r in finished.select("model_id", "round").distinct().collect() if r["model_id"] in of], f"{MODEL_UNIT}, round int")
+    return run_units(spark, units, f"{MODEL_UNIT}, round int", run, schema, done).unionByName(finished.select("model_id", "round", "cluster", "jaccard"))
 
-        _, held = sent.value
-        rows = []
-        for m in pdf.itertuples():
-            raw = np.column_stack([held[c] for c in sets[m.feature_set]])
-            # resamples start k-means fewer times: hundreds of fits replace the best of many
-            labels = fit_labels(raw, m.method, m.distance, m.k, s.kmeans_starts, s.seed)
-            found = bootstrap_stability(raw, labels, lambda a, m=m: fit_labels(a, m.method, m.distance, m.k, 5, s.seed), s.bootstrap_rounds, s.resample_share, s.seed)
-            x = scaled_columns(raw)
-            shared = (*separation(x, labels), *gap_statistic(x, m.k, s.gap_rounds, seed=s.seed))
-            rows += [(m.model_id, r["cluster"], r["mean_jaccard"], r["minimum_jaccard"], *shared) for r in found]
-        return pd.DataFrame(rows, columns=[f.split(" ")[0] for f in schema.split(", ")])
 
-    return models.select("model_id", "feature_set", "method", "distance", "k").groupBy("model_id").applyInPandas(run, schema)
+def jaccard_summary(matched: DataFrame) -> DataFrame:
+    """model_id, cluster, mean, median, minimum, sd of resampled()'s jaccard over rounds."""
+    j = F.col("jaccard")
+    return matched.groupBy("model_id", "cluster").agg(F.avg(j).alias("mean_jaccard"), F.percentile(j, 0.5).alias("median_jaccard"), F.min(j).alias("minimum_jaccard"), F.stddev_samp(j).alias("sd_jaccard"))
+
+
+def gap_of_sets(spark, wanted: list[tuple[str, int]], sets: dict[str, list[str]], sent, rounds: int = S.gap_rounds, seed: int = S.seed, starts: int = 5) -> DataFrame:
+    """feature_set, k, gap, gap_standard_error of k-means on the sent rows, scaled, for each of wanted (feature_set, k).
+
+    A unit is a feature set, k and round: round -1 is the rows themselves, the others
+    uniform sets over their ranges, each number a hash of round, row and column.
+    """
+
+    def run(f: str, k: int, b: int) -> Iterator[tuple]:
+        x = scaled_columns(np.column_stack([sent.value[1][c] for c in sets[f]]))
+        if b >= 0:
+            u = uniform(seed, b, np.arange(x.shape[0])[:, None], np.arange(x.shape[1])[None, :])
+            x = x.min(axis=0) + u * (x.max(axis=0) - x.min(axis=0))
+        yield f, k, b, float(np.log(max(_kmeans_cost(x, min(k, len(x)), starts, np.random.default_rng([seed, k, b + 1])), 1e-300)))
+
+    logs = run_units(spark, [(f, k, b) for f, k in wanted for b in range(-1, rounds)], "feature_set string, k int, round int", run, "feature_set string, k int, round int, log_cost double")
+    log, n = F.col("log_cost"), F.count_if(F.col("round") >= 0)
+    uniform_log = F.when(F.col("round") >= 0, log)
+    made = logs.groupBy("feature_set", "k").agg((F.avg(uniform_log) - F.max(F.when(F.col("round") < 0, log))).alias("gap"), (F.sqrt(1 + 1 / n) * F.coalesce(F.stddev_samp(uniform_log), F.lit(0.0))).alias("gap_standard_error"))
+    return made
 
 
 def separation(x: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -259,25 +319,126 @@ def carry_over(df: DataFrame, sample: DataFrame, key: str, columns: list[str], c
     return validity.nearest_centroid(df, centres, key, columns, cluster)
 
 
-def bootstrap_stability(x: np.ndarray, reference: np.ndarray, fit, rounds: int = S.bootstrap_rounds, share: float = S.resample_share, seed: int = S.seed) -> list[dict]:
-    """mean, median, least Jaccard likeness of each reference cluster over refits to resamples. x: a bounded sample; fit: rows -> labels."""
-    rng, out = np.random.default_rng(seed), {int(c): [] for c in np.unique(reference)}
-    for _ in range(rounds):
-        at = rng.integers(0, len(x), int(share * len(x)))
-        new, old = fit(x[at]), reference[at]
-        cells = [(int(a), int(b), float(((old == a) & (new == b)).sum() / ((old == a) | (new == b)).sum())) for a in np.unique(old) for b in np.unique(new)]
-        matched = validity.match_clusters(cells)
-        for c in out:
-            out[c].append(matched.get(c, (None, 0.0))[1])
-    return [{"cluster": c, "mean_jaccard": float(np.mean(v)), "median_jaccard": float(np.median(v)), "minimum_jaccard": float(np.min(v)), "sd_jaccard": float(np.std(v, ddof=1)) if len(v) > 1 else None} for c, v in out.items()]
-
-
-def gap_statistic(x: np.ndarray, k: int, rounds: int = S.gap_rounds, starts: int = 5, seed: int = S.seed) -> tuple[float, float]:
-    """Gap of k-means on a bounded sample against uniform sets over its ranges."""
-    rng = np.random.default_rng(seed + k)
-    low, high = x.min(axis=0), x.max(axis=0)
-    logs = [float(np.log(max(_kmeans_cost(rng.uniform(low, high, x.shape), k, starts, rng), 1e-300))) for _ in range(rounds)]
-    return validity.gap(float(np.log(max(_kmeans_cost(x, k, starts, rng), 1e-300))), logs)
+def bootstrap_stability(df: DataFrame, key: str, columns: list[str], method: str, distance: str, k: int, rounds: int = S.bootstrap_rounds, share: float = S.resample_share, sample: int = S.sample_rows, seed: int = S.seed) -> DataFrame:
+    """cluster, mean_jaccard, median_jaccard, minimum_jaccard, sd_jaccard of one model on at most `sample` rows over refits to resamples."""
+    spark, sets, model = df.sparkSession, {"all": columns}, [("model", "all", method, distance, k)]
+    sent = spark.sparkContext.broadcast(_sampled(df, key, sets, sample, seed))
+    labels = fit_models(spark, model, sets, sent).first()["labels"]
+    return jaccard_summary(resampled(spark, model, sets, sent, {"model": np.array(labels)}, rounds, share, seed)).drop("model_id")
+
+
+def gap_statistic(df: DataFrame, key: str, columns: list[str], ks: tuple[int, ...] = S.k_values, rounds: int = S.gap_rounds, sample: int = S.sample_rows, seed: int = S.seed) -> DataFrame:
+    """k, gap, gap_standard_error of k-means on at most `sample` rows, scaled, against uniform sets over their ranges."""
+    sets = {"all": columns}
+    sent = df.sparkSession.sparkContext.broadcast(_sampled(df, key, sets, sample, seed))
+    return gap_of_sets(df.sparkSession, [("all", k) for k in ks], sets, sent, rounds, seed).drop("feature_set")
+
+
+def _to(rows: np.ndarray, points: np.ndarray, distance: str) -> np.ndarray:
+    """Distances of rows to points; gower: both divided by the ranges before."""
+    d = np.zeros((len(rows), len(points)))
+    for c in range(rows.shape[1]):
+        t = rows[:, c][:, None] - points[:, c][None, :]
+        d += t * t if distance == "euclidean" else np.abs(t)
+    return np.sqrt(d) if distance == "euclidean" else d / rows.shape[1] if distance == "gower" else d
+
+
+def k_medoids(df: DataFrame, key: str, columns: list[str], k: int, distance: str = "manhattan", samples: int = 5, sample: int = 400, candidates: int = 64, patience: int = 3, most_swaps: int = 200, seed: int = S.seed) -> DataFrame:
+    """key, cluster (1..k in order of the medoids' coordinates), distance to its medoid, of all rows; columns without nulls, key unique.
+
+    Medoids begin as the best over all rows of those that k-medoids finds on several
+    samples, a unit each. Then rows are drawn as candidates and the gain of each swap of
+    a medoid for a candidate is summed over all rows in one job, each row with its nearest
+    and second nearest medoid; the best swap is made as long as one helps, and
+    new candidates are drawn until `patience` draws in a row have none that
+    helps. A table of at most `sample` rows is its own sample and one of at most
+    `candidates` rows its own draw: no swap of any row helps there at the end.
+    """
+    from cohortica.operators.distance import sample_rows
+
+    if distance not in ("euclidean", "manhattan", "gower"):
+        raise ValueError(f"unknown distance: {distance}")
+    spark = df.sparkSession
+    x = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).persist()
+    term = (lambda t: t * t) if distance == "euclidean" else F.abs
+    total = lambda m: reduce(lambda s, i: s + term(F.col(columns[i]).cast("double") / float(by[i]) - float(m[i])), range(len(columns)), F.lit(0.0))
+    whole = lambda d: F.sqrt(d) if distance == "euclidean" else d / len(columns) if distance == "gower" else d
+    nearest = lambda points: F.array_min(F.array(*[F.struct(whole(total(m)).alias("d"), F.lit(i).alias("i")) for i, m in enumerate(points, 1)]))
+    try:
+        one = x.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(c) for c in columns]).first()
+        n, by = one["n"], np.array([one[c] or 1.0 if distance == "gower" else 1.0 for c in columns])
+        if n == 0:
+            return df.select(key, F.lit(1).alias("cluster"), F.lit(0.0).alias("distance"))
+        k = min(k, n)
+        drawn = lambda rows, s: sample_rows(x, key, rows, s).toPandas().sort_values(key)[columns].to_numpy(float) / by
+        held = spark.sparkContext.broadcast([drawn(sample, seed + i) for i in range(samples if n > sample else 1)])
+
+        def begin(i: int) -> Iterator[tuple]:
+            rows = held.value[i]
+            yield i, [rows[m].tolist() for m in pam(distance_matrix(rows, distance if distance != "gower" else "manhattan"), min(k, len(rows)))[0]]
+
+        found = run_units(spark, [(i,) for i in range(len(held.value))], "sample int", begin, "sample int, medoids array<array<double>>").orderBy("sample").collect()
+        sets = [np.array(r["medoids"]) for r in found]
+
+        def summed(run, shape: tuple[int, int]) -> np.ndarray:
+            """The sum over tasks of a small matrix that run makes of rows."""
+
+            def task(frames: Iterator) -> Iterator:
+                import pandas as pd
+
+                total = np.zeros(shape)
+                for f in frames:
+                    if len(f):
+                        total += run(f[columns].to_numpy(float) / by)
+                yield pd.DataFrame({"i": np.repeat(np.arange(shape[0]), shape[1]), "j": np.tile(np.arange(shape[1]), shape[0]), "v": total.ravel()})
+
+            out = np.zeros(shape)
+            for r in x.select(*columns).mapInPandas(task, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+                out[r["i"], r["j"]] = r["v"]
+            return out
+
+        costs = summed(lambda rows: np.array([[_to(rows, m, distance).min(axis=1).sum() for m in sets]]), (1, len(sets)))[0]
+        medoids, cost = sets[int(costs.argmin())], float(costs.min())
+
+        def gains(rows: np.ndarray) -> np.ndarray:
+            """Change of the cost by each swap (candidate, medoid); in the last row the cost itself."""
+            to = _to(rows, medoids, distance)
+            order = np.argsort(to, axis=1, kind="stable")
+            at = np.arange(len(rows))
+            near, first = order[:, 0], to[at, order[:, 0]]
+            second = to[at, order[:, 1]] if k > 1 else np.full(len(rows), np.inf)
+            d = _to(rows, pool, distance)
+            any_ = np.minimum(d - first[:, None], 0)
+            member = (near[:, None] == np.arange(len(medoids))).astype(float)
+            # a row of the medoid that goes: the candidate or its second nearest; any other row: the candidate if nearer
+            own = np.minimum(d, second[:, None]) - first[:, None] - any_
+            return np.vstack([any_.sum(axis=0)[:, None] + own.T @ member, np.full((1, len(medoids)), first.sum())])
+
+        def central() -> np.ndarray:
+            """Of each cluster, the row nearest to its middle in every coordinate."""
+            near = x.select(*columns, nearest(medoids)["i"].alias("__i"))
+            middles = {r["__i"]: np.array(r["m"]) / by for r in near.groupBy("__i").agg(F.array(*[F.percentile_approx(c, 0.5) for c in columns]).alias("m")).collect()}
+            off = reduce(lambda out, i: F.when(F.col("__i") == i, total(middles[i])).otherwise(out), middles, F.lit(0.0))
+            return np.array([r["row"] for r in near.groupBy("__i").agg(F.min_by(F.array(*columns), off).alias("row")).collect()]) / by
+
+        draw = tries = swaps = 0
+        while tries < (patience if n > candidates else 1) and swaps < most_swaps:
+            pool = drawn(candidates, seed + 1000 + draw)
+            if n > candidates:
+                pool = np.unique(np.vstack([pool, central(), *(sets if draw == 0 else [])]), axis=0)
+            draw, helped = draw + 1, False
+            while swaps < most_swaps:
+                g = summed(gains, (len(pool) + 1, len(medoids)))
+                c, m = np.unravel_index(int(g[:-1].argmin()), g[:-1].shape)
+                if g[c, m] >= -1e-9 * max(cost, 1e-12):
+                    break
+                medoids, cost, helped, swaps = medoids.copy(), float(g[-1, 0] + g[c, m]), True, swaps + 1
+                medoids[m] = pool[c]
+            tries = 0 if helped else tries + 1
+    finally:
+        x.unpersist()
+    medoids = medoids[np.lexsort(medoids.T[::-1])]
+    return df.select(key, nearest(medoids).alias("__best")).select(key, F.col("__best.i").alias("cluster"), F.col("__best.d").alias("distance"))
 
 
 def _kmeans_cost(x: np.ndarray, k: int, starts: int, rng: np.random.Generator, steps: int = 50) -> float:

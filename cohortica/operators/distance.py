@@ -1,4 +1,4 @@
-"""Pairwise distances of a bounded sample of rows, and what their distribution says."""
+"""Distances of all pairs of rows or of drawn ones, and what their distribution says."""
 
 from __future__ import annotations
 
@@ -32,35 +32,104 @@ def _distance(method: str, n: int, a: Column, b: Column) -> Column:
     return F.sqrt(total) if method == "euclidean" else total / n if method == "gower" else total
 
 
-def pairwise_many(df: DataFrame, key: str, columns: list[str], methods: tuple[str, ...] = METHODS, block: int = 256) -> DataFrame:
+#: Rows of a block at most, on average: a task of pairwise_many holds two blocks, whatever the table's size.
+BLOCK_ROWS, LEAST_BLOCKS = 2048, 8
+
+
+def pairwise_many(df: DataFrame, key: str, columns: list[str], methods: tuple[str, ...] = METHODS) -> DataFrame:
     """id_a < id_b and a column for each method. Numeric columns without nulls, scaled by the caller but for gower, which divides by each column's range.
 
     Every pair is the answer here, so the work is quadratic; rows are dealt to blocks
-    and blocks meet by an equality join, so that a task holds two blocks of rows
-    rather than the whole of one side.
+    of bounded size and blocks meet by an equality join, so that a task holds two
+    blocks of rows, and tasks grow in number, not in size.
     """
     if unknown := set(methods) - set(METHODS):
         raise ValueError(f"unknown distance: {', '.join(sorted(unknown))}")
     x, n = F.array(*[F.col(c).cast("double") for c in columns]), len(columns)
+    n_blocks = max(LEAST_BLOCKS, -(-df.count() // BLOCK_ROWS))
     by_range = F.lit(None).cast("array<double>")
     if "gower" in methods:
         r = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(f"__r_{c}") for c in columns])
         df = df.join(F.broadcast(r))
         by_range = F.array(*[F.coalesce(F.try_divide(F.col(c).cast("double"), F.nullif(F.col(f"__r_{c}"), F.lit(0.0))), F.lit(0.0)) for c in columns])
-    points = df.select(F.col(key).alias("id"), x.alias("x"), by_range.alias("g"), F.pmod(F.xxhash64(key), F.lit(max(1, block // 32))).alias("block"))
-    blocks = F.sequence(F.lit(0), F.lit(max(1, block // 32) - 1))
+    points = df.select(F.col(key).alias("id"), x.alias("x"), by_range.alias("g"), F.pmod(F.xxhash64(key), F.lit(n_blocks)).alias("block"))
+    blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     # each row goes once to each block it has to meet, under the pair of blocks as key
     left = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"), F.col("g").alias("ga"), F.col("block").alias("i"), F.explode(blocks).alias("j"))
     right = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"), F.col("g").alias("gb"), F.explode(blocks).alias("i"), F.col("block").alias("j"))
     made = [_distance(m, n, *((F.col("ga"), F.col("gb")) if m == "gower" else (F.col("xa"), F.col("xb")))).alias(m) for m in methods]
     # a fixed number of tasks: what is shuffled is small, so adaptive execution would put the quadratic work into one
-    left, right = (side.repartition(max(1, block // 32) ** 2, "i", "j") for side in (left, right))
+    left, right = (side.repartition(n_blocks**2, "i", "j") for side in (left, right))
     return left.join(right, ["i", "j"]).where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", *made)
 
 
-def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclidean", block: int = 256) -> DataFrame:
+def pairwise(df: DataFrame, key: str, columns: list[str], method: str = "euclidean") -> DataFrame:
     """id_a < id_b, d: one method of pairwise_many."""
-    return pairwise_many(df, key, columns, (method,), block).withColumnRenamed(method, "d")
+    return pairwise_many(df, key, columns, (method,)).withColumnRenamed(method, "d")
+
+
+def _pair_of(p: Column) -> tuple[Column, Column]:
+    """i < j of pair number p, where pair (i, j) has number j * (j - 1) / 2 + i; exact beyond what a root in doubles gives."""
+    half = lambda j: F.shiftright(j * (j - 1), 1)
+    near = F.floor((1 + F.sqrt(1 + 8 * p.cast("double"))) / 2).cast("long")
+    j = F.when(half(near) > p, near - 1).when(half(near + 1) <= p, near + 1).otherwise(near)
+    return p - half(j), j
+
+
+def draw_pairs(df: DataFrame, key: str, pairs: int = config.SETTINGS.sample_pairs, seed: int = config.SETTINGS.seed) -> DataFrame:
+    """i < j: numbers (from 0, in order of key) of at most `pairs` different pairs of rows, each as likely as the other; all pairs if there are no more.
+
+    Pair numbers are hashes and are turned into (i, j): the work follows the number of
+    pairs drawn, not that of all. The same for every use with the same seed and rows.
+    """
+    spark, n = df.sparkSession, df.count()
+    total = n * (n - 1) // 2
+    digits = lambda x: F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), x.cast("string"))), 1, 15), 16, 10).cast("long")
+    if total <= pairs:
+        numbers = spark.range(total).select(F.col("id").alias("p"))
+    elif total < 4 * pairs:  # most draws would repeat: the pairs of the least hashes
+        numbers = spark.range(total).orderBy(digits(F.col("id")), "id").limit(pairs).select(F.col("id").alias("p"))
+    else:  # of twice as many draws, the first that differ; fewer than half can repeat
+        numbers = spark.range(2 * pairs).select(F.col("id"), F.pmod(digits(F.col("id")), F.lit(total)).alias("p")).groupBy("p").agg(F.min("id").alias("first")).orderBy("first").limit(pairs).select("p")
+    i, j = _pair_of(F.col("p"))
+    return numbers.select(i.alias("i"), j.alias("j"))
+
+
+def sample_pairs(df: DataFrame, key: str, columns: list[str], methods: tuple[str, ...] = METHODS, nominal: list[str] | None = None, pairs: int = config.SETTINGS.sample_pairs, seed: int = config.SETTINGS.seed) -> DataFrame:
+    """id_a < id_b and a column for each method (METHODS, or mixed) of drawn pairs of rows, the same pairs for every method.
+
+    Rows get gapless numbers in order of key (unique); those that a pair names are
+    found by a broadcast of the drawn numbers, which the argument bounds, and only
+    they are shuffled. mixed: Gower's distance over columns and nominal ones, see mixed_gower.
+    """
+    from cohortica.operators.numbering import number_rows
+
+    drawn = draw_pairs(df, key, pairs, seed)
+    named = nominal or []
+    numbered = number_rows(df.select(F.col(key).alias("id"), F.struct(*[F.col(c).cast("double").alias(c) for c in columns], *named).alias("row")), "id", name="number", first=0)
+    wanted = drawn.select(F.explode(F.array("i", "j")).alias("number")).distinct()
+    rows = numbered.join(F.broadcast(wanted), "number")
+    side = lambda n, e: rows.select(F.col("number").alias(n), F.col("id").alias(f"id_{e}"), F.col("row").alias(e))
+    met = drawn.join(side("i", "a"), "i").join(side("j", "b"), "j")
+    r = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(c) for c in columns]).first()
+    ranges = {c: float(r[c] or 0.0) for c in columns}
+    array = lambda e, by: F.array(*[F.col(e)[c] / (by[c] or 1.0) * float(by[c] != 0) for c in columns])
+    one = dict.fromkeys(columns, 1.0)
+    made = {m: mixed_gower(F.col("a"), F.col("b"), ranges, named) if m == "mixed" else _distance(m, len(columns), array("a", ranges if m == "gower" else one), array("b", ranges if m == "gower" else one)) for m in methods}
+    return met.select("id_a", "id_b", *[d.alias(m) for m, d in made.items()])
+
+
+def mixed_gower(a: Column, b: Column, ranges: dict[str, float], nominal: list[str]) -> Column:
+    """Gower's distance of two structs: |a - b| / range of numeric fields, 0 or 1 of nominal ones, averaged over the fields that count.
+
+    A field counts if both have it, and a numeric one only if its range isn't 0. Null if none counts.
+    """
+    numeric = {c: r for c, r in ranges.items() if r}
+    both = {c: a[c].isNotNull() & b[c].isNotNull() for c in [*numeric, *nominal]}
+    term = {c: F.abs(a[c] - b[c]) / r for c, r in numeric.items()} | {c: (a[c] != b[c]).cast("double") for c in nominal}
+    total = reduce(lambda s, c: s + F.when(both[c], term[c]).otherwise(0.0), both, F.lit(0.0))
+    weight = reduce(lambda s, c: s + both[c].cast("int"), both, F.lit(0))
+    return F.try_divide(total, weight.cast("double"))
 
 
 #: A bin ends where the next begins, at values so many times in a factor of e; so no task sorts or merges all values.

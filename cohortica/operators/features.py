@@ -6,6 +6,7 @@ Aggregates over rows run in Spark; what is as large as the number of features
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortica import config
 from cohortica.functions import stats
 from cohortica.operators import audit
+from cohortica.operators.units import uniform
 
 S = config.SETTINGS
 
@@ -132,26 +134,29 @@ def pca_importance(cov: np.ndarray, target: float = S.pca_share, scaled: bool =
     return np.abs(vectors[:, :k]) @ ratio[:k]
 
 
-def bootstrap_importance(df: DataFrame, columns: list[str], rounds: int = S.bootstrap_rounds, seed: int = S.seed) -> np.ndarray:
+def bootstrap_importance(df: DataFrame, key: str, columns: list[str], rounds: int = S.bootstrap_rounds, seed: int = S.seed) -> np.ndarray:
     """rounds x columns: importances over resampled rows.
 
-    Each task draws Poisson(1) weights for its rows in every round and sums the
-    weighted products; only matrices as large as the columns are added up.
+    Each row has a Poisson(1) weight in every round, which a hash of its key and the
+    round decides, on any number of tasks. Tasks sum the weighted products; only
+    matrices as large as the columns are added up.
     """
     p = len(columns)
+    below = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 
     def sums(frames: Iterator) -> Iterator:
         import pandas as pd
 
-        for part, frame in enumerate(frames):
+        total = np.zeros((rounds, p + 1, p + 1))
+        for frame in frames:
             x = np.column_stack([np.ones(len(frame)), frame[columns].to_numpy(float)])
-            rng = np.random.default_rng([seed, int(frame["__p"].iloc[0]) if len(frame) else 0, part])
+            keys = frame["__key"].to_numpy()
             for b in range(rounds):
-                g = (x * rng.poisson(1.0, len(x))[:, None]).T @ x
-                yield pd.DataFrame({"round": b, "at": np.arange(g.size), "value": g.ravel()})
+                weight = np.searchsorted(below, uniform(seed, keys, b))
+                total[b] += (x * weight[:, None]).T @ x
+        yield pd.DataFrame({"round": np.repeat(np.arange(rounds), (p + 1) ** 2), "at": np.tile(np.arange((p + 1) ** 2), rounds), "value": total.ravel()})
 
-    scaled = df.select(*columns, F.spark_partition_id().alias("__p"))
-    rows = scaled.mapInPandas(sums, "round int, at int, value double").groupBy("round", "at").agg(F.sum("value").alias("value")).toPandas()
+    rows = df.select(*columns, F.xxhash64(key).alias("__key")).mapInPandas(sums, "round int, at int, value double").groupBy("round", "at").agg(F.sum("value").alias("value")).toPandas()
     out = []
     for _, g in rows.sort_values(["round", "at"]).groupby("round"):
         m = g["value"].to_numpy().reshape(p + 1, p + 1)

@@ -72,6 +72,70 @@ def silhouette(pairs: DataFrame, assignment: DataFrame, cluster: str = "cluster"
     return ab.select("id", F.col("own").alias(cluster), s.alias("silhouette"))
 
 
+def distance_sums(df: DataFrame, key: str, columns: list[str], method: str, cluster: str = "cluster", ranges: int | None = None) -> tuple[DataFrame, list]:
+    """id, own (the number of its cluster), of (array: the summed distance to all rows of each cluster), and the clusters in order.
+
+    Manhattan and Gower distances are sums over coordinates, and the sum of |x - y|
+    over a cluster's rows y follows from how many of them lie below x and what they
+    add up to. So each coordinate's values are sorted, in ranges, and every row gets
+    its sums from the ranges before and from the rows before it in its own: no pair
+    is made, and the work is that of sorting rows x columns values. Numeric columns
+    without nulls; Gower divides by each column's range, one without range counts 0.
+    key: unique. Clusters are few: two running sums for each.
+    """
+    if method not in ("manhattan", "gower"):
+        raise ValueError(f"no sum over coordinates: {method}")
+    from cohortica.operators.numbering import in_ranges
+
+    clusters = [r[0] for r in df.select(cluster).where(F.col(cluster).isNotNull()).distinct().orderBy(cluster).collect()]
+    if not clusters:
+        return df.select(F.col(key).alias("id"), F.lit(0).alias("own"), F.array().cast("array<double>").alias("of")).limit(0), []
+    k = range(len(clusters))
+    # values are taken from their mean, so that sums stay small
+    one = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)], *[(F.max(c) - F.min(c)).cast("double").alias(f"r{i}") for i, c in enumerate(columns)]).first()
+    factor = lambda i: 1.0 if method == "manhattan" else 1.0 / one[f"r{i}"] if one[f"r{i}"] else 0.0
+    values = F.array(*[(F.col(c).cast("double") - float(one[f"m{i}"] or 0.0)) * factor(i) for i, c in enumerate(columns)])
+    own = F.array_position(F.lit(clusters), F.col(cluster)).cast("int") - 1
+    long = df.where(F.col(cluster).isNotNull()).select(F.col(key).alias("id"), own.alias("own"), F.posexplode(values).alias("coordinate", "v"))
+    sorted_ = in_ranges(long, "coordinate", "v", "id", ranges=ranges)
+    mine = lambda i, x: F.sum(F.when(F.col("own") == i, x).otherwise(0))
+    of_range = sorted_.groupBy("range", "coordinate").agg(*[mine(i, F.lit(1)).alias(f"n{i}") for i in k], *[mine(i, F.col("v")).alias(f"s{i}") for i in k])
+    past, whole = Window.partitionBy("coordinate").orderBy("range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("coordinate")
+    named = [f"{c}{i}" for c in "ns" for i in k]
+    # a row for each range and, where a coordinate begins within one, one more
+    carried = of_range.select("range", "coordinate", *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"b{c}") for c in named], *[F.sum(c).over(whole).alias(f"t{c}") for c in named])
+    upto = Window.partitionBy("range", "coordinate").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col("v")
+
+    def summed(i: int) -> Column:
+        n, s = F.col(f"bn{i}") + mine(i, F.lit(1)).over(upto), F.col(f"bs{i}") + mine(i, v).over(upto)
+        return v * n - s + (F.col(f"ts{i}") - s) - v * (F.col(f"tn{i}") - n)
+
+    each = sorted_.join(F.broadcast(carried), ["range", "coordinate"]).select("id", "own", *[summed(i).alias(f"d{i}") for i in k])
+    scale = 1.0 / len(columns) if method == "gower" else 1.0
+    return each.groupBy("id", "own").agg(F.array(*[F.sum(f"d{i}") * scale for i in k]).alias("of")), clusters
+
+
+def mean_distances(df: DataFrame, key: str, columns: list[str], method: str, cluster: str = "cluster", ranges: int | None = None) -> DataFrame:
+    """id, own cluster, other, mean_distance of each row to the rows of each cluster, itself left out in its own; null where that leaves none."""
+    sums, clusters = distance_sums(df, key, columns, method, cluster, ranges)
+    kind = df.schema[cluster].dataType
+    if not clusters:
+        return sums.select("id", F.lit(None).cast(kind).alias("own"), F.lit(None).cast(kind).alias("other"), F.lit(0.0).alias("mean_distance"))
+    sizes = {r[cluster]: r["n"] for r in df.groupBy(cluster).agg(F.count("*").alias("n")).collect()}
+    size, name = F.lit([sizes[c] for c in clusters]), F.lit(clusters)
+    n = size[F.col("i")] - F.when(F.col("i") == F.col("own"), 1).otherwise(0)
+    return sums.select("id", "own", F.posexplode("of").alias("i", "d")).select("id", name[F.col("own")].cast(kind).alias("own"), name[F.col("i")].cast(kind).alias("other"), F.try_divide(F.greatest("d", F.lit(0.0)), n.cast("double")).alias("mean_distance"))
+
+
+def silhouette_by_coordinates(df: DataFrame, key: str, columns: list[str], method: str, cluster: str = "cluster", ranges: int | None = None) -> DataFrame:
+    """id, cluster, silhouette of all rows by Manhattan or Gower distance, without pairs; the only one of a cluster has 0, and so have all of a single cluster."""
+    m = mean_distances(df, key, columns, method, cluster, ranges)
+    ab = m.groupBy("id", "own").agg(F.max(F.when(F.col("other") == F.col("own"), F.col("mean_distance"))).alias("a"), F.min(F.when(F.col("other") != F.col("own"), F.col("mean_distance"))).alias("b"))
+    s = F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return ab.select("id", F.col("own").alias(cluster), s.alias("silhouette"))
+
+
 def silhouette_summary(s: DataFrame) -> DataFrame:
     return s.agg(F.avg("silhouette").alias("average_silhouette"), F.min("silhouette").alias("minimum_silhouette"), F.avg(F.when(F.col("silhouette") < 0, 1.0).otherwise(0.0)).alias("negative_share"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortica import config
 from cohortica.functions import stats
-from cohortica.operators import audit, clean, cluster, distance, features, profile, rules, selection, validity
+from cohortica.operators import audit, clean, cluster, distance, features, numbering, profile, rules, selection, validity
 from cohortica.streaming import behaviour
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,7 +303,7 @@ def redundancy(spark: SparkSession, sf: str) -> DataFrame:
 def bootstrap_feature_stability(spark: SparkSession, sf: str) -> DataFrame:
     z = scaled(spark, sf)
     reference = features.pca_importance(features.gramian(z, NUMERIC)[2], scaled=False)
-    steady = features.stability(reference, features.bootstrap_importance(z, NUMERIC))
+    steady = features.stability(reference, features.bootstrap_importance(z, "respondent_id", NUMERIC))
     return spark.createDataFrame([(c, float(a), float(b)) for c, a, b in zip(NUMERIC, reference, steady, strict=True)], "variable string, pca_importance double, stability_score double")
 
 
@@ -550,28 +550,17 @@ def pairwise_ari(spark: SparkSession, sf: str) -> DataFrame:
 # ---- distances between embeddings ----
 
 
-def _vectors(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
+def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """id, label and all components, x0, x1, ... of each vector; and the components' names."""
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
-    return e.select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(dims)])
+    names = [f"x{i}" for i in range(e.agg(F.max(F.size("embedding"))).first()[0] or 1)]
+    return e.select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)]), names
 
 
-def _components(spark: SparkSession, sf: str) -> int:
-    """How many numbers a vector has. Queries named whole_ and their SQL take all of them; the others and theirs the first 8."""
-    return spark.read.parquet(f"{sf}/embeddings.parquet").agg(F.max(F.size("embedding"))).first()[0] or 1
-
-
-_X = [f"x{i}" for i in range(8)]
-_V = "v AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8)) + " FROM embeddings)"
-_SUM = lambda f: " + ".join(f.format(c=c) for c in _X)
-_D = {
-    "euclidean": f"sqrt({_SUM('(a.{c} - b.{c}) ** 2')})",
-    "manhattan": _SUM("abs(a.{c} - b.{c})"),
-    "gower": f"({_SUM('abs(a.{c} - b.{c}) / (SELECT max({c}) - min({c}) FROM v)')}) / 8",
-}
-# the same over all components: lists, and each component by its range
-_WHOLE_V = """u AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), s AS (SELECT i, max(e) - min(e) AS w FROM (SELECT unnest(x) AS e, generate_subscripts(x, 1) AS i FROM u) GROUP BY i),
+# x: a vector's numbers, g: each divided by its component's range
+_V = """u AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), s AS (SELECT i, max(e) - min(e) AS w FROM (SELECT unnest(x) AS e, generate_subscripts(x, 1) AS i FROM u) GROUP BY i),
 w AS (SELECT list(w ORDER BY i) AS w FROM s), v AS (SELECT id, label, x, [coalesce(z[1] / nullif(z[2], 0), 0) for z in list_zip(x, w)] AS g FROM u, w)"""
-_WHOLE_D = {
+_D = {
     "euclidean": "sqrt(list_sum([(z[1] - z[2]) ** 2 for z in list_zip(a.x, b.x)]))",
     "manhattan": "list_sum([abs(z[1] - z[2]) for z in list_zip(a.x, b.x)])",
     "gower": "list_sum([abs(z[1] - z[2]) for z in list_zip(a.g, b.g)]) / len(a.g)",
@@ -579,54 +568,103 @@ _WHOLE_D = {
 _DISTRIBUTION = "count(*) AS n_pairs, " + _r("min(d) AS minimum", "quantile_cont(d, 0.25) AS first_quartile", "median(d) AS median", "avg(d) AS mean", "quantile_cont(d, 0.75) AS third_quartile", "max(d) AS maximum", "stddev_samp(d) AS standard_deviation", "stddev_samp(d) / avg(d) AS coefficient_of_variation", "(max(d) - min(d)) / max(d) AS relative_contrast")
 
 
-def _pairs(spark: SparkSession, sf: str, method: str, dims: int = 8) -> DataFrame:
-    """All pairs of all vectors, as the SQL has it: quadratic, whatever the table's size."""
-    return distance.pairwise(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], method)
+def _distribution_sql(d: str) -> str:
+    return f"WITH {_V}, p AS (SELECT {d} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p"
 
 
-def _distribution_sql(v: str, d: str) -> str:
-    return f"WITH {v}, p AS (SELECT {d} AS d FROM v AS a JOIN v AS b ON a.id < b.id) SELECT {_DISTRIBUTION} FROM p"
+def _correlation_sql() -> str:
+    return f"""WITH {_V}, p AS (SELECT {_D['manhattan']} AS x, {_D['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
+k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k"""
 
 
-def _correlation_sql(v: str, d: dict[str, str]) -> str:
-    return f"""WITH {v}, p AS (SELECT {d['manhattan']} AS x, {d['gower']} AS y FROM v AS a JOIN v AS b ON a.id < b.id),
-k AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p) SELECT round(corr(x, y), 5) AS pearson, round(corr(rx, ry), 5) AS spearman, count(*) AS n_pairs FROM k"""
+def _mean_distances_sql(method: str) -> str:
+    return f"""{_V}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {_D[method]} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL)"""
 
 
-def _silhouette_sql(v: str, d: dict[str, str]) -> str:
-    return f"""WITH {v}, p AS (SELECT a.id AS i, a.label AS own, b.label AS theirs, {d['euclidean']} AS d FROM v AS a JOIN v AS b ON a.id <> b.id), m AS (SELECT i, own, theirs, avg(d) AS m FROM p GROUP BY ALL),
+def _silhouette_sql(method: str) -> str:
+    return f"""WITH {_mean_distances_sql(method)},
 ab AS (SELECT i, own, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM m GROUP BY ALL) SELECT i AS id, own AS label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END, 5) AS silhouette FROM ab"""
 
 
 def _register_distances() -> None:
+    """All pairs of all vectors, as the SQL has it: quadratic, whatever the table's size."""
+
+    def distribution_of(spark: SparkSession, sf: str, m: str) -> DataFrame:
+        v, names = _vectors(spark, sf)
+        return rounded(distance.distance_distribution(distance.pairwise(v, "id", names, m)))
+
     for method in distance.METHODS:
-        query(_distribution_sql(_V, _D[method]), f"distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m))))
-        query(_distribution_sql(_WHOLE_V, _WHOLE_D[method]), f"whole_distance_distribution_{method}")(lambda spark, sf, m=method: rounded(distance.distance_distribution(_pairs(spark, sf, m, _components(spark, sf)))))
+        query(_distribution_sql(_D[method]), f"distance_distribution_{method}")(lambda spark, sf, m=method: distribution_of(spark, sf, m))
 
 
 _register_distances()
 
 
-@query(_correlation_sql(_V, _D))
-def distance_correlation(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
-    both = distance.pairwise_many(_vectors(spark, sf, dims), "id", [f"x{i}" for i in range(dims)], ("manhattan", "gower"))
-    return rounded(distance.distance_correlation(both, "manhattan", "gower"))
+@query(_correlation_sql())
+def distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    v, names = _vectors(spark, sf)
+    return rounded(distance.distance_correlation(distance.pairwise_many(v, "id", names, ("manhattan", "gower")), "manhattan", "gower"))
+
 
+@query(_silhouette_sql("euclidean"))
+def silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    v, names = _vectors(spark, sf)
+    return rounded(validity.silhouette(distance.pairwise(v, "id", names), v.select("id", "label"), "label"))
 
-@query(_correlation_sql(_WHOLE_V, _WHOLE_D))
-def whole_distance_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    return distance_correlation(spark, sf, _components(spark, sf))
 
+for _name in (*(f"distance_distribution_{m}" for m in distance.METHODS), "distance_correlation", "silhouette"):
+    # the plain names take all components now; these are the names under which that stood before
+    _QUERIES[f"whole_{_name}"], _SQL[f"whole_{_name}"] = _QUERIES[_name], _SQL[_name]
 
-@query(_silhouette_sql(_V, _D))
-def silhouette(spark: SparkSession, sf: str, dims: int = 8) -> DataFrame:
-    v = _vectors(spark, sf, dims)
-    return rounded(validity.silhouette(distance.pairwise(v, "id", [f"x{i}" for i in range(dims)]), v.select("id", "label"), "label"))
 
+@query(_silhouette_sql("manhattan"))
+def silhouette_manhattan(spark: SparkSession, sf: str) -> DataFrame:
+    """By sorted coordinates, without pairs."""
+    v, names = _vectors(spark, sf)
+    return rounded(validity.silhouette_by_coordinates(v, "id", names, "manhattan", "label"))
 
-@query(_silhouette_sql(_WHOLE_V, _WHOLE_D))
-def whole_silhouette(spark: SparkSession, sf: str) -> DataFrame:
-    return silhouette(spark, sf, _components(spark, sf))
+
+@query(_silhouette_sql("gower"))
+def silhouette_gower(spark: SparkSession, sf: str) -> DataFrame:
+    v, names = _vectors(spark, sf)
+    return rounded(validity.silhouette_by_coordinates(v, "id", names, "gower", "label"))
+
+
+@query(f"WITH {_mean_distances_sql('manhattan')} SELECT i AS id, own, theirs AS other, round(m, 5) AS mean_distance FROM m")
+def mean_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each vector to the vectors of each label, without pairs."""
+    v, names = _vectors(spark, sf)
+    return rounded(validity.mean_distances(v, "id", names, "manhattan", "label").where("mean_distance IS NOT NULL"))
+
+
+@query("SELECT respondent_id, segment, row_number() OVER (ORDER BY segment, respondent_id) AS row_id FROM r")
+def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Gapless numbers of all respondents in order of segment and id."""
+    return numbering.number_rows(respondents(spark, sf).select("respondent_id", "segment"), "segment", "respondent_id")
+
+
+_DRAWN = f"""n AS (SELECT *, row_number() OVER (ORDER BY respondent_id) - 1 AS number FROM r), t AS (SELECT count(*) * (count(*) - 1) // 2 AS total FROM r),
+h AS (SELECT id, CAST('0x' || substr(md5('{config.SETTINGS.seed}:' || id), 1, 15) AS BIGINT) AS h FROM t, range(0, CASE WHEN total < {4 * config.SETTINGS.sample_pairs} THEN total ELSE {2 * config.SETTINGS.sample_pairs} END) AS q(id)),
+pn AS (SELECT CASE WHEN total < {4 * config.SETTINGS.sample_pairs} THEN id ELSE h % total END AS p, min(CASE WHEN total <= {config.SETTINGS.sample_pairs} THEN 0 WHEN total < {4 * config.SETTINGS.sample_pairs} THEN h ELSE id END) AS o FROM h, t GROUP BY ALL ORDER BY o, p LIMIT {config.SETTINGS.sample_pairs}),
+ij AS (SELECT p, CAST(floor((1 + sqrt(1 + 8 * p::DOUBLE)) / 2) AS BIGINT) AS j FROM pn), dp AS (SELECT p - j * (j - 1) // 2 AS i, j FROM ij),
+b AS (SELECT {', '.join(f'max({c}) - min({c}) AS {c}' for c in NUMERIC)} FROM r)"""
+_MIXED = [(f"x.{c} IS NOT NULL AND y.{c} IS NOT NULL AND b.{c} > 0", f"abs(x.{c} - y.{c}) / b.{c}") for c in NUMERIC] + [(f"x.{c} IS NOT NULL AND y.{c} IS NOT NULL", f"CASE WHEN x.{c} <> y.{c} THEN 1.0 ELSE 0.0 END") for c in CATEGORICAL]
+
+
+@query(f"""WITH {_DRAWN}, p AS (SELECT ({' + '.join(f'CASE WHEN {w} THEN {d} ELSE 0.0 END' for w, d in _MIXED)}) / nullif({' + '.join(f'CAST({w} AS INTEGER)' for w, _ in _MIXED)}, 0)::DOUBLE AS d FROM dp JOIN n AS x ON x.number = i JOIN n AS y ON y.number = j, b) SELECT {_DISTRIBUTION} FROM p WHERE d IS NOT NULL""")
+def sampled_mixed_gower(spark: SparkSession, sf: str) -> DataFrame:
+    """Gower distances over numeric and nominal columns with missing values, of drawn pairs of respondents."""
+    pairs = distance.sample_pairs(respondents(spark, sf), "respondent_id", NUMERIC, ("mixed",), CATEGORICAL)
+    return rounded(distance.distance_distribution(pairs.select(F.col("mixed").alias("d")).where("d IS NOT NULL")))
+
+
+@query(f"""WITH {_FILLED}, {_DRAWN}, q AS (SELECT f.*, number FROM f JOIN n USING (respondent_id)),
+p AS (SELECT {' + '.join(f'abs(x.{c} - y.{c})' for c in NUMERIC)} AS manhattan, ({' + '.join(f'abs(x.{c} - y.{c}) / w.{c}' for c in NUMERIC)}) / {len(NUMERIC)} AS gower FROM dp JOIN q AS x ON x.number = i JOIN q AS y ON y.number = j, (SELECT {', '.join(f'max({c}) - min({c}) AS {c}' for c in NUMERIC)} FROM f) AS w)
+SELECT count(*) AS n_pairs, round(avg(manhattan), 3) AS mean_manhattan, round(avg(gower), 5) AS mean_gower, round(corr(manhattan, gower), 5) AS correlation FROM p""")
+def sampled_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two distances of the same drawn pairs of respondents."""
+    pairs = distance.sample_pairs(filled(spark, sf), "respondent_id", NUMERIC, ("manhattan", "gower"))
+    return pairs.agg(F.count("*").alias("n_pairs"), F.round(F.avg("manhattan"), 3).alias("mean_manhattan"), F.round(F.avg("gower"), 5).alias("mean_gower"), F.round(F.corr("manhattan", "gower"), 5).alias("correlation"))
 
 
 # ---- models ----
@@ -646,20 +684,20 @@ def model_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def bootstrap_stability(spark: SparkSession, sf: str) -> DataFrame:
-    x, fit = _sampled_fit(spark, sf)
-    rows = cluster.bootstrap_stability(x, fit(x), fit)
-    return spark.createDataFrame([(r["cluster"], r["mean_jaccard"], r["minimum_jaccard"]) for r in rows], "cluster int, mean_jaccard double, minimum_jaccard double")
+    """k-medoids of three clusters over resamples of respondents, each fit a unit."""
+    found = cluster.bootstrap_stability(filled(spark, sf), "respondent_id", NUMERIC, "pam", "manhattan", 3)
+    return found.select("cluster", "mean_jaccard", "minimum_jaccard")
 
 
 @query()
 def gap_statistic(spark: SparkSession, sf: str) -> DataFrame:
-    x, _ = _sampled_fit(spark, sf)
-    return spark.createDataFrame([(k, *map(float, cluster.gap_statistic(x, k))) for k in config.SETTINGS.k_values], "k int, gap double, gap_standard_error double")
+    return cluster.gap_statistic(filled(spark, sf), "respondent_id", NUMERIC)
 
 
-def _sampled_fit(spark: SparkSession, sf: str):
-    rows = distance.sample_rows(scaled(spark, sf), "respondent_id").toPandas().sort_values("respondent_id")
-    return rows[NUMERIC].to_numpy(), lambda a: cluster.pam(cluster.distance_matrix(a, "manhattan"), 3)[1]
+@query()
+def kmedoids(spark: SparkSession, sf: str) -> DataFrame:
+    """k-medoids over all respondents by Manhattan distance."""
+    return cluster.k_medoids(scaled(spark, sf), "respondent_id", NUMERIC, 4)
 
 
 # ---- ranking of models, from a fixed table of metrics ----

@@ -34,7 +34,7 @@ def stages(key: str, columns: list[str], categorical: list[str], groups: dict[st
         cols = [c for c in t["selected"].columns if c != key]
         scaled = clean.standardise(t["selected"], cols)
         importance = features.pca_importance(features.gramian(scaled, cols)[2], s.pca_share, scaled=False)
-        steady = features.stability(importance, features.bootstrap_importance(scaled, cols, s.bootstrap_rounds, s.seed))
+        steady = features.stability(importance, features.bootstrap_importance(scaled, key, cols, s.bootstrap_rounds, s.seed))
         own = spark.createDataFrame([(c, groups[c], float(importance[i]), float(steady[i])) for i, c in enumerate(cols)], "variable string, group string, pca_importance double, stability_score double")
         scored = features.feature_score(own.join(t["quality_metrics"].select("variable", "entropy", "n_unique"), "variable"), s)
         sets = features.feature_sets([r.asDict() for r in scored.collect()], s)

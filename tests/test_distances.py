@@ -21,24 +21,24 @@ def test_whole_vectors(spark):
     upper, q = np.triu_indices(len(x), 1), catalog.queries()
     d = {m: cluster.distance_matrix(x, m) for m in distance.METHODS}
     for m in distance.METHODS:
-        r, of = q[f"whole_distance_distribution_{m}"](spark, SF).first(), d[m][upper]
+        r, of = q[f"distance_distribution_{m}"](spark, SF).first(), d[m][upper]
         assert r.n_pairs == len(of)
         assert (r.minimum, r.mean, r.maximum, r.median, r.standard_deviation) == pytest.approx((of.min(), of.mean(), of.max(), np.median(of), of.std(ddof=1)), abs=2e-5)
-    r = q["whole_distance_correlation"](spark, SF).first()
+    r = q["distance_correlation"](spark, SF).first()
     assert (r.n_pairs, r.pearson) == (len(upper[0]), pytest.approx(np.corrcoef(d["manhattan"][upper], d["gower"][upper])[0, 1], abs=2e-5))
-    got = {r.id: r.silhouette for r in q["whole_silhouette"](spark, SF).collect()}
+    assert all(q[f"whole_{n}"] is q[n] and catalog.oracle_sql()[f"whole_{n}"] == catalog.oracle_sql()[n] for n in ("silhouette", "distance_correlation", "distance_distribution_gower"))
+    got = {r.id: r.silhouette for r in q["silhouette"](spark, SF).collect()}
     assert got == pytest.approx(dict(zip(ids, cluster.mean_silhouette(d["euclidean"], labels), strict=True)), abs=2e-5)
 
 
-@pytest.mark.parametrize("prefix", ["", "whole_"])
-def test_more_vectors_than_a_sample(spark, tmp_path, prefix):
+def test_more_vectors_than_a_sample(spark, tmp_path):
     n = config.SETTINGS.sample_rows + 1
     made = spark.range(n).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label"), F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.rand(1) + i).alias("embedding"))
     made.write.parquet(str(tmp_path / "embeddings.parquet"))
     q = catalog.queries()
-    assert q[f"{prefix}silhouette"](spark, str(tmp_path)).count() == n
+    assert q["silhouette"](spark, str(tmp_path)).count() == n
     for m in distance.METHODS:
-        assert q[f"{prefix}distance_distribution_{m}"](spark, str(tmp_path)).select("n_pairs").first().n_pairs == n * (n - 1) // 2
+        assert q[f"distance_distribution_{m}"](spark, str(tmp_path)).select("n_pairs").first().n_pairs == n * (n - 1) // 2
 
 
 def test_quartiles_and_ranks_by_bins(spark):

@@ -7,30 +7,27 @@ S = config.SETTINGS
 
 
 def test_models_run_with_the_settings(spark, monkeypatch):
-    """1,500 respondents are fewer than the sample's bound, so all take part."""
-    n, asked = spark.read.parquet(f"{SF}/customer.parquet").count(), {}
+    """1,500 respondents are fewer than the sample's bound, so all take part, and every unit of the settings is asked for."""
+    n, asked = spark.read.parquet(f"{SF}/customer.parquet").count(), []
     assert 400 < n <= S.sample_rows
+    sampled = cluster._sampled
 
-    def stable(x, reference, fit, rounds=S.bootstrap_rounds):
-        asked["bootstrap"] = len(x), len(reference), rounds
-        return [{"cluster": 1, "mean_jaccard": 1.0, "minimum_jaccard": 1.0}]
+    def seen(*a):
+        asked.append(("rows", len(sampled(*a)[0])))
+        return sampled(*a)
 
-    def gap(x, k, rounds=S.gap_rounds, starts=5):
-        asked[k] = len(x), rounds, starts
-        return 0.0, 0.0
+    def units(spark, of, names, run, schema, finished=None):
+        asked.append((names.split(", ")[-1], of))
+        return spark.createDataFrame([("model", [1] * n, 1.0, 1.0)] if "labels" in schema else [], schema)
 
-    monkeypatch.setattr(cluster, "bootstrap_stability", stable)
-    monkeypatch.setattr(cluster, "gap_statistic", gap)
+    monkeypatch.setattr(cluster, "_sampled", seen)
+    monkeypatch.setattr(cluster, "run_units", units)
     catalog.queries()["bootstrap_stability"](spark, SF)
+    assert asked == [("rows", n), ("k int", [("model", "all", "pam", "manhattan", 3)]), ("round int", [("model", "all", "pam", "manhattan", 3, b) for b in range(S.bootstrap_rounds)])]
+    asked.clear()
     catalog.queries()["gap_statistic"](spark, SF)
-    assert asked.pop("bootstrap") == (n, n, S.bootstrap_rounds)
-    assert asked == {k: (n, S.gap_rounds, 5) for k in S.k_values}
-
-    # the grid's tasks are sent to workers by value, so its call is looked at
-    def grid(df, key, sets, ks=S.k_values, sample=S.sample_rows):
-        asked["grid"] = ks, sample
-        return df.limit(0)
-
-    monkeypatch.setattr(cluster, "model_grid", grid)
+    assert asked == [("rows", n), ("round int", [("all", k, b) for k in S.k_values for b in range(-1, S.gap_rounds)])]
+    asked.clear()
     catalog.queries()["model_grid"](spark, SF)
-    assert asked["grid"] == (S.k_values, S.sample_rows)
+    assert asked[0] == ("rows", n)
+    assert {k for *_, of in asked[1][1] for k in of} == set(S.k_values) and {u[2] for u in asked[1][1]} == {"pam", "hierarchical", "kmeans"}

@@ -118,13 +118,13 @@ def test_clusterings_recover_blobs(seed, k):
         assert cluster.mean_silhouette(d, labels).mean() > 0.6
 
 
-def test_bootstrap_and_gap():
+def test_bootstrap_and_gap(spark):
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.normal(m, 0.3, (30, 2)) for m in (0, 6, 12)])
-    fit = lambda a: cluster.pam(cluster.distance_matrix(a, "manhattan"), 3)[1]
-    rows = cluster.bootstrap_stability(x, fit(x), fit, rounds=10)
-    assert all(r["mean_jaccard"] > 0.95 for r in rows)
-    gaps = {k: cluster.gap_statistic(x, k, rounds=8, starts=3)[0] for k in (1, 3)}
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double")
+    rows = cluster.bootstrap_stability(df, "id", ["a", "b"], "pam", "manhattan", 3, rounds=10).collect()
+    assert len(rows) == 3 and all(r.mean_jaccard > 0.95 and r.minimum_jaccard <= r.median_jaccard for r in rows)
+    gaps = {r.k: r.gap for r in cluster.gap_statistic(df, "id", ["a", "b"], (1, 3), rounds=8).collect()}
     assert gaps[3] > gaps[1]
 
 
