@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortica import config
 from cohortica.functions import stats
-from cohortica.operators import audit, clean, cluster, distance, features, numbering, profile, rules, selection, validity
+from cohortica.operators import audit, clean, cluster, distance, features, numbering, profile, rules, selection, summaries, validity
 from cohortica.streaming import behaviour
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -700,51 +700,90 @@ def kmedoids(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.k_medoids(scaled(spark, sf), "respondent_id", NUMERIC, 4)
 
 
-# ---- ranking of models, from a fixed table of metrics ----
+# ---- ranking of models: four given segmentations of all respondents, measured ----
+
+_BANDS = "CASE WHEN spend >= 1500000 THEN 'high' WHEN spend >= 1000000 THEN 'middle' ELSE 'low' END"
+#: model -> (kind, label in SQL)
+_GIVEN = {"market": ("declared", "segment"), "channel": ("declared", "coalesce(channel, 'none')"), "urgency": ("declared", "urgent"), "band": ("banded", _BANDS)}
+_MIXED_SUM = lambda f: " + ".join(f.format(c=c) for c in NUMERIC)
+_MODELS_SQL = f"""{_SCALED}, la AS ({' UNION ALL '.join(f"SELECT respondent_id, '{m}' AS model_id, '{kind}' AS method, {e} AS cluster FROM r" for m, (kind, e) in _GIVEN.items())}), zl AS (SELECT model_id, method, cluster, z.* EXCLUDE (segment) FROM la JOIN z USING (respondent_id)),
+cn AS (SELECT model_id, cluster, count(*) AS n, {', '.join(f'avg({c}) AS {c}' for c in NUMERIC)} FROM zl GROUP BY ALL), ms AS (SELECT model_id, count(*) AS k, sum(n) AS rows, min(n) / sum(n)::DOUBLE AS minimum_share, 1 - (max(n) / sum(n)::DOUBLE - min(n) / sum(n)::DOUBLE) AS balance, ({_MIXED_SUM('(max({c}) - min({c}))')}) / {len(NUMERIC)} AS mean_range FROM cn GROUP BY model_id),
+mw AS (SELECT zl.model_id, any_value(method) AS method, {_MIXED_SUM('sum((zl.{c} - cn.{c}) ** 2)')} AS within_ss, {_MIXED_SUM('sum(zl.{c} ** 2) - sum(zl.{c}) ** 2 / count(*)')} AS total_ss FROM zl JOIN cn USING (model_id, cluster) GROUP BY zl.model_id),
+mp0 AS (SELECT zl.model_id, zl.cluster, avg({_DIST('zl', 'cn')}) AS s FROM zl JOIN cn USING (model_id, cluster) GROUP BY ALL), mq AS (SELECT * FROM cn JOIN mp0 USING (model_id, cluster)),
+md AS (SELECT model_id, avg(m) AS davies_bouldin FROM (SELECT x.model_id, x.cluster, max((x.s + y.s) / {_DIST('x', 'y')}) AS m FROM mq AS x JOIN mq AS y ON x.model_id = y.model_id AND x.cluster <> y.cluster GROUP BY ALL) GROUP BY model_id),
+mn AS (SELECT zl.model_id, zl.cluster, cn.cluster AS near, row_number() OVER (PARTITION BY zl.model_id, respondent_id ORDER BY {_DIST('zl', 'cn')}, cn.cluster) AS i FROM zl JOIN cn USING (model_id)),
+mt AS (SELECT model_id, cluster, near, count(*) AS n FROM mn WHERE i = 1 GROUP BY ALL), mu AS (SELECT *, n / (sum(n) OVER (PARTITION BY model_id, cluster) + sum(n) OVER (PARTITION BY model_id, near) - n)::DOUBLE AS j FROM mt), mj AS (SELECT model_id, avg(j) AS average_jaccard FROM (SELECT model_id, cluster, max(j) AS j FROM mu GROUP BY ALL) GROUP BY model_id),
+mz AS (SELECT x.respondent_id AS i, y.respondent_id AS o, {_MIXED_SUM('abs(x.{c} - y.{c})')} AS d FROM z AS x JOIN z AS y ON x.respondent_id <> y.respondent_id), mm AS (SELECT lx.model_id, i, lx.cluster AS own, ly.cluster AS theirs, avg(d) AS m FROM mz JOIN la AS lx ON lx.respondent_id = i JOIN la AS ly ON ly.respondent_id = o AND ly.model_id = lx.model_id GROUP BY ALL),
+mab AS (SELECT model_id, i, max(m) FILTER (theirs = own) AS a, min(m) FILTER (theirs <> own) AS b FROM mm GROUP BY ALL), mx AS (SELECT model_id, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS average_silhouette FROM mab GROUP BY model_id),
+lc AS ({_unpivot(CATEGORICAL, 'respondent_id', text=True)}), ce AS (SELECT model_id, variable, cluster, value, count(*) AS o FROM la JOIN lc USING (respondent_id) WHERE value IS NOT NULL GROUP BY ALL),
+cf AS (SELECT *, sum(o) OVER (PARTITION BY model_id, variable, cluster) AS rs, sum(o) OVER (PARTITION BY model_id, variable, value) AS cs FROM ce), cv AS (SELECT model_id, variable, sqrt(greatest(sum(o::DOUBLE * o / (rs::DOUBLE * cs)) - 1, 0) / (least(count(DISTINCT cluster), count(DISTINCT value)) - 1)) AS v FROM cf GROUP BY ALL), ca0 AS (SELECT model_id, avg(v) AS mean_association FROM cv GROUP BY model_id),
+t AS (SELECT model_id, 'all' AS feature_set, method, k, average_silhouette, balance, minimum_share, (total_ss - within_ss) / total_ss AS between_ratio, average_jaccard, NULL::DOUBLE AS gap, ((total_ss - within_ss) / (k - 1)) / (within_ss / (rows - k)) AS calinski_harabasz, davies_bouldin, mean_range, mean_association FROM ms JOIN mw USING (model_id) JOIN md USING (model_id) JOIN mj USING (model_id) JOIN mx USING (model_id) JOIN ca0 USING (model_id))"""
+
+
+def _given_models(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each given segmentation: how well it parts all respondents. average_jaccard: of its clusters with those of the nearest centroids; gap: null, as nothing was fitted."""
+    band = F.when(F.col("spend") >= 1_500_000, "high").when(F.col("spend") >= 1_000_000, "middle").otherwise("low")
+    labels = {"market": F.col("segment"), "channel": F.coalesce("channel", F.lit("none")), "urgency": F.col("urgent"), "band": band}
+    given = respondents(spark, sf).select("respondent_id", *[e.alias(m) for m, e in labels.items()])
+    d = numbering.checkpointed(scaled(spark, sf).drop("segment").join(given, "respondent_id"))
+    long = d.select("respondent_id", F.explode(F.array(*[F.struct(F.lit(m).alias("model_id"), F.col(m).alias("cluster")) for m in labels])).alias("v")).select("respondent_id", "v.*")
+    related = summaries.model_association_summary(summaries.model_associations(long, respondents(spark, sf), CATEGORICAL, "respondent_id"))
+    ranges = summaries.model_distinctness(summaries.model_profiles(long, d.select("respondent_id", *NUMERIC), NUMERIC, "respondent_id"))
+
+    def measured(m: str) -> DataFrame:
+        near = validity.nearest_centroid(d, validity.centroids(d, NUMERIC, m), "respondent_id", NUMERIC, m).select("respondent_id", F.col(m).alias("near"))
+        alike = validity.jaccard(d.select("respondent_id", m).join(near, "respondent_id"), m, "near").groupBy(m).agg(F.max("jaccard").alias("j")).agg(F.avg("j").alias("average_jaccard"))
+        own = validity.silhouette_summary(validity.silhouette_by_coordinates(d, "respondent_id", NUMERIC, "manhattan", m)).select("average_silhouette")
+        sizes = validity.cluster_sizes(d, m).select(F.col("n_clusters").alias("k"), "minimum_share", "balance")
+        apart = validity.variance_separation(d, NUMERIC, m).select("between_ratio", "calinski_harabasz")
+        one = sizes.join(apart).join(own).join(alike).join(validity.davies_bouldin(d, NUMERIC, m))  # a row each
+        return one.select(F.lit(m).alias("model_id"), F.lit("all").alias("feature_set"), F.lit(_GIVEN[m][0]).alias("method"), "*", F.lit(None).cast("double").alias("gap"))
+
+    made = [measured(m) for m in labels]
+    rows = made[0].unionByName(made[1]).unionByName(made[2]).unionByName(made[3])
+    extra = ranges.join(related, "model_id").select("model_id", F.col("mean_standardised_range").alias("mean_range"), F.col("mean_profiling_association").alias("mean_association"))
+    return numbering.checkpointed(rows.join(F.broadcast(extra), "model_id"))  # four rows
+
 
-_MODELS = [("m1", "set_5", "pam", 3, 0.31, 0.80, 0.20, 0.45, 0.82, 0.50, 210.0, 1.10), ("m2", "set_5", "hier", 4, 0.42, 0.35, 0.02, 0.40, 0.71, 0.41, 180.5, 0.90), ("m3", "set_4", "pam", 4, 0.28, 0.90, 0.18, 0.52, 0.55, 0.62, 240.0, 1.30), ("m4", "set_4", "kmeans", 5, 0.35, 0.70, 0.10, 0.60, 0.78, 0.55, 260.0, 1.05), ("m5", "set_4", "kmeans", 8, 0.35, 0.65, 0.06, 0.66, 0.61, 0.30, 150.0, 1.55)]
-_MODEL_COLUMNS = "model_id string, feature_set string, method string, k long, average_silhouette double, balance double, minimum_share double, between_ratio double, average_jaccard double, gap double, calinski_harabasz double, davies_bouldin double"
-_MODELS_SQL = "t AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}::BIGINT" if isinstance(v, int) else f"{v}::DOUBLE" for v in m) + ")" for m in _MODELS) + ") AS t(" + ", ".join(c.split()[0] for c in _MODEL_COLUMNS.split(", ")) + "))"
 _RANKED = f"""{_MODELS_SQL}, c AS (SELECT *, 0.45 * {_norm('average_silhouette')} + 0.2 * {_norm('balance')} + 0.15 * {_norm('minimum_share')} + 0.2 * {_norm('between_ratio')} AS composite_score, minimum_share >= 0.05 AS acceptable_size FROM t),
 mr AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, model_id) AS overall_rank, rank() OVER (ORDER BY average_silhouette DESC NULLS LAST) AS silhouette_rank FROM c)"""
 _VALIDATED = f"""{_RANKED}, va AS (SELECT *, average_jaccard >= 0.6 AS stable_model FROM mr), vs AS (SELECT *, 0.3 * {_norm('composite_score')} + 0.35 * {_norm('average_jaccard')} + 0.15 * {_norm('gap')} + 0.1 * {_norm('calinski_harabasz')} + 0.1 * (1 - {_norm('davies_bouldin')}) AS validation_score FROM va),
 vr AS (SELECT *, row_number() OVER (ORDER BY validation_score DESC NULLS LAST, model_id) AS validation_rank, CASE WHEN stable_model AND acceptable_size THEN 'Shortlist' WHEN NOT stable_model THEN 'Insufficient bootstrap stability' WHEN NOT acceptable_size THEN 'Cluster-size imbalance' ELSE 'Review' END AS shortlist_status FROM vs)"""
 
 
-def _ranked(spark: SparkSession) -> DataFrame:
-    return selection.model_rank(spark.createDataFrame(_MODELS, _MODEL_COLUMNS))
+def _ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return selection.model_rank(_given_models(spark, sf))
 
 
-def _validated(spark: SparkSession) -> DataFrame:
-    return selection.validation_rank(_ranked(spark).withColumn("stable_model", F.col("average_jaccard") >= config.SETTINGS.stable_jaccard))
+def _validated(spark: SparkSession, sf: str) -> DataFrame:
+    return selection.validation_rank(_ranked(spark, sf).withColumn("stable_model", F.col("average_jaccard") >= config.SETTINGS.stable_jaccard))
 
 
 @query(f"WITH {_RANKED} SELECT model_id, round(composite_score, 5) AS composite_score, acceptable_size, overall_rank, silhouette_rank FROM mr")
 def model_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_ranked(spark).select("model_id", "composite_score", "acceptable_size", "overall_rank", "silhouette_rank"))
+    return rounded(_ranked(spark, sf).select("model_id", "composite_score", "acceptable_size", "overall_rank", "silhouette_rank"))
 
 
 @query(f"WITH {_RANKED} SELECT method, model_id, round(composite_score, 5) AS composite_score FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY composite_score DESC NULLS LAST, model_id) AS i FROM mr) WHERE i = 1")
 def best_by_method(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(selection.best_by(_ranked(spark), "method").select("method", "model_id", "composite_score"))
+    return rounded(selection.best_by(_ranked(spark, sf), "method").select("method", "model_id", "composite_score"))
 
 
 @query(f"WITH {_RANKED} SELECT model_id, overall_rank FROM mr WHERE k IN (3, 4, 5, 6) AND acceptable_size ORDER BY overall_rank LIMIT 30")
 def models_to_validate(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(selection.to_validate(_ranked(spark)).select("model_id", "overall_rank"))
+    return rounded(selection.to_validate(_ranked(spark, sf)).select("model_id", "overall_rank"))
 
 
 @query(f"WITH {_VALIDATED} SELECT model_id, round(validation_score, 5) AS validation_score, validation_rank, shortlist_status FROM vr")
 def validation_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_validated(spark).select("model_id", "validation_score", "validation_rank", "shortlist_status"))
+    return rounded(_validated(spark, sf).select("model_id", "validation_score", "validation_rank", "shortlist_status"))
 
 
-@query(f"""WITH {_VALIDATED}, ca AS (SELECT * FROM vr WHERE shortlist_status = 'Shortlist' AND validation_score >= (SELECT max(validation_score) FROM vr WHERE shortlist_status = 'Shortlist') - 0.2),
-fs AS (SELECT model_id, 0.45 * {_norm('validation_score')} + 0.3 * {_norm('gap')} + 0.15 * {_norm('between_ratio')} + 0.1 * {_norm('balance')} AS final_score FROM ca)
+@query(f"""WITH {_VALIDATED}, sl AS (SELECT * FROM vr WHERE shortlist_status = 'Shortlist' OR NOT EXISTS (SELECT 1 FROM vr WHERE shortlist_status = 'Shortlist')), ca AS (SELECT * FROM sl WHERE validation_score >= (SELECT max(validation_score) FROM sl) - 0.2),
+fs AS (SELECT model_id, 0.45 * {_norm('validation_score')} + 0.3 * {_norm('mean_range')} + 0.15 * {_norm('mean_association')} + 0.1 * {_norm('balance')} AS final_score FROM ca)
 SELECT model_id, round(final_score, 5) AS final_score, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) AS final_rank, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) = 1 AS selected FROM fs""")
 def final_model(spark: SparkSession, sf: str) -> DataFrame:
-    c = selection.candidates(_validated(spark)).withColumn("mean_range", F.col("gap")).withColumn("mean_association", F.col("between_ratio"))
-    return rounded(selection.final_model(c).select("model_id", "final_score", "final_rank", "selected"))
+    return rounded(selection.final_model(selection.candidates(_validated(spark, sf))).select("model_id", "final_score", "final_rank", "selected"))
 
 
 @query("""WITH j AS (SELECT segment AS model_id, n_orders % 7 AS cluster, avg(CASE WHEN urgent = 'Yes' THEN 0.9 ELSE 0.5 END) AS mean_jaccard FROM r GROUP BY ALL)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortica import config
-from cohortica.operators import audit, distance, features, profile, rules, selection, summaries, validity
+from cohortica.operators import audit, distance, features, numbering, profile, rules, selection, summaries, validity
 from cohortica.plans import catalog as c
 from cohortica.plans.catalog import CATEGORICAL, GROUPS, NUMERIC, query, respondents, rounded
 
@@ -100,19 +102,25 @@ def exploratory_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Its components come from an eigenvalue decomposition, its models from a grid: no SQL."""
     filled = c.filled(spark, sf)
     quality = features.quality_metrics(respondents(spark, sf), NUMERIC)
-    best = summaries.best_of_kind(spark.createDataFrame(c._MODELS, c._MODEL_COLUMNS))
+    best = summaries.best_of_kind(c._given_models(spark, sf))
     components = summaries.components_for(features.pca_variance(filled, NUMERIC))
     return rounded(summaries.exploratory_summary(filled.count(), quality, features.high_correlations(features.correlation_pairs(filled, NUMERIC)), components, best, config.SETTINGS.sample_rows))
 
 
-@query(f"WITH {c._QUALITY} SELECT variable, n_unique, round(standard_deviation, 5) AS standard_deviation FROM q WHERE n_unique <= 1 OR standard_deviation IS NULL OR standard_deviation = 0")
+@query("""WITH x AS (SELECT 'n_components' AS variable, CAST(len(embedding) AS DOUBLE) AS value FROM embeddings UNION ALL SELECT 'label', label FROM embeddings)
+SELECT * FROM (SELECT variable, count(DISTINCT value) AS n_unique, round(stddev_samp(value), 5) AS standard_deviation FROM x GROUP BY variable) WHERE n_unique <= 1 OR standard_deviation IS NULL OR standard_deviation = 0""")
 def low_variance(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.low_variance(features.quality_metrics(respondents(spark, sf), NUMERIC)).select("variable", "n_unique", "standard_deviation"))
+    """Among what is known of all vectors, which all have as many components."""
+    known = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.size("embedding").alias("n_components"), "label")
+    return rounded(summaries.low_variance(features.quality_metrics(known, ["n_components", "label"])).select("variable", "n_unique", "standard_deviation"))
 
 
-@query(f"WITH {c._COUNTS} SELECT variable, n_missing, round(pct_missing, 5) AS pct_missing FROM c WHERE pct_missing >= 50")
+@query("""WITH d AS (SELECT quality, toxic, n_chars FROM documents LEFT JOIN labels USING (doc_id)), x AS (SELECT 'quality' AS variable, CAST(quality AS DOUBLE) AS value FROM d UNION ALL SELECT 'toxic', toxic FROM d UNION ALL SELECT 'n_chars', n_chars FROM d)
+SELECT * FROM (SELECT variable, count(*) - count(value) AS n_missing, round(100.0::DOUBLE * (count(*) - count(value)) / count(*), 5) AS pct_missing FROM x GROUP BY variable) WHERE pct_missing >= 50""")
 def high_missing(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.high_missing(_counts(spark, sf)).select("variable", "n_missing", "pct_missing"))
+    """Among what is known of all documents, of which few are rated."""
+    rated = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "n_chars").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left")
+    return rounded(summaries.high_missing(audit.variable_counts(rated, ["quality", "toxic", "n_chars"])).select("variable", "n_missing", "pct_missing"))
 
 
 _SETS = [("set_3", v) for v in ("v1", "v2", "v3")] + [("set_4", v) for v in ("v1", "v2", "v3", "v5")] + [("set_6", f"v{i}") for i in range(1, 7)]
@@ -142,48 +150,80 @@ def candidate_feature_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- distances and models ----
 
-_DISTANCES = [("set_4", m, k, s, b, n) for m, k, s, b, n in (("manhattan", 3, 0.31, 0.8, 0.2), ("manhattan", 4, 0.36, 0.7, 0.15), ("gower", 3, 0.36, 0.9, 0.25), ("gower", 4, 0.3, 0.6, 0.1))] + [("set_6", m, k, s, b, n) for m, k, s, b, n in (("manhattan", 3, 0.25, 0.85, 0.22), ("gower", 3, 0.28, 0.75, 0.18), ("gower", 5, 0.28, 0.65, 0.08))]
-_DISTANCE_COLUMNS = "feature_set string, distance_method string, k long, average_silhouette double, balance double, minimum_share double"
-_SPREADS = [("set_4", "manhattan", 0.4, 0.9), ("set_4", "gower", 0.5, 0.8), ("set_6", "manhattan", 0.3, 0.7)]
-_SPREAD_COLUMNS = "feature_set string, distance_method string, coefficient_of_variation double, relative_contrast double"
-_BEST = f"""{_values(_DISTANCES, _DISTANCE_COLUMNS, 'dq')}, {_values(_SPREADS, _SPREAD_COLUMNS, 'ds')}, b1 AS (SELECT *, row_number() OVER (PARTITION BY feature_set, distance_method ORDER BY average_silhouette DESC, k) AS i FROM dq),
+#: Feature sets whose distances are compared, and the given segmentations that they are judged by.
+_DISTANCE_SETS = {"all": NUMERIC, "orders": ["n_orders", "spend", "mean_order"]}
+_JUDGES = {"band": "CASE WHEN spend >= 1500000 THEN 'high' WHEN spend >= 1000000 THEN 'middle' ELSE 'low' END", "urgency": "urgent"}
+
+
+def _distance_sql() -> str:
+    of_set = lambda cols, m: " + ".join(f"abs(x.{v} - y.{v})" + (f" / w.{v}" if m == "gower" else "") for v in cols)
+    whole = {(f, m): f"({of_set(cols, m)})" + (f" / {len(cols)}" if m == "gower" else "") for f, cols in _DISTANCE_SETS.items() for m in ("manhattan", "gower")}
+    ranges = ", ".join(f"max({v}) - min({v}) AS {v}" for v in NUMERIC)
+    return f"""{c._SCALED}, w AS (SELECT {ranges} FROM z), jl AS (SELECT respondent_id, {', '.join(f'{e} AS {m}' for m, e in _JUDGES.items())} FROM r), zj AS (SELECT * FROM z JOIN jl USING (respondent_id)),
+dp AS MATERIALIZED (SELECT x.respondent_id AS i, y.respondent_id AS o, {', '.join(f'x.{m} AS x_{m}, y.{m} AS y_{m}' for m in _JUDGES)}, {', '.join(f'{d} AS {f}_{m}' for (f, m), d in whole.items())} FROM zj AS x JOIN zj AS y ON x.respondent_id <> y.respondent_id, w),
+dl AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature_set, '{m}' AS distance_method, '{j}' AS judge, i, x_{j} AS own, y_{j} AS theirs, avg({f}_{m}) AS m FROM dp GROUP BY ALL" for f, m in whole for j in _JUDGES)}),
+dab AS (SELECT feature_set, distance_method, judge, i, max(m) FILTER (own = theirs) AS a, min(m) FILTER (own <> theirs) AS b FROM dl GROUP BY ALL), dsi AS (SELECT feature_set, distance_method, judge, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS average_silhouette FROM dab GROUP BY ALL),
+dn AS (SELECT judge, cluster, count(*) AS n FROM ({' UNION ALL '.join(f"SELECT '{j}' AS judge, {j} AS cluster FROM jl" for j in _JUDGES)}) GROUP BY ALL), dz AS (SELECT judge, count(*) AS k, 1 - (max(n) - min(n)) / sum(n)::DOUBLE AS balance, min(n) / sum(n)::DOUBLE AS minimum_share FROM dn GROUP BY judge),
+dq AS (SELECT feature_set, distance_method, k, average_silhouette, balance, minimum_share FROM dsi JOIN dz USING (judge)),
+ds AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature_set, '{m}' AS distance_method, stddev_samp({f}_{m}) / avg({f}_{m}) AS coefficient_of_variation, (max({f}_{m}) - min({f}_{m})) / max({f}_{m}) AS relative_contrast FROM dp WHERE i < o" for f, m in whole)})"""
+
+
+_BEST = f"""{_distance_sql()}, b1 AS (SELECT *, row_number() OVER (PARTITION BY feature_set, distance_method ORDER BY average_silhouette DESC, k) AS i FROM dq),
 bd AS (SELECT * EXCLUDE (i), rank() OVER (PARTITION BY feature_set ORDER BY average_silhouette DESC) AS silhouette_rank FROM b1 WHERE i = 1)"""
 
 
-def _best(spark: SparkSession) -> DataFrame:
-    return summaries.best_distance(spark.createDataFrame(_DISTANCES, _DISTANCE_COLUMNS))
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Scaled respondents with the segmentations that judge a distance, fixed as it is read often."""
+    band = F.when(F.col("spend") >= 1_500_000, "high").when(F.col("spend") >= 1_000_000, "middle").otherwise("low")
+    given = respondents(spark, sf).select("respondent_id", band.alias("band"), F.col("urgent").alias("urgency"))
+    return numbering.checkpointed(c.scaled(spark, sf).drop("segment").join(given, "respondent_id"))
+
+
+def _best(spark: SparkSession, d: DataFrame) -> DataFrame:
+    def quality(f: str, m: str, judge: str) -> DataFrame:
+        own = validity.silhouette_summary(validity.silhouette_by_coordinates(d, "respondent_id", _DISTANCE_SETS[f], m, judge)).select("average_silhouette")
+        sizes = validity.cluster_sizes(d, judge).select(F.col("n_clusters").alias("k"), "balance", "minimum_share")
+        return own.join(sizes).select(F.lit(f).alias("feature_set"), F.lit(m).alias("distance_method"), "k", "average_silhouette", "balance", "minimum_share")  # a row each
+
+    made = [quality(f, m, j) for f in _DISTANCE_SETS for m in ("manhattan", "gower") for j in _JUDGES]
+    return summaries.best_distance(reduce(DataFrame.unionByName, made))
 
 
-@query(f"WITH {_BEST} SELECT * FROM bd")
+@query(f"WITH {_BEST} SELECT * REPLACE (round(average_silhouette, 5) AS average_silhouette, round(balance, 5) AS balance, round(minimum_share, 5) AS minimum_share) FROM bd")
 def best_distance(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_best(spark))
+    """Which of the given segmentations each distance over each feature set shows best, over all respondents."""
+    return rounded(_best(spark, _judged(spark, sf)))
 
 
 @query(f"""WITH {_BEST}, su AS (SELECT distance_method, count(*) AS feature_sets_evaluated, {c._r('avg(average_silhouette) AS mean_best_silhouette', 'median(average_silhouette) AS median_best_silhouette', 'avg(balance) AS mean_balance_score', 'avg(minimum_share) AS mean_minimum_cluster_share', 'avg(coefficient_of_variation) AS mean_distance_cv', 'avg(relative_contrast) AS mean_relative_contrast')}, count(*) FILTER (silhouette_rank = 1) AS wins_by_silhouette FROM bd LEFT JOIN ds USING (feature_set, distance_method) GROUP BY distance_method)
 SELECT *, rank() OVER (ORDER BY mean_best_silhouette DESC) AS overall_rank FROM su""")
 def distance_method_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.distance_method_summary(_best(spark), spark.createDataFrame(_SPREADS, _SPREAD_COLUMNS)))
+    d = _judged(spark, sf)
+    spread = lambda f, m: distance.distance_distribution(distance.pairwise(d, "respondent_id", _DISTANCE_SETS[f], m)).select(F.lit(f).alias("feature_set"), F.lit(m).alias("distance_method"), "coefficient_of_variation", "relative_contrast")
+    spreads = reduce(DataFrame.unionByName, [spread(f, m) for f in _DISTANCE_SETS for m in ("manhattan", "gower")])
+    return rounded(summaries.distance_method_summary(_best(spark, d), spreads))
 
 
 @query(f"WITH {c._V}, p AS (SELECT {c._D['euclidean']} AS euclidean, {c._D['manhattan']} AS manhattan, {c._D['gower']} AS gower FROM v AS a JOIN v AS b ON a.id < b.id) " + " UNION ALL ".join(f"SELECT '{a}' AS method_1, '{b}' AS method_2, round(corr({a}, {b}), 5) AS pearson, count(*) AS n_pairs FROM p" for a, b in (("euclidean", "gower"), ("euclidean", "manhattan"), ("gower", "manhattan"))))
 def distance_pearson(spark: SparkSession, sf: str) -> DataFrame:
     """Pearson's coefficient of every two distances over all pairs, from one table of pairs."""
-    return rounded(distance.all_correlations(distance.pairwise_many(c._vectors(spark, sf), "id", c._X, distance.METHODS), distance.METHODS))
+    v, names = c._vectors(spark, sf)
+    return rounded(distance.all_correlations(distance.pairwise_many(v, "id", names, distance.METHODS), distance.METHODS))
 
 
 @query(f"WITH {c._RANKED} SELECT method, count(*) AS models_evaluated, {c._r('avg(average_silhouette) AS mean_silhouette', 'max(average_silhouette) AS maximum_silhouette', 'avg(balance) AS mean_balance_score', 'avg(minimum_share) AS mean_minimum_cluster_share', 'avg(between_ratio) AS mean_between_ss_ratio', 'avg(composite_score) AS mean_composite_score')}, count(*) FILTER (acceptable_size) AS acceptable_size_models FROM mr GROUP BY method")
 def model_comparison_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.model_comparison_summary(c._ranked(spark), "method"))
+    return rounded(summaries.model_comparison_summary(c._ranked(spark, sf), "method"))
 
 
 @query(f"WITH {c._VALIDATED} SELECT method, count(*) AS models_validated, {c._r('avg(average_jaccard) AS mean_jaccard', 'max(average_jaccard) AS maximum_jaccard', 'avg(gap) AS mean_gap', 'avg(validation_score) AS mean_validation_score')}, count(*) FILTER (stable_model) AS stable_models, count(*) FILTER (shortlist_status = 'Shortlist') AS shortlist_models FROM vr GROUP BY method")
 def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.validation_summary(c._validated(spark), "method"))
+    return rounded(summaries.validation_summary(c._validated(spark, sf), "method"))
 
 
 @query(f"WITH {c._RANKED}, b AS (SELECT *, row_number() OVER (PARTITION BY method ORDER BY average_silhouette DESC, k) AS i FROM mr) SELECT method, k, round(average_silhouette, 5) AS average_silhouette FROM b WHERE i = 1")
 def best_of_kind(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.best_of_kind(c._ranked(spark)))
+    return rounded(summaries.best_of_kind(c._ranked(spark, sf)))
 
 
 # three segmentations of all respondents: by market segment, by what they spend, and by urgency
@@ -259,21 +299,20 @@ def segment_profile_labelled(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out)
 
 
-#: Positions of segments on five dimensions, so that each rule is met.
-_POSITIONS = [("s1", "Ready and assured", "High", "High", "Low", "High"), ("s2", "Held back by barriers", "Low", "Moderate", "High", "Moderate"), ("s3", "Unsure of themselves", "Moderate", "Low", "High", "Low"), ("s4", "Mixed middle", "Moderate", "Moderate", "Moderate", "Low"), ("s5", "Mixed middle", "Moderate", "High", "Moderate", "High"), ("s6", "Active, not committed", "High", "Low", "Low", "Moderate")]
-_POSITION_COLUMNS = "segment string, working_name string, readiness string, confidence string, barriers string, trust string"
-_PLACED = _values(_POSITIONS, _POSITION_COLUMNS, "po")
+# positions of the market segments; what they spend stands for trust
+_PLACED = f"{c._WIDE}, po AS (SELECT segment, {c._NAME} AS working_name, {', '.join(f'{c._LEVEL(d)} AS {n}' for n, d in (('readiness', 'readiness'), ('confidence', 'confidence'), ('barriers', 'barriers'), ('trust', 'engagement')))} FROM st)"
 _TONE = "CASE WHEN trust = 'Low' THEN 'Open, with evidence' WHEN confidence = 'Low' THEN 'Encouraging, without blame' WHEN readiness = 'High' THEN 'Decisive' ELSE 'Even and informative' END AS tone, CASE WHEN readiness = 'Low' THEN 'Pressing for action' WHEN confidence = 'Low' THEN 'Hints at failing' WHEN barriers = 'High' THEN 'Passing over cost, time or effort' WHEN trust = 'Low' THEN 'Claims without proof' ELSE 'The same words for everyone' END AS avoid"
 
 
-def _positions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_POSITIONS, _POSITION_COLUMNS)
+def _positions(spark: SparkSession, sf: str) -> DataFrame:
+    level = lambda d, n: rules.classify_level(F.col(d), cut=0.02).alias(n)
+    return c._named(spark, sf).select("segment", "working_name", level("readiness", "readiness"), level("confidence", "confidence"), level("barriers", "barriers"), level("engagement", "trust"))
 
 
 @query(f"""WITH {_PLACED} SELECT segment, working_name, CASE WHEN readiness = 'High' THEN 'Short and direct, with the least effort asked' WHEN confidence = 'Low' THEN 'Guided, with support at each step' WHEN barriers = 'High' THEN 'Practical, with the obstacles taken first' ELSE 'Flexible, fitted to the person' END AS delivery_style,
 CASE WHEN confidence = 'Low' AND barriers = 'High' THEN 'High' WHEN readiness = 'High' THEN 'Low to moderate' ELSE 'Moderate' END AS support_intensity, CASE WHEN readiness = 'High' THEN 'Begin today' WHEN confidence = 'Low' THEN 'Try one step with help' WHEN barriers = 'High' THEN 'See an easier way' ELSE 'Find out more' END AS call_to_action, {_TONE} FROM po""")
 def interventions(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.interventions(_positions(spark))
+    return rules.interventions(_positions(spark, sf))
 
 
 _HIERARCHY = "unnest([1, 2, 3])::BIGINT AS message_rank, unnest(['Main', 'Support', 'Doubts']) AS message_type, unnest([CASE readiness WHEN 'High' THEN 'You are set to begin' WHEN 'Low' THEN 'There is no hurry' ELSE 'A small start is enough' END, CASE confidence WHEN 'Low' THEN 'We go with you at each step' WHEN 'High' THEN 'You know how to do this' ELSE 'You can learn as you go' END, CASE barriers WHEN 'High' THEN 'We take care of cost and effort' ELSE 'It fits in with what you do already' END]) AS message"
@@ -281,17 +320,17 @@ _HIERARCHY = "unnest([1, 2, 3])::BIGINT AS message_rank, unnest(['Main', 'Suppor
 
 @query(f"WITH {_PLACED} SELECT segment, working_name, {_HIERARCHY} FROM po")
 def message_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rules.message_hierarchy(_positions(spark)))
+    return rounded(rules.message_hierarchy(_positions(spark, sf)))
 
 
 @query(f"WITH {_PLACED} SELECT segment, working_name, {_HIERARCHY}, {_TONE} FROM po")
 def message_framework(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rules.message_framework(_positions(spark)))
+    return rounded(rules.message_framework(_positions(spark, sf)))
 
 
 @query(f"""WITH {_PLACED} SELECT segment, chr(8220) || CASE WHEN readiness = 'High' AND confidence = 'High' THEN 'Tell me the next step and I will take it.' WHEN confidence = 'Low' THEN 'I would like to, if someone shows me that I can.' WHEN barriers = 'High' THEN 'It costs me too much time and money as things are.' ELSE 'I may change if it suits my life.' END || chr(8221) AS persona_quote FROM po""")
 def persona_quote(spark: SparkSession, sf: str) -> DataFrame:
-    return _positions(spark).select("segment", rules.quote(F.col("readiness"), F.col("confidence"), F.col("barriers")).alias("persona_quote"))
+    return _positions(spark, sf).select("segment", rules.quote(F.col("readiness"), F.col("confidence"), F.col("barriers")).alias("persona_quote"))
 
 
 _STRATEGIES = _values(rules.STRATEGY, rules.STRATEGY_COLUMNS, "sy")
@@ -300,15 +339,14 @@ _STRATEGIES = _values(rules.STRATEGY, rules.STRATEGY_COLUMNS, "sy")
 query(f"WITH {c._WIDE}, {_STRATEGIES}, na AS (SELECT segment, {c._NAME} AS working_name FROM st) SELECT * FROM na LEFT JOIN sy USING (working_name)")(c.strategy)
 
 
-@query(f"""WITH {_PLACED}, {_STRATEGIES}, {_values([("s1", "High"), ("s2", "Very high"), ("s4", "Lower")], "segment string, priority string", "pr")} SELECT segment, unnest(range(1, 7)) AS action_rank, unnest(['Brief the team: ' || core_problem, 'Prepare the offer: ' || service, 'Prepare the message: ' || message, 'Open the channel: ' || channel, 'Support the first step: ' || call_to_action, 'Review at priority ' || lower(priority)]) AS action FROM po LEFT JOIN sy USING (working_name) LEFT JOIN pr USING (segment)""")
+@query(f"""WITH {_PLACED}, {_STRATEGIES}, pr AS (SELECT segment, {c._BAND} AS priority FROM (SELECT *, {c._SCORE} AS s FROM st)) SELECT segment, unnest(range(1, 7)) AS action_rank, unnest(['Brief the team: ' || core_problem, 'Prepare the offer: ' || service, 'Prepare the message: ' || message, 'Open the channel: ' || channel, 'Support the first step: ' || call_to_action, 'Review at priority ' || lower(priority)]) AS action FROM po LEFT JOIN sy USING (working_name) LEFT JOIN pr USING (segment)""")
 def segment_actions(spark: SparkSession, sf: str) -> DataFrame:
-    priorities = spark.createDataFrame([("s1", "High"), ("s2", "Very high"), ("s4", "Lower")], "segment string, priority string")
-    return rounded(rules.segment_actions(rules.strategy(_positions(spark).select("segment", "working_name")), priorities))
+    return rounded(rules.segment_actions(rules.strategy(_positions(spark, sf).select("segment", "working_name")), c._prioritised(spark, sf)))
 
 
 @query(f"""WITH {_PLACED}, {_STRATEGIES} SELECT segment, unnest(range(1, 5)) AS kpi_rank, unnest(['Reach by ' || lower(channel), 'Response to: ' || message, 'Starts of ' || lower(service), 'Objective met: ' || objective]) AS kpi FROM po LEFT JOIN sy USING (working_name)""")
 def segment_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rules.segment_kpis(rules.strategy(_positions(spark).select("segment", "working_name"))))
+    return rounded(rules.segment_kpis(rules.strategy(_positions(spark, sf).select("segment", "working_name"))))
 
 
 @query(f"""WITH {c._WIDE}, na AS (SELECT segment, {c._NAME} AS working_name FROM st), sc AS (SELECT segment, {c._SCORE} AS s FROM st), tr AS (SELECT segment, CASE WHEN standardised_mean >= 0 THEN 'higher ' ELSE 'lower ' END || variable AS t, row_number() OVER (PARTITION BY segment ORDER BY abs(standardised_mean) DESC NULLS LAST, variable) AS k FROM pf),

@@ -159,3 +159,15 @@ def test_difference_tests(spark):
 def test_priority(spark):
     one = spark.range(1).select(rules.priority_score(F.lit("very high"), F.lit("limited"), F.lit("strong"), F.lit(31.0)).alias("s"))
     assert one.first().s == 10
+
+
+def test_advice_meets_each_rule(spark):
+    positions = [("s1", "a", "High", "High", "Low", "High"), ("s2", "b", "Low", "Moderate", "High", "Moderate"), ("s3", "c", "Moderate", "Low", "High", "Low"), ("s4", "d", "Moderate", "Moderate", "Moderate", "Low"), ("s5", "d", "Moderate", "High", "Moderate", "High"), ("s6", "e", "High", "Low", "Low", "Moderate")]
+    p = spark.createDataFrame(positions, "segment string, working_name string, readiness string, confidence string, barriers string, trust string")
+    got = {r.segment: r for r in rules.interventions(p).collect()}
+    assert [got[f"s{i}"].call_to_action for i in range(1, 7)] == ["Begin today", "See an easier way", "Try one step with help", "Find out more", "Find out more", "Begin today"]
+    assert [got[f"s{i}"].support_intensity for i in range(1, 7)] == ["Low to moderate", "Moderate", "High", "Moderate", "Moderate", "Low to moderate"]
+    assert [got[f"s{i}"].tone for i in range(1, 7)] == ["Decisive", "Even and informative", "Open, with evidence", "Open, with evidence", "Even and informative", "Encouraging, without blame"]
+    assert [got[f"s{i}"].avoid for i in range(1, 7)] == ["The same words for everyone", "Pressing for action", "Hints at failing", "Claims without proof", "The same words for everyone", "Hints at failing"]
+    said = [r.message for r in rules.message_hierarchy(p).orderBy("segment", "message_rank").collect()]
+    assert len(said) == 18 and said[:3] == ["You are set to begin", "You know how to do this", "It fits in with what you do already"] and said[3] == "There is no hurry"
