@@ -694,6 +694,12 @@ def gap_statistic(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.gap_statistic(filled(spark, sf), "respondent_id", NUMERIC)
 
 
+@query()
+def kmeans_transfers(spark: SparkSession, sf: str) -> DataFrame:
+    """k-means of all respondents that no transfer of a single one improves."""
+    return cluster.hartigan_wong(scaled(spark, sf), "respondent_id", NUMERIC, 4)
+
+
 @query()
 def kmedoids(spark: SparkSession, sf: str) -> DataFrame:
     """k-medoids over all respondents by Manhattan distance."""

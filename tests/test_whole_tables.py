@@ -121,3 +121,27 @@ def test_blocks_follow_the_rows(spark, monkeypatch):
     df = spark.range(50).withColumn("x", F.col("id") * 1.5)
     pairs = distance.pairwise(df, "id", ["x"], "manhattan")
     assert pairs.rdd.getNumPartitions() == 13**2 and pairs.count() == 50 * 49 // 2
+
+
+def squares(x, labels):
+    return sum(((x[labels == c] - x[labels == c].mean(axis=0)) ** 2).sum() for c in np.unique(labels))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_transfer_improves(spark, seed):
+    """Not above Lloyd's sum of squares from the same start, and no row is better off in another cluster."""
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(0, 1, (150, 3)), 3)  # no clear clusters, so Lloyd ends early
+    df, k = frame(spark, x), 6
+    labels = lambda d: np.array([r.cluster for r in sorted(d.collect(), key=lambda r: r.id)])
+    lloyd = labels(cluster.kmeans(df, "id", ["a", "b", "c"], k, starts=1, sample=50))
+    got = labels(cluster.hartigan_wong(df, "id", ["a", "b", "c"], k, starts=1, sample=50))
+    cost = squares(x, got)
+    assert len(got) == 150 and cost <= squares(x, lloyd) + 1e-9
+    for i in range(150):
+        for c in set(np.unique(got)) - {got[i]}:
+            if (got == got[i]).sum() > 1:
+                moved = got.copy()
+                moved[i] = c
+                assert squares(x, moved) >= cost - 1e-6
+    assert cluster.hartigan_wong(df, "id", ["a"], 1, starts=1).select("cluster").distinct().count() == 1
