@@ -129,10 +129,10 @@ def implications(positions: DataFrame) -> DataFrame:
 
 
 def message_advice(positions: DataFrame) -> DataFrame:
-    """positions: also trust -> tone, avoid."""
+    """positions: also trust -> segment, working_name, tone, avoid."""
     ready, unready, unsure, blocked, wary = F.col("readiness") == "High", F.col("readiness") == "Low", F.col("confidence") == "Low", F.col("barriers") == "High", F.col("trust") == "Low"
     return positions.select(
-        "segment",
+        "segment", "working_name",
         _first((wary, "Open, with evidence"), (unsure, "Encouraging, without blame"), (ready, "Decisive"), other="Even and informative").alias("tone"),
         _first((unready, "Pressing for action"), (unsure, "Hints at failing"), (blocked, "Passing over cost, time or effort"), (wary, "Claims without proof"), other="The same words for everyone").alias("avoid"),
     )
@@ -140,7 +140,7 @@ def message_advice(positions: DataFrame) -> DataFrame:
 
 def interventions(positions: DataFrame) -> DataFrame:
     """implications and advice side by side, whichever of the two a segment has."""
-    return implications(positions).join(message_advice(positions), "segment", "full")
+    return implications(positions).join(message_advice(positions), ["segment", "working_name"], "full")
 
 
 def quote(readiness: Column, confidence: Column, barriers: Column) -> Column:
@@ -160,7 +160,7 @@ def message_hierarchy(positions: DataFrame) -> DataFrame:
 
 def message_framework(positions: DataFrame) -> DataFrame:
     """The hierarchy with each segment's tone and what to avoid."""
-    return message_hierarchy(positions).join(message_advice(positions), "segment", "left")
+    return message_hierarchy(positions).join(message_advice(positions), ["segment", "working_name"], "left")
 
 
 def segment_actions(strategies: DataFrame, priorities: DataFrame) -> DataFrame:

@@ -199,6 +199,34 @@ def with_metadata(table: DataFrame, metadata: DataFrame) -> DataFrame:
     return table.join(F.broadcast(metadata.select("variable", *[c for c in ("label", "group", "data_type", "description") if c in metadata.columns])), "variable", "left")
 
 
+def named_sizes(sizes: DataFrame, names: DataFrame | None) -> DataFrame:
+    """sizes with each segment's working_name from names, if sizes has none and names knows any; else sizes as they are."""
+    if "working_name" in sizes.columns or "segment" not in sizes.columns or names is None or not {"segment", "working_name"} <= set(names.columns) or names.isEmpty():
+        return sizes
+    return sizes.join(F.broadcast(names.select("segment", "working_name").distinct()), "segment", "left")  # a row a segment
+
+
+def persona_table(sizes: DataFrame, narratives: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """A row for each segment's size: its narrative, if that tells of the same segment, name, number and share, and what is recommended for segment and name."""
+    return sizes.join(narratives, ["segment", "working_name", "n", "share_pct"], "left").join(recommendations, ["segment", "working_name"], "left")
+
+
+#: Column of the chosen model -> how the summary names it.
+MODEL_ITEMS = {
+    "model_id": "Final model ID", "feature_set": "Feature set", "feature_count": "Feature count", "method": "Method", "distance": "Distance method", "k": "Number of segments", "validation_score": "Validation score",
+    "average_jaccard": "Mean Jaccard stability", "average_silhouette": "Average silhouette", "minimum_share": "Minimum cluster share", "balance": "Balance score", "mean_range": "Mean profile distinctness",
+    "mean_association": "Mean profiling association", "mean_ari_with_other_candidates": "Mean ARI with other candidates", "final_score": "Profile comparison score",
+}
+
+
+def final_model_summary(final: DataFrame) -> DataFrame:
+    """item, value (as text; measures with six decimals) of the selected model, for whichever of MODEL_ITEMS it has."""
+    kinds = dict(final.dtypes)
+    told = {c: F.format_string("%.6f", F.col(c)) if kinds[c] in ("double", "float") else F.col(c).cast("string") for c in MODEL_ITEMS if c in kinds}
+    rows = F.array(*[F.struct(F.lit(MODEL_ITEMS[c]).alias("item"), F.when(F.col(c).isNotNull(), v).alias("value")) for c, v in told.items()])
+    return final.where("selected").select(F.explode(rows).alias("v")).select("v.*")
+
+
 def segment_overview(sizes: DataFrame, names: DataFrame, characteristics: DataFrame, interventions: DataFrame) -> DataFrame:
     """One row per segment: size, name, narrative, characteristics, priority and message, as far as known."""
     return sizes.join(names, "segment", "left").join(characteristics, "segment", "left").join(interventions, "segment", "left")

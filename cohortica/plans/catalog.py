@@ -785,8 +785,11 @@ def validation_rank(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_validated(spark, sf).select("model_id", "validation_score", "validation_rank", "shortlist_status"))
 
 
-@query(f"""WITH {_VALIDATED}, sl AS (SELECT * FROM vr WHERE shortlist_status = 'Shortlist' OR NOT EXISTS (SELECT 1 FROM vr WHERE shortlist_status = 'Shortlist')), ca AS (SELECT * FROM sl WHERE validation_score >= (SELECT max(validation_score) FROM sl) - 0.2),
-fs AS (SELECT model_id, 0.45 * {_norm('validation_score')} + 0.3 * {_norm('mean_range')} + 0.15 * {_norm('mean_association')} + 0.1 * {_norm('balance')} AS final_score FROM ca)
+_CANDIDATES = f"""{_VALIDATED}, sl AS (SELECT * FROM vr WHERE shortlist_status = 'Shortlist' OR NOT EXISTS (SELECT 1 FROM vr WHERE shortlist_status = 'Shortlist')), ca AS (SELECT * FROM sl WHERE validation_score >= (SELECT max(validation_score) FROM sl) - 0.2),
+fs AS (SELECT *, 0.45 * {_norm('validation_score')} + 0.3 * {_norm('mean_range')} + 0.15 * {_norm('mean_association')} + 0.1 * {_norm('balance')} AS final_score FROM ca)"""
+
+
+@query(f"""WITH {_CANDIDATES}
 SELECT model_id, round(final_score, 5) AS final_score, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) AS final_rank, row_number() OVER (ORDER BY final_score DESC NULLS LAST, model_id) = 1 AS selected FROM fs""")
 def final_model(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(selection.final_model(selection.candidates(_validated(spark, sf))).select("model_id", "final_score", "final_rank", "selected"))

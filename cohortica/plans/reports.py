@@ -371,3 +371,40 @@ def report_levels(spark: SparkSession, sf: str) -> DataFrame:
     """A segment's 12 commonest levels: a top-k report."""
     d = respondents(spark, sf)
     return rounded(summaries.report_rows(profile.segment_profile(d, NUMERIC), profile.categorical_profile(d, CATEGORICAL))[1].select("segment", "rank", "variable", "level", "n"))
+
+
+# ---- joins of stages ----
+
+
+@query(f"""WITH {c._COUNTS}, {_DECLARED} SELECT variable, n_missing, round(pct_missing, 5) AS pct_missing, label, "group", data_type FROM c LEFT JOIN md USING (variable)""")
+def missingness_described(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(summaries.with_metadata(audit.missingness(respondents(spark, sf), _ALL), _declared(spark)).select("variable", "n_missing", "pct_missing", "label", "group", "data_type"))
+
+
+@query(f"""WITH {_DECLARED}, v AS (SELECT * FROM ({c._unpivot(NUMERIC)}) WHERE value IS NOT NULL) SELECT variable, count(*) AS n, round(avg(value), 5) AS mean, round(stddev_samp(value), 5) AS standard_deviation, any_value(label) AS label, any_value("group") AS "group", any_value(data_type) AS data_type FROM v LEFT JOIN md USING (variable) GROUP BY variable""")
+def distribution_described(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(summaries.with_metadata(audit.distribution(respondents(spark, sf), NUMERIC).select("variable", "n", "mean", "standard_deviation"), _declared(spark)))
+
+
+@query(f"WITH {c._WIDE} SELECT segment, n, share_pct, {c._NAME} AS working_name FROM st")
+def named_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = profile.segment_sizes(respondents(spark, sf)).select("segment", "n", "share_pct")
+    return rounded(summaries.named_sizes(sizes, c._named(spark, sf)).select("segment", "n", "share_pct", "working_name"))
+
+
+@query(f"""WITH {_PLACED}, {_STRATEGIES}, nr AS (SELECT segment, {c._NAME} AS working_name, n, share_pct, 'Readiness is ' || lower({c._LEVEL('readiness')}) AS told FROM st WHERE readiness >= 0)
+SELECT st.segment, po.working_name, st.n, st.share_pct, told, objective, channel FROM st JOIN po USING (segment) LEFT JOIN nr ON nr.segment = st.segment AND nr.working_name = po.working_name AND nr.n = st.n AND nr.share_pct = st.share_pct LEFT JOIN sy ON sy.working_name = po.working_name""")
+def persona_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes with narratives by segment, name, number and share, and with strategies by segment and name; a narrative is only told of the ready."""
+    d = c._named(spark, sf)
+    told = d.where("readiness >= 0").select("segment", "working_name", "n", "share_pct", F.concat(F.lit("Readiness is "), F.lower(rules.classify_level(F.col("readiness"), cut=0.02))).alias("told"))
+    recommended = rules.strategy(d.select("segment", "working_name")).select("segment", "working_name", "objective", "channel")
+    return rounded(summaries.persona_table(d.select("segment", "working_name", "n", "share_pct"), told, recommended))
+
+
+_FINAL = {"Final model ID": "model_id", "Feature set": "feature_set", "Method": "method", "Number of segments": "CAST(k AS VARCHAR)"} | {n: f"printf('%.6f', {e})" for n, e in (("Validation score", "validation_score"), ("Mean Jaccard stability", "average_jaccard"), ("Average silhouette", "average_silhouette"), ("Minimum cluster share", "minimum_share"), ("Balance score", "balance"), ("Mean profile distinctness", "mean_range"), ("Mean profiling association", "mean_association"), ("Profile comparison score", "final_score"))}
+
+
+@query(f"WITH {c._CANDIDATES} SELECT unnest([{', '.join(repr(n) for n in _FINAL)}]) AS item, unnest([{', '.join(_FINAL.values())}]) AS value FROM (SELECT * FROM fs ORDER BY final_score DESC NULLS LAST, model_id LIMIT 1)")
+def final_model_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return summaries.final_model_summary(selection.final_model(selection.candidates(c._validated(spark, sf))))

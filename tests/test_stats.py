@@ -171,3 +171,15 @@ def test_advice_meets_each_rule(spark):
     assert [got[f"s{i}"].avoid for i in range(1, 7)] == ["The same words for everyone", "Pressing for action", "Hints at failing", "Claims without proof", "The same words for everyone", "Hints at failing"]
     said = [r.message for r in rules.message_hierarchy(p).orderBy("segment", "message_rank").collect()]
     assert len(said) == 18 and said[:3] == ["You are set to begin", "You know how to do this", "It fits in with what you do already"] and said[3] == "There is no hurry"
+
+
+def test_sizes_are_named_only_where_names_are_known(spark):
+    from cohortica.operators import summaries
+
+    sizes = spark.createDataFrame([("a", 3), ("b", 4)], "segment string, n int")
+    names = spark.createDataFrame([("a", "first"), ("a", "first"), ("c", "third")], "segment string, working_name string")
+    assert sorted(map(tuple, summaries.named_sizes(sizes, names).collect())) == [("a", 3, "first"), ("b", 4, None)]
+    named = sizes.withColumn("working_name", F.lit("own"))
+    assert summaries.named_sizes(named, names) is named and summaries.named_sizes(sizes, None) is sizes and summaries.named_sizes(sizes, names.limit(0)) is sizes
+    final = spark.createDataFrame([("m", 3, 0.5, True), ("n", 4, 0.1, False)], "model_id string, k int, balance double, selected boolean")
+    assert [tuple(r) for r in summaries.final_model_summary(final).collect()] == [("Final model ID", "m"), ("Number of segments", "3"), ("Balance score", "0.500000")]
