@@ -30,7 +30,7 @@ QUANTILES = 256
 
 
 def spots(text: Column) -> Column:
-    """The set of a text's spots as sorted numbers of 32 bits.
+    """The set of a text's spots as sorted numbers of 64 bits.
 
     Letters and digits make words, in lower case. However many common words
     stand in a row, each has the same chain. A text without spots, as one
@@ -49,13 +49,13 @@ def spots(text: Column) -> Column:
         def before(k: Column) -> Column:
             start = F.when(k > 0, F.get(at, k - 1) + 1).otherwise(F.lit(0))
             chain = [F.get(words, F.get(at, k + c)) for c in range(CHAIN)]
-            return F.transform(F.slice(words, start + 1, F.get(at, k) - start), lambda a: F.hash(F.concat_ws(" ", a, *chain)))
+            return F.transform(F.slice(words, start + 1, F.get(at, k) - start), lambda a: F.xxhash64(F.concat_ws(" ", a, *chain)))
 
-        return F.when(F.size(at) >= CHAIN, F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - CHAIN), before))).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(at) >= CHAIN, F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - CHAIN), before))).otherwise(F.array().cast("array<bigint>"))
 
     def runs(words: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
-        return F.when(F.size(words) > 0, F.transform(starts, lambda i: F.hash(F.array_join(F.slice(words, i, F.lit(3)), " ")))).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(words) > 0, F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(3)), " ")))).otherwise(F.array().cast("array<bigint>"))
 
     return F.sort_array(F.array_distinct(let(words, marked)))
 
@@ -75,8 +75,8 @@ def pruned_jaccard(a: Column, b: Column, floor: float = 0.0) -> Column:
 
 
 def as_text(fingerprint: Column) -> Column:
-    """Eight hexadecimal digits for each spot."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
+    """Sixteen hexadecimal digits for each spot."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
 def _blocks(known: DataFrame, rows_per_block: int) -> DataFrame:

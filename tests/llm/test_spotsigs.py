@@ -38,7 +38,7 @@ def test_query_against_brute_force(spark):
         g = got[r["doc_id"]]
         assert g.n_chars == len(t) and g.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         a, e, x = spots(t), spots(edited), spots(nxt)
-        assert len(g.fingerprint) == 8 * len(a) and len(g.edited_fingerprint) == 8 * len(e)
+        assert len(g.fingerprint) == 16 * len(a) and len(g.edited_fingerprint) == 16 * len(e)
         for other, value in ((e, g.near_edited), (x, g.near_next)):
             assert value == pytest.approx(jaccard(a, other))
 
