@@ -158,12 +158,12 @@ def pam(d: np.ndarray, k: int, most_swaps: int = 200) -> tuple[np.ndarray, np.nd
     return np.array(medoids), d[medoids].argmin(axis=0) + 1
 
 
-def average_linkage(d: np.ndarray) -> np.ndarray:
-    """Merges (i, j, height) of rows and earlier merges (n, n + 1, ...), by nearest-neighbour chains in O(n^2)."""
+def average_linkage(d: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Merges (i, j, height) of rows, the lowest first, by nearest-neighbour chains in O(n^2); i and j are rows of the two clusters. sizes: how many rows each row stands for."""
     n = len(d)
     d = d.astype(float).copy()
     np.fill_diagonal(d, np.inf)
-    size, alive, made = np.ones(n), np.ones(n, bool), []
+    size, alive, made = np.ones(n) if sizes is None else sizes.astype(float), np.ones(n, bool), []
     chain: list[int] = []
     for _ in range(n - 1):
         if not chain:

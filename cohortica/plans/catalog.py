@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortica import config
 from cohortica.functions import stats
-from cohortica.operators import audit, clean, cluster, distance, features, numbering, profile, rules, selection, summaries, validity
+from cohortica.operators import audit, clean, cluster, distance, features, linkage, numbering, profile, rules, selection, summaries, validity
 from cohortica.streaming import behaviour
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -706,6 +706,12 @@ def kmedoids(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.k_medoids(scaled(spark, sf), "respondent_id", NUMERIC, 4)
 
 
+@query()
+def average_linkage_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Average linkage over all respondents by Manhattan distance."""
+    return linkage.average_linkage_rows(scaled(spark, sf), "respondent_id", NUMERIC, 4)
+
+
 # ---- ranking of models: four given segmentations of all respondents, measured ----
 
 _BANDS = "CASE WHEN spend >= 1500000 THEN 'high' WHEN spend >= 1000000 THEN 'middle' ELSE 'low' END"
