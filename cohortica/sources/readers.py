@@ -6,28 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortica.sources.spss import SpssSource
+from cohortica.sources.workbook import WorkbookSource
+
 METADATA_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("variable", "label", "role", "group", "data_type", "scale", "include_segmentation", "include_profiling", "allow_missing", "description", "force_keep", "force_exclude")]
 )
 
 
-def read_table(spark: SparkSession, path: str, sheet: int | str = 0, encoding: str = "UTF-8", delimiter: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """csv, txt, tsv, parquet, json, orc by Spark; xlsx and xls by pandas on the driver, as a workbook is one file of bounded size."""
+def read_table(spark: SparkSession, path: str, sheet: int | str = 0, encoding: str | None = None, delimiter: str | None = None, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """csv, txt, tsv, parquet, json, orc by Spark; xlsx and sav by the sources of this package; xls by pandas on the driver, as such a workbook has 65,536 rows a sheet at most.
+
+    multi_line: quoted values of text files may hold line breaks. Such a file is one task, others are
+    split. Without a schema, text files are read twice, and sheets too.
+    """
     kind = path.rstrip("/").rpartition(".")[2].lower()
     if kind in ("csv", "txt", "tsv"):
         separator = delimiter or ("," if kind == "csv" else "\t")
-        reader = spark.read.option("header", True).option("encoding", encoding).option("sep", separator).option("multiLine", True).option("escape", '"')
+        reader = spark.read.option("header", True).option("encoding", encoding or "UTF-8").option("sep", separator).option("multiLine", multi_line).option("escape", '"')
         return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    reader = spark.read.schema(schema) if schema else spark.read
     if kind in ("parquet", "json", "orc"):
-        reader = spark.read.schema(schema) if schema else spark.read
         return reader.format(kind).load(path)
-    if kind in ("xlsx", "xls"):
+    if kind == "xlsx":
+        spark.dataSource.register(WorkbookSource)
+        return reader.format("workbook").option("sheet", str(sheet)).load(path)
+    if kind == "sav":
+        spark.dataSource.register(SpssSource)
+        return (reader.option("encoding", encoding) if encoding else reader).format("spss").load(path)
+    if kind == "xls":
         import pandas as pd
 
         try:
             frame = pd.read_excel(path, sheet_name=sheet)
         except ImportError as e:
-            raise RuntimeError("reading workbooks needs an Excel engine for pandas") from e
+            raise RuntimeError("reading old workbooks needs an Excel engine for pandas") from e
         return spark.createDataFrame(frame.astype(object).where(frame.notna(), None))
     raise ValueError(f"unsupported file type: {kind}")
 

@@ -60,7 +60,7 @@ def test_readers_and_writers(spark, tmp_path):
     assert readers.read_or_empty(spark, str(tmp_path / "none.parquet"), spark.range(1).schema).count() == 0
     assert readers.first_existing(spark, [str(tmp_path / "no"), str(tmp_path / "t.tsv")]).endswith("t.tsv")
     with pytest.raises(ValueError, match="unsupported"):
-        readers.read_table(spark, "x.sav")
+        readers.read_table(spark, "x.rds")
     assert "<td>0</td>" in writers.render_html("t", {"a": spark.range(1)}) and "first" not in writers.render_html("t", {"a": spark.range(3)}, 3)
     page = writers.render_html("t", {"a": spark.range(9).coalesce(1)}, 3)
     assert "The first 3 rows." in page and page.count("<td>") == 3
