@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -99,6 +101,36 @@ def implementation_rank(segments: DataFrame) -> DataFrame:
     return segments.withColumn("overall_rank", F.row_number().over(Window.orderBy(F.col("priority_score").desc_nulls_last(), F.col("share_pct").desc_nulls_last(), "segment")))
 
 
+#: Which level of which dimension calls for which beginning; the first that holds counts, the last one always does.
+SEQUENCE = (
+    ({"readiness": "High", "confidence": "High"}, "Start with offers that can be taken up at once."),
+    ({"barriers": "High"}, "Start by lowering barriers, with help at hand."),
+    ({"confidence": "Low"}, "Start with small guided steps that build confidence."),
+    ({}, "Start with personal messages and try several ways."),
+)
+#: Bands of priority, the most pressing first; a segment's level is 4 in the first and 1 in the last.
+BANDS = ("Very high", "High", "Medium", "Lower")
+
+
+def recommended_sequence(**positions: Column) -> Column:
+    """What a segment is to begin with, by the position of each dimension (free descriptions; null is Moderate)."""
+    out = F.lit(SEQUENCE[-1][1])
+    for levels, text in reversed(SEQUENCE[:-1]):
+        out = F.when(reduce(lambda a, b: a & b, [position(positions[d]) == level for d, level in levels.items()]), text).otherwise(out)
+    return out
+
+
+def implementation_priorities(segments: DataFrame) -> DataFrame:
+    """segments (segment, priority, readiness, confidence, barriers, share_pct and more) with priority_level, recommended_sequence and overall_rank.
+
+    The rank goes by level, then share, then name; a null or unknown priority has the lowest level.
+    """
+    level = reduce(lambda out, i: F.when(F.col("priority") == BANDS[i], len(BANDS) - i).otherwise(out), range(len(BANDS) - 1), F.lit(1))
+    order = Window.orderBy(F.col("priority_level").desc(), F.col("share_pct").desc_nulls_last(), "segment")  # a row a segment
+    begun = segments.withColumns({"priority_level": level, "recommended_sequence": recommended_sequence(**{d: F.col(d) for d in ("readiness", "confidence", "barriers")})})
+    return begun.withColumn("overall_rank", F.row_number().over(order))
+
+
 def persona(sizes: DataFrame, numeric: DataFrame, categorical: DataFrame, most: int = S.top_features) -> DataFrame:
     """segment, n, share_pct, key_characteristics, profiling_signals: the strongest means and each variable's commonest level, as text."""
     top = Window.partitionBy("segment").orderBy(F.abs("standardised_mean").desc_nulls_last(), "variable")

@@ -868,6 +868,19 @@ def implementation_rank(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rules.implementation_rank(_prioritised(spark, sf).select("segment", "priority_score", "share_pct")))
 
 
+def _begin_sql() -> str:
+    holds = lambda levels: " AND ".join(f"{_LEVEL(d)} = '{level}'" for d, level in levels.items())
+    return "CASE " + " ".join(f"WHEN {holds(levels)} THEN '{text}'" for levels, text in rules.SEQUENCE[:-1]) + f" ELSE '{rules.SEQUENCE[-1][1]}' END"
+
+
+@query(f"""WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st), pb AS (SELECT segment, n, share_pct, {_BAND} AS priority, CASE {_BAND} WHEN 'Very high' THEN 4 WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 ELSE 1 END AS priority_level, {_begin_sql()} AS recommended_sequence FROM sc)
+SELECT *, row_number() OVER (ORDER BY priority_level DESC, share_pct DESC, segment) AS overall_rank FROM pb""")
+def implementation_priorities(spark: SparkSession, sf: str) -> DataFrame:
+    at = {d: rules.classify_level(F.col(d), cut=0.02) for d in ("readiness", "confidence", "barriers")}
+    made = rules.implementation_priorities(_prioritised(spark, sf).withColumns(at))
+    return rounded(made.select("segment", "n", "share_pct", "priority", "priority_level", "recommended_sequence", "overall_rank"))
+
+
 @query()
 def strategy(spark: SparkSession, sf: str) -> DataFrame:
     return rules.strategy(_named(spark, sf).select("segment", "working_name"))
