@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortica import config
@@ -307,29 +307,46 @@ def bootstrap_feature_stability(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(c, float(a), float(b)) for c, a, b in zip(NUMERIC, reference, steady, strict=True)], "variable string, pca_importance double, stability_score double")
 
 
-_METRICS = [("v1", "a", 0.9, 0.8, 1.0, 40), ("v2", "a", 0.7, 0.9, 0.6, 5), ("v3", "b", 0.4, 0.2, 0.9, 12), ("v4", "b", 0.4, 0.6, 0.3, 2), ("v5", "c", 0.1, 0.5, 0.0, 90), ("v6", "c", 0.2, None, 0.5, 7)]
-_METRICS_SQL = "t AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{g}', {b}::DOUBLE, {'NULL' if c is None else c}::DOUBLE, {d}::DOUBLE, {e}::BIGINT)" for a, g, b, c, d, e in _METRICS) + ') AS t(variable, "group", pca_importance, entropy, stability_score, n_unique))'
+def _importance_sql(where: str) -> str:
+    """Of each variable, the mean size of its correlations with the others."""
+    of = lambda v: " + ".join(f"abs(corr({v}, {o}))" for o in NUMERIC if o != v)
+    return " UNION ALL ".join(f"SELECT '{v}' AS variable, ({of(v)}) / {len(NUMERIC) - 1} AS importance FROM f WHERE {where}" for v in NUMERIC)
+
+
+_METRICS_SQL = f"""{_FILLED}, {_SHARES}, i0 AS ({_importance_sql('true')}), i1 AS ({_importance_sql('respondent_id % 2 = 0')}), i2 AS ({_importance_sql('respondent_id % 2 = 1')}),
+gr AS (SELECT * FROM (VALUES {', '.join(f"('{v}', '{g}')" for v, g in GROUPS.items())}) AS gr(variable, "group")),
+t AS (SELECT variable, "group", i0.importance AS pca_importance, entropy, 1 - abs(i1.importance - i2.importance) AS stability_score, n_levels AS n_unique FROM gr JOIN i0 USING (variable) JOIN i1 USING (variable) JOIN i2 USING (variable) JOIN e USING (variable))"""
 
 
 def _norm(e: str) -> str:
     return f"CASE WHEN min({e}) OVER () IS NULL THEN 0.0 WHEN max({e}) OVER () = min({e}) OVER () THEN 1.0 ELSE ({e} - min({e}) OVER ()) / (max({e}) OVER () - min({e}) OVER ()) END"
 
 
-def _feature_scores(spark: SparkSession) -> DataFrame:
-    return features.feature_score(spark.createDataFrame(_METRICS, "variable string, group string, pca_importance double, entropy double, stability_score double, n_unique long"))
+def _feature_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the respondents' variables by measures that SQL can take too: importance is the mean size of a variable's
+    correlations with the others, and stability how alike it is among respondents of even and of odd number."""
+    def importance(where: str, name: str) -> DataFrame:
+        one = filled(spark, sf).where(where).agg(*[(sum(F.abs(F.corr(v, o)) for o in NUMERIC if o != v) / (len(NUMERIC) - 1)).alias(v) for v in NUMERIC])
+        return one.unpivot([], NUMERIC, "variable", name)
+
+    groups = spark.createDataFrame(list(GROUPS.items()), "variable string, group string")
+    quality = features.quality_metrics(respondents(spark, sf), NUMERIC).select("variable", "entropy", "n_unique")
+    halves = importance("respondent_id % 2 = 0", "even").join(importance("respondent_id % 2 = 1", "odd"), "variable")
+    measured = groups.join(importance("true", "pca_importance"), "variable").join(quality, "variable").join(halves, "variable")  # a row a variable
+    return features.feature_score(measured.select("variable", "group", "pca_importance", "entropy", (1 - F.abs(F.col("even") - F.col("odd"))).alias("stability_score"), F.col("n_unique").cast("long").alias("n_unique")))
 
 
 @query(f"""WITH {_METRICS_SQL}, u AS (SELECT *, {_norm('pca_importance')} AS pca_score, {_norm('entropy')} AS entropy_score, {_norm('ln(1 + n_unique)')} AS uniqueness_score FROM t),
 w AS (SELECT *, 0.5 * pca_score + 0.2 * entropy_score + 0.2 * stability_score + 0.1 * uniqueness_score AS combined_score FROM u)
-SELECT variable, "group", pca_importance, entropy, stability_score, n_unique, {_r('pca_score AS pca_score', 'entropy_score AS entropy_score', 'uniqueness_score AS uniqueness_score', 'combined_score AS combined_score')}, row_number() OVER (ORDER BY combined_score DESC NULLS LAST, variable) AS overall_rank FROM w""")
+SELECT variable, "group", n_unique, {_r('pca_importance AS pca_importance', 'entropy AS entropy', 'stability_score AS stability_score', 'pca_score AS pca_score', 'entropy_score AS entropy_score', 'uniqueness_score AS uniqueness_score', 'combined_score AS combined_score')}, row_number() OVER (ORDER BY combined_score DESC NULLS LAST, variable) AS overall_rank FROM w""")
 def feature_score(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_feature_scores(spark))
+    return rounded(_feature_scores(spark, sf))
 
 
 @query()
 def feature_sets(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [r.asDict() | {"combined_score": r["combined_score"] or 0.0} for r in _feature_scores(spark).collect()]
-    sets = {k: features.build_feature_set(k, rows) for k in (6, 5, 4, 3)}
+    rows = [r.asDict() | {"combined_score": r["combined_score"] or 0.0} for r in _feature_scores(spark, sf).collect()]  # a row a variable
+    sets = {k: features.build_feature_set(k, rows) for k in (5, 4, 3)}
     return spark.createDataFrame([(f"set_{k}", v, i + 1) for k, vs in sets.items() for i, v in enumerate(vs)], "feature_set string, variable string, selection_order int")
 
 
@@ -468,15 +485,20 @@ def profiling_associations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.associations(respondents(spark, sf), NUMERIC, CATEGORICAL))
 
 
-_P = [("a", 0.01), ("b", 0.04), ("c", 0.03), ("d", 0.005), ("e", None), ("f", 0.9)]
-
-
-@query("WITH t AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', {'NULL' if b is None else b}::DOUBLE)" for a, b in _P) + """) AS t(variable, p_value)), k AS (SELECT *, row_number() OVER (ORDER BY p_value) AS i, count(*) OVER () AS m FROM t WHERE p_value IS NOT NULL),
-a AS (SELECT variable, round(least(1.0, min(p_value * m / i) OVER (ORDER BY i DESC ROWS UNBOUNDED PRECEDING)), 5) AS adjusted_p_value FROM k)
-SELECT t.variable, t.p_value, adjusted_p_value FROM t LEFT JOIN a USING (variable)""")
+@query("""WITH q AS (SELECT c_nationkey AS nation, o_orderstatus AS status FROM orders JOIN customer ON o_custkey = c_custkey), w AS (SELECT status, count(*) / sum(count(*)) OVER ()::DOUBLE AS share FROM q GROUP BY status), z AS (SELECT nation, count(*) AS total FROM q GROUP BY nation),
+o AS (SELECT nation, status, count(*) AS n FROM q GROUP BY ALL), t AS (SELECT nation, exp(-sum((coalesce(n, 0) - total * share) ** 2 / (total * share)) / 2) AS p_value FROM z CROSS JOIN w LEFT JOIN o USING (nation, status) GROUP BY nation),
+k AS (SELECT *, row_number() OVER (ORDER BY p_value) AS i, count(*) OVER () AS m FROM t WHERE p_value IS NOT NULL), a AS (SELECT nation, least(1.0, min(p_value * m / i) OVER (ORDER BY i DESC ROWS UNBOUNDED PRECEDING)) AS adjusted_p_value FROM k)
+SELECT CAST(nation AS VARCHAR) AS variable, round(p_value, 5) AS p_value, round(adjusted_p_value, 5) AS adjusted_p_value FROM t LEFT JOIN a USING (nation)""")
 def bh_adjust(spark: SparkSession, sf: str) -> DataFrame:
-    t = spark.createDataFrame(_P, "variable string, p_value double")
-    return rounded(t.withColumn("adjusted_p_value", stats.benjamini_hochberg("p_value")))
+    """Of each nation, whether its orders have the three states in the shares of all orders: chi-square with two degrees of freedom, whose tail is exp(-x / 2)."""
+    nations = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("variable"))
+    counts = spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey", "o_orderstatus").join(nations, "o_custkey").groupBy("variable", "o_orderstatus").agg(F.count("*").alias("n"))
+    wide = counts.groupBy("variable").agg(*[F.coalesce(F.sum(F.when(F.col("o_orderstatus") == x, F.col("n"))), F.lit(0)).alias(x) for x in "FOP"])
+    every = Window.partitionBy()  # a row a nation
+    total = F.col("F") + F.col("O") + F.col("P")
+    expected = lambda x: total * F.sum(x).over(every) / F.sum(total).over(every)
+    tested = wide.withColumn("statistic", sum(F.pow(F.col(x) - expected(x), 2) / expected(x) for x in "FOP")).select("variable", F.exp(-F.col("statistic") / 2).alias("p_value"))
+    return rounded(tested.withColumn("adjusted_p_value", stats.benjamini_hochberg("p_value")))
 
 
 # ---- validity of given segments ----
@@ -873,7 +895,7 @@ def _begin_sql() -> str:
     return "CASE " + " ".join(f"WHEN {holds(levels)} THEN '{text}'" for levels, text in rules.SEQUENCE[:-1]) + f" ELSE '{rules.SEQUENCE[-1][1]}' END"
 
 
-@query(f"""WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st), pb AS (SELECT segment, n, share_pct, {_BAND} AS priority, CASE {_BAND} WHEN 'Very high' THEN 4 WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 ELSE 1 END AS priority_level, {_begin_sql()} AS recommended_sequence FROM sc)
+@query(f"""WITH {_WIDE}, sc AS (SELECT *, {_SCORE} AS s FROM st), pb AS (SELECT segment, n, share_pct, {_BAND} AS priority, CAST(CASE {_BAND} WHEN 'Very high' THEN 4 WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 ELSE 1 END AS BIGINT) AS priority_level, {_begin_sql()} AS recommended_sequence FROM sc)
 SELECT *, row_number() OVER (ORDER BY priority_level DESC, share_pct DESC, segment) AS overall_rank FROM pb""")
 def implementation_priorities(spark: SparkSession, sf: str) -> DataFrame:
     at = {d: rules.classify_level(F.col(d), cut=0.02) for d in ("readiness", "confidence", "barriers")}

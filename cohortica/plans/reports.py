@@ -89,12 +89,10 @@ def preprocessing_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.preprocessing_summary(_counts(spark, sf), _typed(spark, sf))
 
 
-_SHARES_FIXED = [(1, 0.41), (2, 0.66), (3, 0.8), (4, 0.93), (5, 1.0)]
-
-
-@query(f"WITH {_values(_SHARES_FIXED, 'component long, cumulative double', 'pv')} SELECT share::DOUBLE AS share, (SELECT min(component) FROM pv WHERE cumulative >= share) AS components FROM (VALUES (0.5), (0.7), (0.8)) AS s(share)")
+@query(f"WITH {c._FILLED}, pv AS (SELECT 1 AS component, (1 + abs(corr(balance, spend))) / 2 AS cumulative FROM f UNION ALL SELECT 2, 1.0) SELECT share::DOUBLE AS share, (SELECT CAST(min(component) AS BIGINT) FROM pv WHERE cumulative >= share - 1e-12) AS components FROM (VALUES (0.5), (0.7), (0.8)) AS s(share)")
 def components_for_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return summaries.components_for(spark.createDataFrame(_SHARES_FIXED, "component long, cumulative double"))
+    """Of two variables, since SQL can tell their eigenvalues: 1 and more or less their correlation. exploratory_summary does it for all."""
+    return summaries.components_for(features.pca_variance(c.filled(spark, sf), ["balance", "spend"]))
 
 
 @query()
@@ -123,28 +121,32 @@ def high_missing(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(summaries.high_missing(audit.variable_counts(rated, ["quality", "toxic", "n_chars"])).select("variable", "n_missing", "pct_missing"))
 
 
-_SETS = [("set_3", v) for v in ("v1", "v2", "v3")] + [("set_4", v) for v in ("v1", "v2", "v3", "v5")] + [("set_6", f"v{i}") for i in range(1, 7)]
-_SCORED = f"""{c._METRICS_SQL}, u AS (SELECT *, {c._norm('pca_importance')} AS a, {c._norm('entropy')} AS b, {c._norm('ln(1 + n_unique)')} AS d FROM t), sc AS (SELECT variable, "group", 0.5 * a + 0.2 * b + 0.2 * stability_score + 0.1 * d AS combined_score, "group" = 'a' AS force_keep FROM u), {_values(_SETS, 'feature_set string, variable string', 'fs')}"""
+#: Feature sets: the best so many variables by score.
+_SIZES = (2, 3, 5)
+_SCORED = f"""{c._METRICS_SQL}, u AS (SELECT *, {c._norm('pca_importance')} AS a, {c._norm('entropy')} AS b, {c._norm('ln(1 + n_unique)')} AS d FROM t), sc AS (SELECT variable, "group", 0.5 * a + 0.2 * b + 0.2 * stability_score + 0.1 * d AS combined_score, "group" = 'wealth' AS force_keep FROM u),
+ork AS (SELECT variable, row_number() OVER (ORDER BY combined_score DESC NULLS LAST, variable) AS i FROM sc), fs AS (SELECT 'set_' || size AS feature_set, variable FROM ork, (VALUES {', '.join(f'({k})' for k in _SIZES)}) AS z(size) WHERE i <= size)"""
 
 
-def _scored(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    scores = c._feature_scores(spark).select("variable", "group", "combined_score", (F.col("group") == "a").alias("force_keep"))
-    return spark.createDataFrame(_SETS, "feature_set string, variable string"), scores
+def _scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    scores = c._feature_scores(spark, sf)
+    of = F.filter(F.array(*[F.lit(k) for k in _SIZES]), lambda k: F.col("overall_rank") <= k)
+    sets = scores.select("variable", F.explode(of).alias("size")).select(F.concat(F.lit("set_"), F.col("size").cast("string")).alias("feature_set"), "variable")
+    return sets, scores.select("variable", "group", "combined_score", (F.col("group") == "wealth").alias("force_keep"))
 
 
 @query(f"""WITH {_SCORED} SELECT feature_set, count(*) AS feature_count, count(DISTINCT "group") AS groups_represented, round(avg(combined_score), 5) AS mean_combined_score, round(min(combined_score), 5) AS minimum_combined_score, count(*) FILTER (force_keep) AS forced_keep_features FROM fs JOIN sc USING (variable) GROUP BY feature_set""")
 def feature_set_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.feature_set_summary(*_scored(spark)))
+    return rounded(summaries.feature_set_summary(*_scored(spark, sf)))
 
 
 @query(f"""WITH {_SCORED} SELECT feature_set, "group", count(*) AS n_selected, string_agg(variable, ', ' ORDER BY combined_score DESC NULLS LAST, variable) AS variables FROM fs JOIN sc USING (variable) GROUP BY ALL""")
 def selected_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(summaries.selected_by_group(*_scored(spark)))
+    return rounded(summaries.selected_by_group(*_scored(spark, sf)))
 
 
 @query(f"""WITH {_SCORED} SELECT feature_set, variable, "group", round(combined_score, 5) AS combined_score FROM fs LEFT JOIN sc USING (variable)""")
 def candidate_feature_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    sets, scores = _scored(spark)
+    sets, scores = _scored(spark, sf)
     return rounded(summaries.candidate_feature_metadata(sets, scores.drop("force_keep")))
 
 
