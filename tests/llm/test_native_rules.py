@@ -1,4 +1,5 @@
 import collections
+import math
 import re
 import zlib
 
@@ -56,6 +57,29 @@ def test_weights_and_movement(spark):
     assert all(a == b or region(b) == 0 for a, b in zip(before, heavy, strict=True))
     assert 9 not in out and all(a == b or region(a) == 1 for a, b in zip(before, out, strict=True))
     assert all(b in (a, 24) for a, b in zip(before, grown, strict=True)) and abs(sum(b == 24 for b in grown) - 2400) < 250
+    # the 26th shard shares the 25th's region: keys that come to the region go to either of them, and others stay
+    more = place(hash_tree.build_tree(26))
+    moved = [(a, b) for a, b in zip(grown, more, strict=True) if a != b]
+    assert moved and all(b in (24, 25) for _, b in moved) and any(a != 24 and b == 24 for a, b in moved)
+
+
+def test_shard_by_draws_made_by_hand(spark):
+    """Every draw by itself, level by level, without the tree's expressions."""
+    tree = hash_tree.build_tree(24, {3: 2.5, 9: 0.0})
+    rows = [i for i in range(200)]
+    names = sorted({n.name for n in _nodes(tree)})
+    keys = spark.createDataFrame([(i,) for i in rows], "id long")
+    drawn = {(r.id, r.name): (r.h % 2**64 >> 11) + 0.5 for r in keys.crossJoin(spark.createDataFrame([(n,) for n in names], "name string")).select("id", "name", F.xxhash64("name", "id").alias("h")).collect()}
+    got = {r.id: r.shard for r in keys.select("id", hash_tree.shard_of(tree, F.col("id")).alias("shard")).collect()}
+    for i in rows:
+        node = tree
+        while node.shard is None:
+            node = min((x for x in node.children if x.total() > 0), key=lambda x: -math.log(drawn[i, x.name] / 2**53) / x.total())
+        assert got[i] == node.shard
+
+
+def _nodes(node):
+    return [node, *(n for x in node.children for n in _nodes(x))]
 
 
 def test_shards_of_odd_rows(spark):
