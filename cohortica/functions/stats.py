@@ -71,6 +71,12 @@ def squish(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
+def duration_text(seconds: Column) -> Column:
+    """Seconds, minutes or hours with one digit, such as 1.5 min; null stays null."""
+    told = lambda per, unit: F.format_string(f"%.1f {unit}", seconds.cast("double") / per)
+    return F.when(seconds < 60, told(1, "s")).when(seconds < 3600, told(60, "min")).when(seconds.isNotNull(), told(3600, "h"))
+
+
 def _continued_fraction(a: float, b: float, x: float) -> float:
     """Of the incomplete beta function, by Lentz's method."""
     tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -203,6 +205,14 @@ def validate_metadata(metadata: DataFrame, columns: list[str]) -> list[str]:
     return errors + [f"not declared: {c}" for c in columns if c not in names]
 
 
+def compare_names(declared: DataFrame, columns: list[str]) -> DataFrame:
+    """variable, standing ("in both", "only declared" or "only in data"): names of a variable table, which may repeat, beside those of a data set. Null names are left out."""
+    known = declared.select("variable").where("variable is not null").distinct()
+    seen = declared.sparkSession.createDataFrame([(c,) for c in columns], "variable string").distinct()
+    parts = {"in both": known.intersect(seen), "only declared": known.exceptAll(seen), "only in data": seen.exceptAll(known)}
+    return reduce(DataFrame.unionByName, [d.withColumn("standing", F.lit(name)) for name, d in parts.items()])
+
+
 def check_key(df: DataFrame, key: str) -> None:
     """Raises if key has nulls or repeats."""
     one = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.count_if(F.col(key).isNull()).alias("nulls"), F.count_if(F.col("n") > 1).alias("repeated")).first()

@@ -58,6 +58,11 @@ def parse_logical(x: Column, name: str = "value", default: bool | None = None) -
     return F.when(s.isNull() | (s == ""), F.lit(default).cast("boolean")).when(s.isin(*config.TRUE_WORDS), True).when(s.isin(*config.FALSE_WORDS), False).otherwise(fail)
 
 
+def parse_optional_logical(df: DataFrame, name: str, default: bool | None = None) -> DataFrame:
+    """df with the column parsed as parse_logical does; a column that df lacks is added, with the default in every row."""
+    return df.withColumn(name, parse_logical(F.col(f"`{name}`").cast("string"), name, default) if name in df.columns else F.lit(default).cast("boolean"))
+
+
 def convert_binary(x: Column) -> Column:
     s = F.lower(squish(x.cast("string")))
     return F.when(s.isin(*config.YES), 1).when(s.isin(*config.NO), 0)

@@ -44,3 +44,19 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "row_id", first
     before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("range", (before + first).alias("start"))  # a row for each range
     return dealt.join(F.broadcast(starts), "range").select(*df.columns, (F.col("start") + F.col("place")).alias(name))
+
+
+def bind_columns(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
+    """left and right side by side, the first row in one's order with the first in the other's, and so on.
+
+    Both are numbered without gaps and joined by number, so neither goes through one task. An error if one
+    has more rows than the other, or if they share a column's name. Orders must tell all rows apart for a result that stays the same.
+    """
+    if shared := set(left.columns) & set(right.columns):
+        raise ValueError(f"both have columns named {', '.join(sorted(shared))}")
+    a, b = number_rows(left, *left_order, name="__row"), number_rows(right, *right_order, name="__row")
+    # numbers are gapless, so unequal counts show in the last
+    n, m = (d.agg(F.coalesce(F.max("__row"), F.lit(0))).first()[0] for d in (a, b))
+    if n != m:
+        raise ValueError(f"{n} rows beside {m}")
+    return a.join(b, "__row").drop("__row")

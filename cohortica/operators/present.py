@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,37 @@ def unique_file_names(texts: Sequence[str]) -> list[str]:
 
 
 def heat_map(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
-    """row, column, value of a long table, absent cells null: what a heat map is drawn from."""
-    rows, columns = df.select(row).distinct(), df.select(column).distinct()
-    return rows.join(F.broadcast(columns)).join(df.select(row, column, value), [row, column], "left")
+    """row, column, value of a long table with a row a cell, absent cells null: what a heat map is drawn from.
+
+    Cells come from a pivot. More columns than spark.sql.pivotMaxValues are an error; null labels
+    in column are left out, those in row kept. The column is text in what it gives.
+    """
+    cells = df.select(F.col(f"`{row}`").alias("r"), F.col(f"`{column}`").cast("string").alias("c"), F.col(f"`{value}`").alias("v"))
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    names = sorted(x.c for x in cells.select("c").where("c is not null").distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"{column}: more than {most} labels")
+    if not names:
+        return df.select(row, column, value).limit(0)
+    wide = cells.groupBy("r").pivot("c", names).agg(F.first("v"))
+    shown = F.array(*[F.struct(F.lit(n).alias("c"), F.col(f"`{n.replace('`', '``')}`").alias("v")) for n in names])
+    return wide.select("r", F.explode(shown).alias("x")).select(F.col("r").alias(row), F.col("x.c").alias(column), F.col("x.v").alias(value))
+
+
+def level_order(df: DataFrame, level: str, by: str, name: str = "level_order") -> DataFrame:
+    """level, mean_value, name: the order of a factor's levels by the mean of a column, least first; ties and levels without a value by text, the latter last.
+
+    Null is no level. One aggregate; the order is over a row a level.
+    """
+    means = df.where(F.col(f"`{level}`").isNotNull()).groupBy(F.col(f"`{level}`").alias(level)).agg(F.avg(F.col(f"`{by}`")).alias("mean_value"))
+    return means.withColumn(name, F.row_number().over(Window.orderBy(F.col("mean_value").asc_nulls_last(), F.col(f"`{level}`").cast("string"))))
+
+
+def bar_labels(df: DataFrame, parts: Sequence[str], by: str, most: int, separator: str = " | ") -> DataFrame:
+    """The `most` rows with the greatest values of by, with display_label (parts joined; nulls left out) and bar_order (1 is the least of them, so it's drawn first).
+
+    Ties go by label. A top-k report: the rows are found without a sort of all.
+    """
+    told = df.withColumn("display_label", F.concat_ws(separator, *[F.col(f"`{p}`").cast("string") for p in parts]))
+    top = told.orderBy(F.col(f"`{by}`").desc_nulls_last(), "display_label").limit(most)
+    return top.withColumn("bar_order", F.row_number().over(Window.orderBy(F.col(f"`{by}`").asc_nulls_first(), F.col("display_label").desc())))

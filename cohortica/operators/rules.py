@@ -112,12 +112,66 @@ SEQUENCE = (
 BANDS = ("Very high", "High", "Medium", "Lower")
 
 
+def chosen(cases: tuple, positions: dict[str, Column]) -> Column:
+    """The text of the first case whose levels all hold; the last case always does."""
+    holds = lambda levels: reduce(lambda a, b: a & b, [positions[d] == level for d, level in levels.items()])
+    return reduce(lambda out, case: F.when(holds(case[0]), case[1]).otherwise(out), reversed(cases[:-1]), F.lit(cases[-1][1]))
+
+
 def recommended_sequence(**positions: Column) -> Column:
     """What a segment is to begin with, by the position of each dimension (free descriptions; null is Moderate)."""
-    out = F.lit(SEQUENCE[-1][1])
-    for levels, text in reversed(SEQUENCE[:-1]):
-        out = F.when(reduce(lambda a, b: a & b, [position(positions[d]) == level for d, level in levels.items()]), text).otherwise(out)
-    return out
+    return chosen(SEQUENCE, {d: position(x) for d, x in positions.items()})
+
+
+#: What positions call for, whatever the segment's name: column -> cases in order. digital is High where the segment's traits show it.
+_BOTH = {"readiness": "High", "confidence": "High"}
+_FAR = {"readiness": "Low", "barriers": "High"}
+BY_POSITION = {
+    "core_problem": (
+        (_FAR, "Hurdles keep them from getting ready, and change looks out of reach"),
+        ({"readiness": "Moderate", "confidence": "Low"}, "They are open to change but doubt that they can keep it up"),
+        (_BOTH, "They are willing and able; delay and unclear steps hold them up"),
+        ({"barriers": "High"}, "They would change, but it asks too much effort"),
+        ({}, "The way from knowing to doing means little to them yet"),
+    ),
+    "objective": (
+        (_FAR, "Make it look easier, and help with small first steps"),
+        ({"confidence": "Low"}, "Show that each step can be done and that it gets them on"),
+        (_BOTH, "Turn readiness into action at once, with nothing in the way"),
+        ({}, "Make it matter to them, with a choice of next steps"),
+    ),
+    "approach": (
+        (_FAR, "Lower hurdles, talk about motives, graded tasks, what others did, reassurance"),
+        ({"confidence": "Low"}, "Plans made together, if-then intentions, feedback, examples of peers"),
+        (_BOTH, "Plain calls to act, defaults, reminders, a quick start"),
+        ({}, "Personal facts, well-ordered choices, prompts at the right time"),
+    ),
+    "service": (
+        ({"barriers": "High"}, "A person who guides, flexible hours, lower costs, calls back"),
+        ({"confidence": "Low"}, "An introduction in steps, regular talks, coaching, visible progress"),
+        (_BOTH, "Self-service, short forms, booking and answer at once"),
+        ({}, "Self-service and people side by side, as they choose"),
+    ),
+    "channel": (
+        ({"barriers": "High"}, "First: people they trust, telephone, places nearby. Then: simple digital reminders"),
+        ({"confidence": "Low"}, "First: people they trust, telephone, places nearby. Then: simple digital reminders"),
+        (_BOTH, "First: mobile, mail, website. Then: short reminders"),
+        ({"digital": "High"}, "First: personal mail, mobile and web. Then: an adviser, if wanted"),
+        ({}, "Digital, direct and personal contact together"),
+    ),
+}
+#: What tells of digital habits in a segment's traits, lower case.
+DIGITAL = r"used digital tool.*\+|digital.*high|online.*high"
+
+
+def strategy_by_position(segments: DataFrame, traits: str | None = None, digital: str = DIGITAL) -> DataFrame:
+    """segments (readiness, confidence, barriers as free descriptions, null is Moderate) with a column for each of BY_POSITION.
+
+    traits: a column of text about the segment; where the pattern digital matches it, in any case, the segment is reached by digital means.
+    """
+    signal = F.lower(F.coalesce(F.col(traits), F.lit(""))).rlike(digital) if traits else F.lit(False)
+    at = {d: position(F.col(d)) for d in ("readiness", "confidence", "barriers")} | {"digital": F.when(signal, "High").otherwise("Moderate")}
+    return segments.withColumns({name: chosen(cases, at) for name, cases in BY_POSITION.items()})
 
 
 def implementation_priorities(segments: DataFrame) -> DataFrame:

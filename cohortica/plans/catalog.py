@@ -64,13 +64,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 def queries() -> dict[str, Query]:
-    from cohortica.plans import reports  # noqa: F401  it registers its queries here
+    from cohortica.plans import preparation, reports  # noqa: F401  they register their queries here
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from cohortica.plans import reports  # noqa: F401
+    from cohortica.plans import preparation, reports  # noqa: F401
 
     return dict(_SQL)
 

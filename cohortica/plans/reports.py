@@ -279,16 +279,18 @@ def mean_ari(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_agreement(spark, sf))
 
 
-_CANDIDATES = [("market", 0.71, 0.9), ("band", 0.64, 0.5), ("urgency", 0.8, 0.4)]
-_CANDIDATE_COLUMNS = "model_id string, validation_score double, balance double"
+#: The validated models whose clusters are compared with those of others.
+_COMPARED = f"ca AS (WITH {c._VALIDATED} SELECT model_id, validation_score, balance FROM vr WHERE model_id IN (SELECT model_id FROM agr))"
 
 
-@query(f"""WITH {_DISTINCT}, {_ASSOCIATED.partition('), ')[2]}, {_AGREED.partition('), ')[2]}, {_values(_CANDIDATES, _CANDIDATE_COLUMNS, 'ca')}, su AS (SELECT * FROM ca LEFT JOIN dis USING (model_id) LEFT JOIN aso USING (model_id) LEFT JOIN agr USING (model_id)),
+@query(f"""WITH {_DISTINCT}, {_ASSOCIATED.partition('), ')[2]}, {_AGREED.partition('), ')[2]}, {_COMPARED}, su AS (SELECT * FROM ca LEFT JOIN dis USING (model_id) LEFT JOIN aso USING (model_id) LEFT JOIN agr USING (model_id)),
 fi AS (SELECT *, 0.45 * {c._norm('validation_score')} + 0.3 * {c._norm('mean_standardised_range')} + 0.15 * {c._norm('mean_profiling_association')} + 0.1 * {c._norm('balance')} AS final_score FROM su)
 SELECT model_id, {c._r('mean_standardised_range AS mean_standardised_range', 'mean_profiling_association AS mean_profiling_association', 'mean_ari_with_other_candidates AS mean_ari_with_other_candidates', 'final_score AS final_score')}, row_number() OVER (ORDER BY final_score DESC, model_id) AS final_rank, row_number() OVER (ORDER BY final_score DESC, model_id) = 1 AS selected FROM fi""")
 def candidate_profile_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """The final score from what the models' clusters really show on all respondents."""
-    made = summaries.candidate_summary(spark.createDataFrame(_CANDIDATES, _CANDIDATE_COLUMNS), summaries.model_distinctness(_model_profiles(spark, sf)), summaries.model_association_summary(_associations(spark, sf)), _agreement(spark, sf))
+    """The final score from the models' validation and what their clusters really show on all respondents."""
+    agreement = numbering.checkpointed(_agreement(spark, sf))  # a row a model
+    candidates = c._validated(spark, sf).join(agreement.select("model_id"), "model_id", "semi").select("model_id", "validation_score", "balance")
+    made = summaries.candidate_summary(candidates, summaries.model_distinctness(_model_profiles(spark, sf)), summaries.model_association_summary(_associations(spark, sf)), agreement)
     return rounded(selection.final_model(made).select("model_id", "mean_standardised_range", "mean_profiling_association", "mean_ari_with_other_candidates", "final_score", "final_rank", "selected"))
 
 
