@@ -43,10 +43,10 @@ def _each(book: zipfile.ZipFile, part: str, name: str) -> Iterator[ElementTree.E
 
 
 def _text(e: ElementTree.Element) -> str:
-    """Its runs of text together, without the reading aids of rich text."""
+    """Its runs of text together, without the reading aids of rich text; _xHHHH_ stands for a character."""
     if _tag(e) == "rPh":
         return ""
-    return (e.text or "") if _tag(e) == "t" else "".join(_text(c) for c in e)
+    return re.sub("_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m[1], 16)), e.text or "") if _tag(e) == "t" else "".join(_text(c) for c in e)
 
 
 class Book:
