@@ -51,6 +51,12 @@ def unique_file_names(texts: Sequence[str]) -> list[str]:
     return out
 
 
+def relative_path(path: str, root: str) -> str:
+    """path below root, with forward slashes; a path that isn't below it stays as it is."""
+    path, root = path.replace("\\", "/"), root.replace("\\", "/").rstrip("/")
+    return path[len(root) + 1 :] if path.startswith(f"{root}/") else path
+
+
 def heat_map(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
     """row, column, value of a long table with a row a cell, absent cells null: what a heat map is drawn from.
 

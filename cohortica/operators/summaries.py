@@ -117,6 +117,29 @@ def candidate_feature_metadata(sets: DataFrame, metadata: DataFrame) -> DataFram
     return sets.join(F.broadcast(metadata), "variable", "left")
 
 
+def excluded_variables(quality: DataFrame, removed: DataFrame) -> DataFrame:
+    """variable, exclusion_reason, a row a variable: what quality_metrics says against it, and only then that it goes with another.
+
+    removed: variable, kept; of several kept ones the first by name is told.
+    """
+    failed = quality.where("exclusion_reason is not null").select("variable", "exclusion_reason", F.lit(1).alias("__k"))
+    alike = removed.select("variable", F.concat(F.lit("Correlated with "), "kept").alias("exclusion_reason"), F.lit(2).alias("__k"))
+    w = Window.partitionBy("variable").orderBy("__k", "exclusion_reason")
+    return failed.unionByName(alike).withColumn("__i", F.row_number().over(w)).where("__i = 1").select("variable", "exclusion_reason")
+
+
+def selected_variables(order: DataFrame, metadata: DataFrame) -> DataFrame:
+    """order (variable, selection_order) with what is declared of each variable; undeclared ones stay."""
+    return with_metadata(order.select("variable", "selection_order"), metadata)
+
+
+def distinguishing_variables(associations: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Variables whose effect could be measured, with label and role, ranked by effect, then name."""
+    known = associations.where("association is not null").select("variable", "measure", F.col("association").alias("effect_size"))
+    told = known.join(F.broadcast(metadata.select("variable", "label", "role")), "variable", "left")  # a row a variable
+    return told.withColumn("effect_rank", F.row_number().over(Window.orderBy(F.col("effect_size").desc(), "variable")))
+
+
 # ---- distances and models ----
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortica import config
 from cohortica.functions import stats
-from cohortica.operators import audit, clean, numbering, present, profile, rules
+from cohortica.operators import audit, clean, features, numbering, present, profile, rules, summaries
 from cohortica.plans import catalog as c
 from cohortica.plans import reports
 from cohortica.plans.catalog import CATEGORICAL, NUMERIC, query, respondents, rounded
@@ -92,6 +92,27 @@ def bound_columns(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(bound.drop("scaled_id"))
 
 
+_KNOWN = "d AS (SELECT quality, toxic, n_chars, length(text) AS length, 1 AS one FROM documents LEFT JOIN labels USING (doc_id))"
+_KNOWN_COLUMNS = ["quality", "toxic", "n_chars", "length", "one"]
+
+
+@query(f"""WITH {_KNOWN}, x AS ({c._unpivot(_KNOWN_COLUMNS, of='d')}), q AS (SELECT variable, CASE WHEN 100.0::DOUBLE * (count(*) - count(value)) / count(*) > 40 THEN 'Missingness above threshold' WHEN count(DISTINCT value) < 2 THEN 'Insufficient unique values' END AS reason FROM x GROUP BY variable),
+al AS (SELECT 'n_chars' AS variable, 'Correlated with length' AS reason WHERE (SELECT abs(corr(length, n_chars)) FROM d) >= 0.8)
+SELECT variable, coalesce(q.reason, al.reason) AS exclusion_reason FROM q LEFT JOIN al USING (variable) WHERE coalesce(q.reason, al.reason) IS NOT NULL""")
+def excluded_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """What is known of all documents, without what is mostly missing, the same for all or told by the text's length already."""
+    known = _read(spark, sf, "documents").join(_read(spark, sf, "labels"), "doc_id", "left").select("quality", "toxic", "n_chars", F.length("text").alias("length"), F.lit(1).alias("one"))
+    alike = features.high_correlations(features.correlation_pairs(known, ["length", "n_chars"])).select(F.col("variable_2").alias("variable"), F.col("variable_1").alias("kept"))
+    return summaries.excluded_variables(features.quality_metrics(known, _KNOWN_COLUMNS), alike)
+
+
+@query(f"""WITH {reports._SCORED}, {reports._DECLARED} SELECT ork.variable, ork.i AS selection_order, label, md."group", data_type FROM ork LEFT JOIN md USING (variable)""")
+def selected_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """All scored variables in the order of their selection, with what is declared of them."""
+    order = c._feature_scores(spark, sf).select("variable", F.col("overall_rank").alias("selection_order"))
+    return rounded(summaries.selected_variables(order, reports._declared(spark)))
+
+
 # ---- tables that figures and slides are drawn from ----
 
 
@@ -152,6 +173,13 @@ def figure_top_differences(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(present.bar_labels(strong, ["variable", "measure"], "association", 20).select("display_label", "association", "bar_order"))
 
 
+@query(f"""WITH {_ASSOCIATIONS}, {reports._DECLARED} SELECT variable, measure, round(association, 5) AS effect_size, label, role, row_number() OVER (ORDER BY association DESC, variable) AS effect_rank FROM u LEFT JOIN md USING (variable) WHERE association IS NOT NULL""")
+def distinguishing_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """Effects of the segments on each variable that has one, with its label and role."""
+    measured = profile.associations(respondents(spark, sf), NUMERIC, CATEGORICAL)
+    return rounded(summaries.distinguishing_variables(measured, reports._declared(spark)))
+
+
 @query(f"""WITH {reports._PLACED}, {reports._STRATEGIES}, kp AS (SELECT segment, po.working_name, unnest(range(1, 5)) AS kpi_rank, unnest(['Reach by ' || lower(channel), 'Response to: ' || message, 'Starts of ' || lower(service), 'Objective met: ' || objective]) AS kpi FROM po LEFT JOIN sy USING (working_name))
 SELECT segment AS "Segment", working_name AS "Working Name", kpi_rank AS "Kpi Rank", kpi AS "Kpi" FROM kp WHERE kpi_rank <= 3""")
 def slide_kpis(spark: SparkSession, sf: str) -> DataFrame:

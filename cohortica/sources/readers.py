@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,3 +66,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*.png", prefix: str = "") -> DataFrame:
+    """key, path, bytes, modified of a folder's files by a pattern of names: figures for a report, say.
+
+    The key is the file's name without prefix and ending. Files are listed, not read: their content is no column of the plan.
+    A folder that isn't there gives no rows.
+    """
+    empty = spark.createDataFrame([], "key string, path string, bytes long, modified timestamp")
+    try:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty
+    name = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
+    key = F.when(name.startswith(prefix), F.substr(name, F.lit(len(prefix) + 1))).otherwise(name)
+    return found.select(key.alias("key"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))

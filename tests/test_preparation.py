@@ -7,7 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cohortica.functions import stats
-from cohortica.operators import audit, clean, numbering, present, rules
+from cohortica.operators import audit, clean, numbering, present, rules, summaries
+from cohortica.sources import readers
 
 
 def by_hand(r: str, c: str, b: str, digital: bool) -> dict[str, int]:
@@ -96,3 +97,23 @@ def test_compare_names(spark):
 def test_duration_text(spark):
     d = spark.createDataFrame([(0.0,), (59.94,), (60.0,), (5400.0,), (None,)], "s double")
     assert [x[0] for x in d.select(stats.duration_text(F.col("s"))).collect()] == ["0.0 s", "59.9 s", "1.0 min", "1.5 h", None]
+
+
+def test_excluded_variables(spark):
+    quality = spark.createDataFrame([("a", "Missingness above threshold"), ("b", None), ("c", None)], "variable string, exclusion_reason string")
+    removed = spark.createDataFrame([("a", "c"), ("b", "d"), ("b", "c")], "variable string, kept string")
+    assert sorted(map(tuple, summaries.excluded_variables(quality, removed).collect())) == [("a", "Missingness above threshold"), ("b", "Correlated with c")]
+    assert summaries.excluded_variables(quality.limit(0), removed.limit(0)).count() == 0
+
+
+def test_relative_path():
+    assert present.relative_path("/a/b/c.png", "/a/") == "b/c.png" and present.relative_path("/ab/c", "/a") == "/ab/c" and present.relative_path("a\\b\\c", "a") == "b/c"
+
+
+def test_list_files(spark, tmp_path):
+    for name in ("14_persona_one.png", "14_persona_two.v2.png", "other.txt"):
+        (tmp_path / name).write_bytes(b"xyz")
+    found = readers.list_files(spark, str(tmp_path), prefix="14_persona_")
+    assert sorted((x.key, x.bytes) for x in found.collect()) == [("one", 3), ("two.v2", 3)]
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+    assert readers.list_files(spark, str(tmp_path / "none")).count() == 0
