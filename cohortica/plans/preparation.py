@@ -101,7 +101,9 @@ al AS (SELECT 'n_chars' AS variable, 'Correlated with length' AS reason WHERE (S
 SELECT variable, coalesce(q.reason, al.reason) AS exclusion_reason FROM q LEFT JOIN al USING (variable) WHERE coalesce(q.reason, al.reason) IS NOT NULL""")
 def excluded_variables(spark: SparkSession, sf: str) -> DataFrame:
     """What is known of all documents, without what is mostly missing, the same for all or told by the text's length already."""
-    known = _read(spark, sf, "documents").join(_read(spark, sf, "labels"), "doc_id", "left").select("quality", "toxic", "n_chars", F.length("text").alias("length"), F.lit(1).alias("one"))
+    # lengths before the join, so that no text is shuffled
+    measured = _read(spark, sf, "documents").select("doc_id", "n_chars", F.length("text").alias("length"))
+    known = measured.join(_read(spark, sf, "labels"), "doc_id", "left").select("quality", "toxic", "n_chars", "length", F.lit(1).alias("one"))
     alike = features.high_correlations(features.correlation_pairs(known, ["length", "n_chars"])).select(F.col("variable_2").alias("variable"), F.col("variable_1").alias("kept"))
     return summaries.excluded_variables(features.quality_metrics(known, _KNOWN_COLUMNS), alike)
 
