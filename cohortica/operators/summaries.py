@@ -175,8 +175,14 @@ def validation_summary(validated: DataFrame, *keys: str) -> DataFrame:
 
 def model_profiles(assignments: DataFrame, scaled: DataFrame, columns: list[str], key: str) -> DataFrame:
     """model_id, cluster, variable, cluster_size, standardised_mean: each model's clusters on columns that are scaled already. Reads respondents, once for all models."""
-    long = assignments.join(_long(scaled, columns, key), key)
-    return long.groupBy("model_id", "cluster", "variable").agg(F.count("*").alias("cluster_size"), F.avg("value").alias("standardised_mean"))
+    by = assignments.join(scaled.select(key, *columns), key).groupBy("model_id", "cluster").agg(F.count("*").alias("n"), *[F.avg(F.col(c).cast("double")).alias(c) for c in columns])
+    return profiles_of(by, {c: F.col(c) for c in columns})
+
+
+def profiles_of(by: DataFrame, means: dict[str, Column]) -> DataFrame:
+    """model_profiles from a row per cluster: its size n, and how each variable's mean is told."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col("n").alias("cluster_size"), m.alias("standardised_mean")) for c, m in means.items()]))
+    return by.select("model_id", "cluster", each.alias("v")).select("model_id", "cluster", "v.*")
 
 
 def model_distinctness(profiles: DataFrame) -> DataFrame:
@@ -187,9 +193,14 @@ def model_distinctness(profiles: DataFrame) -> DataFrame:
 
 def model_associations(assignments: DataFrame, df: DataFrame, categorical: list[str], key: str) -> DataFrame:
     """model_id, variable, cramers_v: how each model's clusters go with profiling variables. Reads respondents, once for all models."""
-    levels = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("level")) for c in categorical])
-    rows = assignments.join(df.select(key, F.explode(levels).alias("v")).select(key, "v.*").where("level is not null"), key)
-    cell = rows.groupBy("model_id", "variable", "cluster", "level").agg(F.count("*").alias("o"))
+    rows = assignments.join(df.select(key, *categorical), key).select("model_id", "cluster", F.lit(1).cast("long").alias("n"), *categorical)
+    return associations_of(rows, {c: F.col(c) for c in categorical})
+
+
+def associations_of(rows: DataFrame, levels: dict[str, Column]) -> DataFrame:
+    """model_associations from model_id, cluster, n (as how many rows a row counts) and how each variable's level is told."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), x.cast("string").alias("level")) for c, x in levels.items()]))
+    cell = rows.select("model_id", "cluster", "n", each.alias("v")).select("model_id", "cluster", "n", "v.*").where("level is not null").groupBy("model_id", "variable", "cluster", "level").agg(F.sum("n").alias("o"))
     over = lambda *c: F.sum("o").over(Window.partitionBy("model_id", "variable", *c))
     cell = cell.select("*", over("cluster").alias("r"), over("level").alias("c"), over().alias("t"))
     one = cell.groupBy("model_id", "variable").agg(F.first("t").alias("n"), F.sum(F.col("o").cast("double") * F.col("o") / (F.col("r").cast("double") * F.col("c"))).alias("s"), F.least(F.countDistinct("cluster"), F.countDistinct("level")).alias("least"))
