@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,19 +174,18 @@ bd AS (SELECT * EXCLUDE (i), rank() OVER (PARTITION BY feature_set ORDER BY aver
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
     """Scaled respondents with the segmentations that judge a distance, fixed as it is read often."""
-    band = F.when(F.col("spend") >= 1_500_000, "high").when(F.col("spend") >= 1_000_000, "middle").otherwise("low")
-    given = respondents(spark, sf).select("respondent_id", band.alias("band"), F.col("urgent").alias("urgency"))
-    return numbering.checkpointed(c.scaled(spark, sf).drop("segment").join(given, "respondent_id"))
+    return c.given(spark, sf).select("respondent_id", *NUMERIC, *_JUDGES)
 
 
 def _best(spark: SparkSession, d: DataFrame) -> DataFrame:
-    def quality(f: str, m: str, judge: str) -> DataFrame:
-        own = validity.silhouette_summary(validity.silhouette_by_coordinates(d, "respondent_id", _DISTANCE_SETS[f], m, judge)).select("average_silhouette")
-        sizes = validity.cluster_sizes(d, judge).select(F.col("n_clusters").alias("k"), "balance", "minimum_share")
-        return own.join(sizes).select(F.lit(f).alias("feature_set"), F.lit(m).alias("distance_method"), "k", "average_silhouette", "balance", "minimum_share")  # a row each
-
-    made = [quality(f, m, j) for f in _DISTANCE_SETS for m in ("manhattan", "gower") for j in _JUDGES]
-    return summaries.best_distance(reduce(DataFrame.unionByName, made))
+    measures = [(f, m, j) for f in _DISTANCE_SETS for m in ("manhattan", "gower") for j in _JUDGES]
+    own = validity.average_silhouettes(d, "respondent_id", [(_DISTANCE_SETS[f], m, j) for f, m, j in measures])  # one sorting for all
+    of = lambda i: F.lit([x[i] for x in measures])[F.col("measure")]
+    own = own.select(of(0).alias("feature_set"), of(1).alias("distance_method"), of(2).alias("model_id"), "average_silhouette")
+    n = c.given_moments(d, list(_JUDGES)).select("model_id", "cluster", "n")
+    sizes = validity.sizes_of(n, "model_id").select("model_id", F.col("n_clusters").alias("k"), "balance", "minimum_share")
+    made = own.join(F.broadcast(sizes), "model_id").select("feature_set", "distance_method", "k", "average_silhouette", "balance", "minimum_share")  # a row a measure
+    return summaries.best_distance(numbering.checkpointed(made))
 
 
 @query(f"WITH {_BEST} SELECT * REPLACE (round(average_silhouette, 5) AS average_silhouette, round(balance, 5) AS balance, round(minimum_share, 5) AS minimum_share) FROM bd")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortica.operators import cluster, numbering, validity
-from cohortica.plans import catalog
+from cohortica.plans import catalog, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,11 @@ def test_models_are_sorted_once(spark, sorted_tables):
     assert len(sorted_tables) == 1
 
 
+def test_distances_are_judged_by_one_sorting(spark, sorted_tables):
+    assert reports.best_distance(spark, SF).count() == 4
+    assert len(sorted_tables) == 1
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = np.random.default_rng(4)
