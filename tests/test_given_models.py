@@ -28,6 +28,14 @@ def test_distances_are_judged_by_one_sorting(spark, sorted_tables):
     assert len(sorted_tables) == 1
 
 
+def test_candidates_read_respondents_once(spark, sorted_tables, monkeypatch):
+    made, plain = [], catalog.respondents
+    for module in (catalog, reports):
+        monkeypatch.setattr(module, "respondents", lambda *a: made.append(a) or plain(*a))
+    assert reports.candidate_profile_summary(spark, SF).count() == 3
+    assert len(made) == 1 and len(sorted_tables) == 1
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = np.random.default_rng(4)
