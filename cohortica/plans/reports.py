@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortica import config
-from cohortica.operators import allpairs, audit, distance, features, numbering, profile, rules, selection, summaries, validity
+from cohortica.operators import allpairs, audit, distance, features, numbering, profile, rules, selection, spreads, summaries, validity
 from cohortica.plans import catalog as c
 from cohortica.plans.catalog import CATEGORICAL, GROUPS, NUMERIC, query, respondents, rounded
 
@@ -199,10 +199,10 @@ SELECT *, rank() OVER (ORDER BY mean_best_silhouette DESC) AS overall_rank FROM
 def distance_method_summary(spark: SparkSession, sf: str) -> DataFrame:
     d = _judged(spark, sf)
     judged = [(f, m) for f in _DISTANCE_SETS for m in ("manhattan", "gower")]
-    found = allpairs.spreads(d, "respondent_id", [(m, _DISTANCE_SETS[f]) for f, m in judged])
+    found = spreads.spreads(d, "respondent_id", [(m, _DISTANCE_SETS[f]) for f, m in judged])
     rows = [(f, m, s["coefficient_of_variation"], s["relative_contrast"]) for (f, m), s in zip(judged, found, strict=True)]
-    spreads = spark.createDataFrame(rows, "feature_set string, distance_method string, coefficient_of_variation double, relative_contrast double")
-    return rounded(summaries.distance_method_summary(_best(spark, d), spreads))
+    told = spark.createDataFrame(rows, "feature_set string, distance_method string, coefficient_of_variation double, relative_contrast double")
+    return rounded(summaries.distance_method_summary(_best(spark, d), told))
 
 
 @query(f"WITH {c._V}, p AS (SELECT {c._D['euclidean']} AS euclidean, {c._D['manhattan']} AS manhattan, {c._D['gower']} AS gower FROM v AS a JOIN v AS b ON a.id < b.id) " + " UNION ALL ".join(f"SELECT '{a}' AS method_1, '{b}' AS method_2, round(corr({a}, {b}), 5) AS pearson, count(*) AS n_pairs FROM p" for a, b in (("euclidean", "gower"), ("euclidean", "manhattan"), ("gower", "manhattan"))))
